@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StructField, StructType)
 
 from leakscope.operators.gold import prediction_from_score
+from leakscope.operators.lineage import materialize
 from leakscope.operators.selection import exact_quantile, key_leq, kth_key
 from leakscope.schemas import EVENT_ID, FOREST_FEATURES
 
@@ -63,7 +64,7 @@ def stratified_split(df: DataFrame, label: str, frac: float = 0.2, seed: int = 4
         if k == 0:
             continue
         sel = F.col(label).isNull() if lv is None else (F.col(label) == F.lit(lv))
-        bound = kth_key(x.where(sel), "_h", [key], k)
+        bound = kth_key(x.where(sel), "_h", [key], k, n=n)
         test = test | (sel & key_leq("_h", [key], bound))
     return x.withColumn("split", F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop("_h")
 
@@ -115,9 +116,10 @@ def tree_samples(df: DataFrame, cols: list[str], trees: int, psi: int, seed: int
         from pyspark.sql import Window
         w = Window.partitionBy("tree").orderBy("_h", key)
         sample = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi_eff)
-        short = (sample.groupBy("tree").count().where(F.col("count") == psi_eff).count())
-        if short == trees or p >= 1.0:
-            return sample.drop("_r", "_h"), psi_eff
+        sample = materialize(sample.drop("_r", "_h"))  # trees x psi rows
+        full = sample.groupBy("tree").count().where(F.col("count") == psi_eff).count()
+        if full == trees or p >= 1.0:
+            return sample, psi_eff
         oversample *= 4
 
 
@@ -216,10 +218,10 @@ def fit_forest(df: DataFrame, cols: list[str] = FOREST_FEATURES, trees: int = 20
     max_depth = int(math.ceil(math.log2(max(psi_eff, 2))))
     nodes = (sample.groupBy("tree")
              .applyInPandas(_fit_tree_fn(cols, key, seed, max_depth), NODE_SCHEMA))
-    nodes = nodes.checkpoint(eager=True)  # model table; cut lineage from the sample
+    nodes = materialize(nodes)  # model table; cut lineage from the sample
     model = ForestModel(nodes, list(cols), psi_eff, trees, seed, 0.0, contamination,
                         scaler or {})
-    raw = raw_scores(df, model).select("_raw").checkpoint(eager=True)
+    raw = materialize(raw_scores(df, model).select("_raw"))
     off = exact_quantile(raw, "_raw", contamination).first()[0]
     model.offset = float(off) if off is not None else 0.0
     return model
@@ -278,7 +280,7 @@ def fit_pipeline(silver: DataFrame, label_col: str = "is_anomaly", frac: float =
     on the standardised train rows. Returns (model, split frame)."""
     from leakscope.functions.severity import binary_label_expr
     lab = silver.withColumn("label", binary_label_expr(label_col, positive="leak"))
-    split = stratified_split(lab, "label", frac, seed).checkpoint(eager=True)
+    split = materialize(stratified_split(lab, "label", frac, seed))
     train = split.where(F.col("split") == "train")
     stats = fit_standard_scaler(train, cols)
     model = fit_forest(standardise(train, stats, cols), cols, trees, psi, contamination,

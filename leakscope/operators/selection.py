@@ -20,12 +20,12 @@ ACCURACY = 1_000_000
 
 
 def _band(df: DataFrame, value: str, k_lo: int, k_hi: int, order: list[str],
-          band_limit: int, accuracy: int) -> tuple[DataFrame, int]:
+          band_limit: int, accuracy: int, n: int | None = None) -> tuple[DataFrame, int]:
     """Rows whose (value, *order) rank lies in a band containing the 1-based
     ranks ``k_lo..k_hi``; returns (band rows, number of rows ranked below)."""
     v = F.col(value)
     band, below = df, 0
-    n_band = band.count()
+    n_band = band.count() if n is None else n
     width = 4.0 / accuracy
     while n_band > band_limit:
         q_lo = max(0.0, (k_lo - below - 1) / n_band - width)
@@ -43,10 +43,12 @@ def _band(df: DataFrame, value: str, k_lo: int, k_hi: int, order: list[str],
 
 
 def ranked_rows(df: DataFrame, value: str, k_lo: int, k_hi: int, order: list[str] | None = None,
-                band_limit: int = BAND_LIMIT, accuracy: int = ACCURACY) -> DataFrame:
-    """The rows of 1-based rank ``k_lo..k_hi`` by (value, *order) with column ``_rank``."""
+                band_limit: int = BAND_LIMIT, accuracy: int = ACCURACY,
+                n: int | None = None) -> DataFrame:
+    """The rows of 1-based rank ``k_lo..k_hi`` by (value, *order) with column ``_rank``.
+    ``n`` (row count of ``df``) saves a pass when the caller knows it."""
     order = order or []
-    band, below = _band(df, value, k_lo, k_hi, order, band_limit, accuracy)
+    band, below = _band(df, value, k_lo, k_hi, order, band_limit, accuracy, n)
     # A global window over the band only, which is bounded by band_limit.
     w = Window.orderBy(F.col(value), *[F.col(c) for c in order])
     return (band.withColumn("_rank", F.row_number().over(w) + F.lit(below))
@@ -77,11 +79,11 @@ def quantile_value(df: DataFrame, col: str, q: float, exact_limit: int = EXACT_L
 
 
 def kth_key(df: DataFrame, value: str, order: list[str], k: int,
-            band_limit: int = BAND_LIMIT) -> tuple | None:
+            band_limit: int = BAND_LIMIT, n: int | None = None) -> tuple | None:
     """(value, *order) of the k-th smallest row (1-based), exact."""
     if k <= 0:
         return None
-    r = ranked_rows(df, value, k, k, order, band_limit=band_limit).first()
+    r = ranked_rows(df, value, k, k, order, band_limit=band_limit, n=n).first()
     return None if r is None else tuple(r[c] for c in [value] + order)
 
 
