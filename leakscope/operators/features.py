@@ -86,18 +86,23 @@ def microbatch_features(df: DataFrame, baseline: float = 1000.0,
 
 def sequences(df: DataFrame, cols: list[str] = SENSORS, n: int = 20,
               label: str | None = "label",
-              bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+              bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+              keep_all: bool = False) -> DataFrame:
     """The n readings before each row (current row excluded) of its own
-    segment as ``seq`` (array<array<double>>, oldest first); only rows with a
-    full history are kept. Sequences never cross segment borders."""
+    segment as ``seq`` (array<array<double>>, oldest first). Sequences never
+    cross segment borders. By default only rows with a full history are kept
+    (training); ``keep_all`` keeps every row and column (scoring, where rows
+    without a full history are flagged 0)."""
     keep = [EVENT_ID, SEGMENT, EVENT_TS] + ([label] if label else [])
-    frame = with_halo(df.select(*dict.fromkeys(keep + cols)), SEGMENT, ORDER, EVENT_TS, n,
-                      bucket_seconds)
+    src = df if keep_all else df.select(*dict.fromkeys(keep + cols))
+    frame = with_halo(src, SEGMENT, ORDER, EVENT_TS, n, bucket_seconds)
     w = chunk_window(SEGMENT, ORDER).rowsBetween(-n, -1)
     out = frame.withColumn("seq", F.collect_list(F.array(*[F.col(c).cast("double")
                                                            for c in cols])).over(w))
-    out = drop_halo(out).where(F.size("seq") == n)
-    return out.select(*keep, "seq")
+    out = drop_halo(out)
+    if keep_all:
+        return out
+    return out.where(F.size("seq") == n).select(*keep, "seq")
 
 
 def latest_per_segment(df: DataFrame) -> DataFrame:
@@ -114,14 +119,15 @@ def minmax_stats(df: DataFrame, cols: list[str]) -> DataFrame:
                   *[F.max(c).alias(f"{c}_max") for c in cols])
 
 
-def minmax_scale(df: DataFrame, stats: dict, cols: list[str]) -> DataFrame:
+def minmax_scale(df: DataFrame, stats: dict, cols: list[str], prefix: str = "") -> DataFrame:
     """(x - min) / (max - min), 0.0 where the range is 0. ``stats`` is the
-    collected single row of ``minmax_stats`` (2 x len(cols) numbers)."""
+    collected single row of ``minmax_stats`` (2 x len(cols) numbers). With a
+    ``prefix`` the scaled values go to new columns and the originals stay."""
     out = {}
     for c in cols:
         lo, hi = stats[f"{c}_min"], stats[f"{c}_max"]
         rng = (hi - lo) if (hi is not None and lo is not None) else None
-        out[c] = (F.lit(0.0) if not rng else (F.col(c) - F.lit(lo)) / F.lit(rng))
+        out[prefix + c] = (F.lit(0.0) if not rng else (F.col(c) - F.lit(lo)) / F.lit(rng))
     return df.withColumns(out)
 
 

@@ -102,3 +102,33 @@ def j35(spark, sf) -> DataFrame:
 
 
 __all__ = ["frozen_model", "math", "F"]
+
+
+def _slow_leak_labelled(spark, sf):
+    from leakscope.functions.severity import binary_label_expr
+    return fx.slow_leak(spark, sf).withColumn("label", binary_label_expr("is_anomaly"))
+
+
+@query("J8_sequence_model")
+def j8(spark, sf) -> DataFrame:
+    """Held-out (last 20 % by position) predictions of the sequence classifier."""
+    from leakscope.operators.sequence import fit_sequence_model
+    _, test = fit_sequence_model(_slow_leak_labelled(spark, sf))
+    return test.select(EVENT_ID, "pipe_segment_id", "label", "lstm_anomaly")
+
+
+@query("J6_dual_gold")
+def j6(spark, sf) -> DataFrame:
+    """Gold with both detectors: forest on Silver, sequence model trained on
+    the slow-leak rows, both flags as columns of one frame."""
+    from leakscope.operators.sequence import dual_gold, fit_sequence_model
+    seq_model, _ = fit_sequence_model(_slow_leak_labelled(spark, sf))
+    g, _ = M.model_gold(M.fixture_silver(spark, sf))
+    return dual_gold(g, seq_model)
+
+
+@query("A15_to_messages")
+def a15(spark, sf) -> DataFrame:
+    """Bronze rows as (key, JSON value) messages."""
+    from leakscope.sources.messages import to_messages
+    return to_messages(M.fixture_bronze(spark, sf))
