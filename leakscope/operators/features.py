@@ -20,7 +20,7 @@ ORDER = [EVENT_TS, EVENT_ID]  # event_id breaks timestamp ties
 
 
 def batch_features(df: DataFrame, n: int = 10, eps: float = 0.0001,
-                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                   bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """E1-E7 on quality-filtered readings.
 
     n-row trailing means of pressure (2 dp), flow (2 dp), acoustic (4 dp);
@@ -60,7 +60,7 @@ def segment_stats(df: DataFrame, col: str = "acoustic_g_rms") -> DataFrame:
 
 
 def microbatch_features(df: DataFrame, baseline: float = 1000.0,
-                        bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                        bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
                         with_clock: bool = True) -> DataFrame:
     """E8-E11 (micro-batch Silver): unrounded pressure delta, flow deviation from
     ``baseline``, acoustic z against the whole batch's segment mean/std (0.0 when
@@ -86,7 +86,7 @@ def microbatch_features(df: DataFrame, baseline: float = 1000.0,
 
 def sequences(df: DataFrame, cols: list[str] = SENSORS, n: int = 20,
               label: str | None = "label",
-              bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+              bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
               keep_all: bool = False) -> DataFrame:
     """The n readings before each row (current row excluded) of its own
     segment as ``seq`` (array<array<double>>, oldest first). Sequences never

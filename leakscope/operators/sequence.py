@@ -36,13 +36,13 @@ class SequenceModel:
     threshold: float = 0.5
 
 
-def positional_split(df: DataFrame, frac: float = 0.8, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+def positional_split(df: DataFrame, frac: float = 0.8, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
                      ) -> DataFrame:
     """Adds ``split``: the first floor(frac * n) rows in (segment, time,
     event_id) order are 'train', the rest 'test'. Exact without a global
     window: bucket counts (small) locate the boundary bucket, and only that
     bucket is ranked."""
-    x = df.withColumn("_b", time_bucket(df, EVENT_TS, bucket_seconds))
+    x = df.withColumn("_b", time_bucket(df, EVENT_TS, bucket_seconds, SEGMENT))
     counts = bucket_counts(x.select(SEGMENT, "_b"), SEGMENT).select(SEGMENT, "_b", "_n")
     # a running total over the (segments x buckets) count table only
     w = Window.orderBy(SEGMENT, "_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -23,12 +23,19 @@ How the halo rows are found without ranking the whole segment:
    need rows from several earlier buckets, come out right by the same rule.
 
 The big input is shuffled once (by the caller's window); the extra work is two
-aggregates over small tables. The bucket width bounds a window partition to
-(sensor rate x width) rows, independent of total data size.
+aggregates over small tables.
+
+Bucket width: fixed (``bucket_seconds``) or, by default, chosen per key so a
+bucket holds about ``target_rows`` rows: one small aggregate gives every key's
+row count and time span, and width = span x target / count. A key that holds a
+third of all rows simply gets narrower buckets. The widths travel as a literal
+map (no join on the main path); the number of keys is checked first.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
@@ -36,17 +43,56 @@ from pyspark.sql.types import TimestampNTZType
 # Bucket used for rows without a timestamp: sorts before every real bucket,
 # as NULL sorts first in an ascending window order.
 NULL_BUCKET = -(2 ** 62)
-DEFAULT_BUCKET_SECONDS = 86400
+DEFAULT_BUCKET_SECONDS = None   # None: adaptive width per key
+TARGET_ROWS = 1_000_000         # rows per (key, bucket) window partition
+MAX_KEYS_FOR_MAP = 20_000       # above this, one global width
 
 
-def time_bucket(df: DataFrame, ts: str, seconds: int) -> Column:
-    """Monotone bucket number of a timestamp column (NTZ by wall clock,
-    LTZ by instant)."""
+def epoch_seconds(df: DataFrame, ts: str) -> Column:
+    """Seconds since 1970 of a timestamp column: wall clock for NTZ, instant
+    for LTZ (monotone in the column's own order either way)."""
     if isinstance(df.schema[ts].dataType, TimestampNTZType):
-        secs = F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
+        return F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
+    return F.unix_seconds(F.col(ts))
+
+
+def _width_expr(df: DataFrame, key: str, ts: str, target_rows: int) -> Column:
+    """Per-key bucket width in seconds so that a bucket holds ~target_rows rows."""
+    st = (df.select(key, epoch_seconds(df, ts).alias("_s")).groupBy(key)
+          .agg(F.count(F.lit(1)).alias("n"), F.min("_s").alias("lo"), F.max("_s").alias("hi"))
+          .limit(MAX_KEYS_FOR_MAP + 1).collect())
+
+    def width(n, lo, hi):
+        span = (hi - lo + 1) if (lo is not None and hi is not None) else 1
+        return max(1, int(math.ceil(span * target_rows / max(n, 1))))
+    if not st:
+        return F.lit(86400)
+    if len(st) > MAX_KEYS_FOR_MAP:  # too many keys for a literal map: one width
+        agg = df.select(epoch_seconds(df, ts).alias("_s")).agg(
+            F.count(F.lit(1)), F.min("_s"), F.max("_s"), F.countDistinct(key)).first()
+        n, lo, hi, k = agg
+        return F.lit(width(max(1, n // max(k, 1)), lo, hi))
+    pairs = []
+    for r in st:
+        if r[key] is not None:
+            pairs += [F.lit(r[key]), F.lit(width(r["n"], r["lo"], r["hi"]))]
+    default = max([width(r["n"], r["lo"], r["hi"]) for r in st])
+    if not pairs:
+        return F.lit(default)
+    return F.coalesce(F.element_at(F.create_map(*pairs), F.col(key)), F.lit(default))
+
+
+def time_bucket(df: DataFrame, ts: str, seconds: int | None = None, key: str | None = None,
+                target_rows: int = TARGET_ROWS) -> Column:
+    """Monotone (within a key) bucket number of a timestamp column; NULL times
+    go to ``NULL_BUCKET``. ``seconds=None`` picks the width per ``key``."""
+    if seconds is None:
+        if key is None:
+            raise ValueError("adaptive buckets need the key column")
+        w = _width_expr(df, key, ts, target_rows)
     else:
-        secs = F.unix_seconds(F.col(ts))
-    return F.coalesce(F.floor(secs / F.lit(seconds)), F.lit(NULL_BUCKET)).cast("bigint")
+        w = F.lit(seconds)
+    return F.coalesce(F.floor(epoch_seconds(df, ts) / w), F.lit(NULL_BUCKET)).cast("bigint")
 
 
 def bucket_counts(df: DataFrame, key: str, bucket: str = "_b") -> DataFrame:
@@ -58,7 +104,8 @@ def bucket_counts(df: DataFrame, key: str, bucket: str = "_b") -> DataFrame:
 
 
 def with_halo(df: DataFrame, key: str, order: list[str], ts: str, halo: int,
-              bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+              bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+              target_rows: int = TARGET_ROWS) -> DataFrame:
     """All rows of ``df`` tagged ``_chunk`` (their bucket) and ``_halo = false``,
     plus copies of the up to ``halo`` rows preceding each bucket tagged with
     that bucket and ``_halo = true``.
@@ -68,7 +115,7 @@ def with_halo(df: DataFrame, key: str, order: list[str], ts: str, halo: int,
     ``order`` must start with ``ts`` and be a total order within a key.
     """
     cols = df.columns
-    x = df.withColumn("_b", time_bucket(df, ts, bucket_seconds))
+    x = df.withColumn("_b", time_bucket(df, ts, bucket_seconds, key, target_rows))
     main = x.withColumn("_chunk", F.col("_b")).withColumn("_halo", F.lit(False)).drop("_b")
     if halo <= 0:
         return main

@@ -19,7 +19,7 @@ from leakscope.operators.windowing import DEFAULT_BUCKET_SECONDS
 from leakscope.sources import fixtures as fx
 
 
-def silver(bronze: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+def silver(bronze: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
            with_clock: bool = False) -> DataFrame:
     """Bronze -> quality filter -> batch features (+ ``silver_ts``)."""
     out = batch_features(quality_filter(bronze), bucket_seconds=bucket_seconds)

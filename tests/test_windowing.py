@@ -55,3 +55,22 @@ def test_hot_segment_is_split(spark):
     df = _frame(spark, 400, seed=3).withColumn("seg", F.lit("HOT"))
     fr = with_halo(df, "seg", ["ts", "event_id"], "ts", 9, 3600)
     assert fr.where(~F.col("_halo")).select("_chunk").distinct().count() > 10
+
+
+@pytest.mark.parametrize("target", [25, 200])
+def test_adaptive_width_splits_hot_key_and_stays_exact(spark, target):
+    df = _frame(spark, 600, seed=11)
+    hot = df.withColumn("seg", F.when(F.col("seg") == "S2", "S0").otherwise(F.col("seg")))
+    order = ["ts", "event_id"]
+    fr = with_halo(hot, "seg", order, "ts", 9, bucket_seconds=None, target_rows=target)
+    w = chunk_window("seg", order)
+    got = drop_halo(fr.select("event_id", "_chunk", "_halo",
+                              F.avg("x").over(w.rowsBetween(-9, 0)).alias("m"))).toPandas()
+    pw = Window.partitionBy("seg").orderBy(*order)
+    want = hot.select("event_id", F.avg("x").over(pw.rowsBetween(-9, 0)).alias("m")).toPandas()
+    a = got.sort_values("event_id").reset_index(drop=True)
+    b = want.sort_values("event_id").reset_index(drop=True)
+    np.testing.assert_allclose(a["m"], b["m"], rtol=1e-12)
+    n_hot = hot.where(F.col("seg") == "S0").count()
+    chunks = fr.where(~F.col("_halo") & (F.col("seg") == "S0")).select("_chunk").distinct().count()
+    assert chunks >= max(2, n_hot // (4 * target))
