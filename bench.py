@@ -54,15 +54,19 @@ def main():
     # warm-up (not reported)
     M.fixture_gold(spark, sf_dir).limit(1).collect()
 
-    timed("bronze_to_silver", lambda: noop(M.fixture_silver(spark, sf_dir)))
-    timed("microbatch_features", lambda: noop(microbatch_features(fx.bronze(spark, sf_dir))))
+    # Bronze is a table in the real job: ingest it once (partitioned by segment)
+    b_path = f"{out_dir}/bronze"
+    timed("ingest_bronze", lambda: replace(fx.bronze(spark, sf_dir), b_path, ["pipe_segment_id"]))
+    bronze = spark.read.parquet(b_path)
+    timed("bronze_to_silver", lambda: noop(M.silver(bronze)))
+    timed("microbatch_features", lambda: noop(microbatch_features(bronze)))
     timed("sequences_20", lambda: noop(sequences(fx.slow_leak(spark, sf_dir), SENSORS, 20,
                                                  label=None)))
 
     # end-to-end batch job: Silver written, forest fitted, Gold written partitioned
     def pipeline():
         s_path = f"{out_dir}/silver"
-        replace(M.silver(fx.bronze(spark, sf_dir), with_clock=True), s_path, ["pipe_segment_id"])
+        replace(M.silver(bronze, with_clock=True), s_path, ["pipe_segment_id"])
         silver = spark.read.parquet(s_path).drop("silver_ts")
         t0 = time.perf_counter()
         model, _ = fit_pipeline(silver)
@@ -89,8 +93,8 @@ def main():
         timed(name, lambda fn=fn: fn(gold).collect())
     times["dashboards_total"] = round(time.perf_counter() - t_all, 3)
 
-    headline = ["bronze_to_silver", "microbatch_features", "sequences_20", "pipeline_end_to_end",
-                "dashboards_total"]
+    headline = ["ingest_bronze", "bronze_to_silver", "microbatch_features", "sequences_20",
+                "pipeline_end_to_end", "dashboards_total"]
     total = round(sum(times[k] for k in headline), 3)
     n_gold = gold.count()
     print(json.dumps({"metric": "end_to_end_plus_queries_sec", "value": total, "unit": "sec",
