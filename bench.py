@@ -12,7 +12,7 @@ import json
 import os
 import re
 import sys
-import tempfile
+import uuid
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -27,7 +27,7 @@ from leakscope.operators.gold import classify, gold_table  # noqa: E402
 from leakscope.operators.lineage import materialize  # noqa: E402
 from leakscope.plans import medallion as M  # noqa: E402
 from leakscope.schemas import SENSORS  # noqa: E402
-from leakscope.session import build_session  # noqa: E402
+from leakscope.session import build_session, scratch_path  # noqa: E402
 from leakscope.sources import fixtures as fx  # noqa: E402
 from leakscope.sources.tables import replace  # noqa: E402
 
@@ -42,7 +42,8 @@ def main():
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 8))
-    out_dir = tempfile.mkdtemp(prefix="leakscope-bench-")
+    # scratch tables go under the shared checkpoint folder, one fresh folder per run
+    out_dir = scratch_path(spark, f"bench-{uuid.uuid4().hex[:12]}")
     times: dict[str, float] = {}
 
     def timed(name, fn):

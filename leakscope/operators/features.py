@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leakscope.functions.rounding import round_half_up
-from leakscope.operators.windowing import (DEFAULT_BUCKET_SECONDS, chunk_window, drop_halo,
-                                           with_halo)
+from leakscope.operators.windowing import (DEFAULT_BUCKET_SECONDS, MAX_KEYS_FOR_MAP,
+                                           chunk_window, drop_halo, with_halo)
 from leakscope.schemas import EVENT_ID, EVENT_TS, SEGMENT, SENSORS
 
 ORDER = [EVENT_TS, EVENT_ID]  # event_id breaks timestamp ties
@@ -59,6 +59,23 @@ def segment_stats(df: DataFrame, col: str = "acoustic_g_rms") -> DataFrame:
                                    F.stddev_samp(col).alias("_seg_std"))
 
 
+def _with_segment_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
+    """Attach per-segment statistics. With at most ``MAX_KEYS_FOR_MAP``
+    segments (checked) they travel as literal maps, so the rows are not
+    shuffled by a (possibly hot) segment key; otherwise a normal join."""
+    rows = stats.limit(MAX_KEYS_FOR_MAP + 1).collect()
+    if len(rows) > MAX_KEYS_FOR_MAP:
+        return df.join(stats, SEGMENT, "left")
+    cols = [c for c in stats.columns if c != SEGMENT]
+    out = {}
+    for c in cols:
+        pairs = [x for r in rows if r[SEGMENT] is not None and r[c] is not None
+                 for x in (F.lit(r[SEGMENT]), F.lit(float(r[c])))]
+        out[c] = (F.element_at(F.create_map(*pairs), F.col(SEGMENT)) if pairs
+                  else F.lit(None).cast("double"))
+    return df.withColumns(out)
+
+
 def microbatch_features(df: DataFrame, baseline: float = 1000.0,
                         bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
                         with_clock: bool = True) -> DataFrame:
@@ -71,8 +88,7 @@ def microbatch_features(df: DataFrame, baseline: float = 1000.0,
     w = chunk_window(SEGMENT, ORDER)
     p = F.col("pressure_psi")
     out = drop_halo(frame.withColumn("pressure_delta", p - F.lag(p, 1).over(w)))
-    stats = segment_stats(df)
-    out = out.join(stats, SEGMENT, "left")
+    out = _with_segment_stats(out, segment_stats(df))
     z = F.when(F.col("_seg_std") > 0, (F.col("acoustic_g_rms") - F.col("_seg_mean")) /
                F.col("_seg_std")).otherwise(F.lit(0.0))
     out = out.select(*cols, "pressure_delta",

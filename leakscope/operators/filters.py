@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leakscope.functions.rounding import round_half_up
+from leakscope.functions.timeutil import ts_lit
 from leakscope.schemas import EVENT_TS, SEGMENT
 
 
@@ -32,11 +33,11 @@ def filter_gold(df: DataFrame, segments=None, severities=None, start=None, end=N
     if severities is not None:
         out = out.where(F.col("severity").isin(list(severities)))
     if start is not None:
-        out = out.where(F.col(EVENT_TS) >= F.lit(_ts(start)))
+        out = out.where(F.col(EVENT_TS) >= ts_lit(df, EVENT_TS, _ts(start)))
     if end is not None:
         e = _ts(end)
-        out = (out.where(F.col(EVENT_TS) <= F.lit(e)) if inclusive_end
-               else out.where(F.col(EVENT_TS) < F.lit(e + dt.timedelta(days=1))))
+        out = (out.where(F.col(EVENT_TS) <= ts_lit(df, EVENT_TS, e)) if inclusive_end
+               else out.where(F.col(EVENT_TS) < ts_lit(df, EVENT_TS, e + dt.timedelta(days=1))))
     return out
 
 

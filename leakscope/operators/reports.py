@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leakscope.functions.rounding import round_half_up as rhu
+from leakscope.functions.timeutil import ts_lit
 from leakscope.schemas import EVENT_ID, EVENT_TS, SEGMENT
 
 
@@ -236,7 +237,7 @@ def critical_digest_ranked(gold: DataFrame, since=None, red_below: float = -0.10
     The rank window runs over the digest (one row per segment), not raw rows."""
     g = gold.where(CRIT())
     if since is not None:
-        g = g.where(F.col(EVENT_TS) >= F.lit(since))
+        g = g.where(F.col(EVENT_TS) >= ts_lit(gold, EVENT_TS, since))
     d = g.groupBy(SEGMENT).agg(
         F.count(F.lit(1)).alias("critical_count"),
         rhu(F.min("pressure_psi"), 1).alias("lowest_pressure_psi"),

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from leakscope.functions.severity import (combined_severity_expr, detection_source_expr,
                                           dual_message_expr)
+from leakscope.functions.timeutil import ts_lit
 from leakscope.operators.features import fit_minmax, minmax_scale, sequences
 from leakscope.operators.lineage import materialize
 from leakscope.operators.windowing import DEFAULT_BUCKET_SECONDS, bucket_counts, time_bucket
@@ -60,8 +61,9 @@ def positional_split(df: DataFrame, frac: float = 0.8, bucket_seconds: int | Non
             .withColumn("_r", F.row_number().over(Window.orderBy(EVENT_TS, EVENT_ID)))
             .where(F.col("_r") == k - before).first())
     e_ts, e_id = edge[EVENT_TS], edge[EVENT_ID]
-    upto_edge = (F.col(EVENT_TS) < F.lit(e_ts)) | ((F.col(EVENT_TS) == F.lit(e_ts)) &
-                                                   (F.col(EVENT_ID) <= F.lit(e_id)))
+    e_lit = ts_lit(df, EVENT_TS, e_ts)
+    upto_edge = (F.col(EVENT_TS) < e_lit) | ((F.col(EVENT_TS) == e_lit) &
+                                             (F.col(EVENT_ID) <= F.lit(e_id)))
     in_train = earlier | (in_b & upto_edge)
     return x.withColumn("split", F.when(in_train, "train").otherwise("test")).drop("_b")
 

@@ -52,7 +52,9 @@ def epoch_seconds(df: DataFrame, ts: str) -> Column:
     """Seconds since 1970 of a timestamp column: wall clock for NTZ, instant
     for LTZ (monotone in the column's own order either way)."""
     if isinstance(df.schema[ts].dataType, TimestampNTZType):
-        return F.expr(f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts}`)")
+        c = F.col(ts)  # wall-clock arithmetic only: no zone, no DST jumps
+        return (F.unix_date(F.to_date(c)).cast("bigint") * 86400 + F.hour(c) * 3600
+                + F.minute(c) * 60 + F.second(c))
     return F.unix_seconds(F.col(ts))
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from leakscope.functions.rounding import round_half_up as rhu
 from leakscope.functions.rounding import round_sql as R
+from leakscope.functions.timeutil import ts_lit
 from leakscope.functions.severity import (binary_label_expr, combined_severity_expr,
                                           detection_source_expr, dual_message_expr)
 from leakscope.operators import filters, metrics, reports
@@ -188,7 +189,7 @@ def b16b(spark, sf):
     "(SELECT 1 FROM fx_bronze e WHERE e.event_timestamp < TIMESTAMP '2024-01-15 00:00:00' AND e.event_id = n.event_id)"))
 def c2(spark, sf):
     b = bronze(spark, sf)
-    existing = b.where(F.col(EVENT_TS) < F.lit(BACKFILL_CUT))
+    existing = b.where(F.col(EVENT_TS) < ts_lit(b, EVENT_TS, BACKFILL_CUT))
     return new_only(b, existing).select(EVENT_ID, SEGMENT, EVENT_TS)
 
 
