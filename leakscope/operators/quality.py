@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leakscope.schemas import BOUNDS, SENSORS
+from leakscope.schemas import BOUNDS
 
 
 def _in_bounds(bounds: dict) -> list[Column]:
@@ -39,5 +39,3 @@ def quality_report(df: DataFrame, bounds: dict = BOUNDS) -> DataFrame:
                    F.count_if(ok).alias("after_count"))
             .withColumn("dropped_count", F.col("before_count") - F.col("after_count")))
 
-
-__all__ = ["quality_filter", "quality_report", "valid_row", "SENSORS"]

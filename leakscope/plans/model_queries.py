@@ -8,10 +8,7 @@ fits the real forest and has no SQL oracle (row checks only).
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from leakscope.functions.rounding import round_half_up as rhu
 from leakscope.functions.rounding import round_sql as R
@@ -101,8 +98,6 @@ def j35(spark, sf) -> DataFrame:
     return gold_table(g, with_clock=False)
 
 
-__all__ = ["frozen_model", "math", "F"]
-
 
 def _slow_leak_labelled(spark, sf):
     from leakscope.functions.severity import binary_label_expr

@@ -1,7 +1,7 @@
 """Table and message schemas (column names and types of the medallion layers)."""
 
-from pyspark.sql.types import (DoubleType, IntegerType, StringType, StructField,
-                               StructType, TimestampNTZType, TimestampType)
+from pyspark.sql.types import (DoubleType, StringType, StructField, StructType,
+                               TimestampNTZType)
 
 SEGMENT = "pipe_segment_id"
 EVENT_ID = "event_id"
@@ -73,5 +73,3 @@ DUAL_GOLD_COLUMNS = ["event_id", "pipe_segment_id", "event_timestamp", "pressure
 
 SEVERITIES = ["CRITICAL", "WARNING", "NORMAL"]
 
-__all__ = [n for n in dir() if n.isupper()] + ["bronze_schema", "DoubleType", "IntegerType",
-                                               "TimestampType"]

@@ -28,8 +28,8 @@ def _reader(r, fmt: str, opts: dict | None):
 
 
 def _value_frame(df: DataFrame, fmt: str) -> DataFrame:
-    if fmt == "text":
-        return df.select(F.col("value").cast("string").alias("value"))
+    """Kafka (binary ``value``), text (one document per line) and json/parquet
+    files with a ``value`` column all end as one string column."""
     return df.select(F.col("value").cast("string").alias("value"))
 
 

@@ -90,3 +90,31 @@ def test_stateful_silver_equals_batch_features_over_files(spark, tmpdir_run):
     b = want.select(cols).toPandas().sort_values("event_id").reset_index(drop=True)
     assert len(a) == len(b)
     pd.testing.assert_frame_equal(a, b)
+
+
+def test_bounded_message_read_and_stream_gold(spark, tmpdir_run):
+    from leakscope.operators.forest import fit_pipeline, score_forest
+    from leakscope.operators.gold import classify, gold_table
+    from leakscope.plans import medallion as M
+    from leakscope.sources.messages import parse_messages, read_messages
+    from leakscope.streaming.gold import run_gold
+
+    bronze = fx.bronze(spark, SF_SMALL)
+    mpath = os.path.join(tmpdir_run, "messages")
+    to_messages(bronze).write.json(mpath)          # files with key / value columns
+    parsed = parse_messages(read_messages(spark, "json", mpath))
+    assert parsed.count() == bronze.count()
+    assert dict(parsed.dtypes)["event_timestamp"] == "timestamp"
+
+    silver = M.fixture_silver(spark, SF_SMALL)
+    spath = os.path.join(tmpdir_run, "silver")
+    silver.repartition(3).write.parquet(spath)
+    model, _ = fit_pipeline(silver, trees=20, psi=64)
+    gpath = os.path.join(tmpdir_run, "gold")
+    run_gold(spark, spath, gpath, os.path.join(tmpdir_run, "ck"), silver.schema, model, max_files=1)
+    got = spark.read.parquet(gpath).select("event_id", "anomaly_score", "severity", "alert_message")
+    want = gold_table(classify(score_forest(silver, model)), with_clock=False) \
+        .select("event_id", "anomaly_score", "severity", "alert_message")
+    a = got.toPandas().sort_values("event_id").reset_index(drop=True)
+    b = want.toPandas().sort_values("event_id").reset_index(drop=True)
+    pd.testing.assert_frame_equal(a, b)
