@@ -102,6 +102,21 @@ def tree_samples(df: DataFrame, cols: list[str], trees: int, psi: int, seed: int
     if psi_eff == 0:
         raise ValueError("cannot fit a forest on an empty frame")
     scale = 1 << 30
+    # One hash per row draws a uniform pool of about trees x oversample x psi
+    # rows; the per-tree hashes below run on the pool only, whose size does not
+    # grow with the data. The bounded pool is spread over the cluster so the
+    # trees x pool hash step is parallel.
+    pool_target = trees * 4 * oversample * psi_eff
+    if n > pool_target:
+        q = int(pool_target / n * scale)
+        base = base.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed), F.lit(-1)), F.lit(scale))
+                          < F.lit(q))
+        base = materialize(base.repartition(base.sparkSession.sparkContext.defaultParallelism))
+        n = base.count()
+        if n < psi_eff:
+            raise ValueError("pool smaller than psi")
+    else:
+        base = base.repartition(base.sparkSession.sparkContext.defaultParallelism, key)
     while True:
         p = min(1.0, oversample * psi_eff / n)
         thr = int(p * scale)
@@ -230,25 +245,29 @@ def fit_forest(df: DataFrame, cols: list[str] = FOREST_FEATURES, trees: int = 20
 # ---------------------------------------------------------------- J5 scoring
 def _score_udf(model: ForestModel):
     feat, thr, left, right, path = model.arrays()
+    n_trees, width = feat.shape
+    base = (np.arange(n_trees) * width)[:, None]
+    # flat node arrays; child pointers made global (tree offset added)
+    feat_f, thr_f, path_f = feat.ravel(), thr.ravel(), path.ravel()
+    left_f = np.where(feat >= 0, left + base, 0).ravel()
+    right_f = np.where(feat >= 0, right + base, 0).ravel()
     denom = float(c_factor(model.psi)) or 1.0
-    t_idx = np.arange(feat.shape[0])[:, None]
 
     @F.pandas_udf(DoubleType())
     def raw(*cols: pd.Series) -> pd.Series:
         X = np.column_stack([c.to_numpy(dtype=float) for c in cols])
-        n = X.shape[0]
-        node = np.zeros((feat.shape[0], n), dtype=np.int64)
-        r_idx = np.arange(n)[None, :]
-        for _ in range(feat.shape[1]):
-            f = feat[t_idx, node]
-            inner = f >= 0
-            if not inner.any():
-                break
-            x = X[r_idx, np.where(inner, f, 0)]
-            go_left = x < thr[t_idx, node]
-            nxt = np.where(go_left, left[t_idx, node], right[t_idx, node])
-            node = np.where(inner, nxt, node)
-        mean_path = path[t_idx, node].mean(axis=0)
+        n, d = X.shape
+        node = np.repeat(base[:, 0], n)            # (tree, row) pairs, tree-major
+        row = np.tile(np.arange(n), n_trees)
+        Xf = X.ravel()
+        act = np.flatnonzero(feat_f[node] >= 0)    # pairs still at an inner node
+        while act.size:
+            nd = node[act]
+            x = Xf[row[act] * d + feat_f[nd]]
+            nxt = np.where(x < thr_f[nd], left_f[nd], right_f[nd])
+            node[act] = nxt
+            act = act[feat_f[nxt] >= 0]
+        mean_path = path_f[node].reshape(n_trees, n).mean(axis=0)
         return pd.Series(-np.power(2.0, -mean_path / denom))
     return raw
 

@@ -57,3 +57,12 @@ def test_frozen_forest_scores_known_row(spark):
     # tree0 leaf(depth1,size10), tree1 leaf(depth1,size20), tree2 leaf(depth2,size60)
     e = (1 + c_factor(10) + 1 + c_factor(20) + 2 + c_factor(60)) / 3
     assert abs(r - (-(2 ** (-e / c_factor(256))))) < 1e-12
+
+
+def test_pool_sampling_branch_exact_and_partition_independent(spark):
+    s = M.fixture_silver(spark, SF_SMALL)  # ~980 rows > pool target of 5 x 4 x 3 x 8 = 480
+    a, psi = tree_samples(s, FOREST_FEATURES, 5, 8, 42)
+    b, _ = tree_samples(s.repartition(5), FOREST_FEATURES, 5, 8, 42)
+    ka = sorted((r.tree, r.event_id) for r in a.select("tree", "event_id").collect())
+    kb = sorted((r.tree, r.event_id) for r in b.select("tree", "event_id").collect())
+    assert psi == 8 and len(ka) == 40 and ka == kb
