@@ -15,7 +15,8 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from leakscope.session import build_session
     s = build_session(master="local[4]", shuffle_partitions=8,
-                      extra={"spark.driver.memory": "8g"})
+                      extra={"spark.driver.memory": "8g",
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ls-wh-")})
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ls-ckpt-"))
     yield s

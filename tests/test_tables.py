@@ -42,3 +42,17 @@ def test_replace_append_evolve_audit_export(spark, tmpdir_run):
     export_csv(g.where(F.col("severity") == "CRITICAL"), cpath)
     back = spark.read.option("header", True).csv(cpath)
     assert back.count() == g.where(F.col("severity") == "CRITICAL").count()
+
+
+def test_catalog_tables_ddl(spark):
+    from leakscope.sources.tables import bootstrap, describe, drop_table, list_tables
+    bootstrap(spark, "ls_pipeline")
+    name = "ls_pipeline.gold_alerts"
+    g = M.fixture_gold(spark, SF_SMALL).select("event_id", "pipe_segment_id", "severity", "anomaly_score")
+    replace(g, name, ["pipe_segment_id", "severity"])
+    append(g.limit(3), name, ["pipe_segment_id", "severity"])
+    assert load(spark, name).count() == g.count() + 3
+    assert "gold_alerts" in [r.tableName for r in list_tables(spark, "ls_pipeline").collect()]
+    assert "anomaly_score" in [r.col_name for r in describe(spark, name).collect()]
+    drop_table(spark, name)
+    assert "gold_alerts" not in [r.tableName for r in list_tables(spark, "ls_pipeline").collect()]
