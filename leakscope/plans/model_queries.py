@@ -127,3 +127,20 @@ def a15(spark, sf) -> DataFrame:
     """Bronze rows as (key, JSON value) messages."""
     from leakscope.sources.messages import to_messages
     return to_messages(M.fixture_bronze(spark, sf))
+
+
+@query("J9_forest_holdout_report")
+def j9(spark, sf) -> DataFrame:
+    """Classification report of the forest on its 20 % stratified hold-out
+    (label: leak; prediction: anomaly)."""
+    from pyspark.sql import functions as F
+
+    from leakscope.operators.forest import fit_pipeline, score_forest
+    from leakscope.operators.lineage import materialize
+    from leakscope.operators.metrics import classification_report
+    silver = materialize(M.fixture_silver(spark, sf))
+    model, split = fit_pipeline(silver)
+    test = split.where(F.col("split") == "test").drop("split")
+    scored = score_forest(test, model).withColumn(
+        "pred", F.when(F.col("anomaly_prediction") == -1, 1).otherwise(0))
+    return classification_report(scored, "label", "pred", names=("Normal", "Leak"))
