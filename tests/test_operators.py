@@ -122,3 +122,34 @@ def test_kth_key_with_tiebreak(spark):
     key = kth_key(df, "h", ["id"], 50, band_limit=20)
     ordered = sorted((i % 7, f"k{i:03d}") for i in range(200))
     assert key == ordered[49]
+
+
+def _py_message(sev, d, r, z):
+    """Plain-Python statement of the alert text rule (half-up decimals)."""
+    from decimal import ROUND_HALF_UP, Decimal
+    if sev == "NORMAL":
+        return ""
+    parts = []
+    if d is not None and d < -100:
+        parts.append(f"Pressure drop {Decimal(str(d)).quantize(Decimal('1'), ROUND_HALF_UP)} PSI")
+    if r is not None and r > 1.25:
+        parts.append(f"Flow spike x{Decimal(str(r)).quantize(Decimal('0.01'), ROUND_HALF_UP)}")
+    if z is not None and abs(z) > 2.0:
+        parts.append(f"Acoustic anomaly z={Decimal(str(z)).quantize(Decimal('0.01'), ROUND_HALF_UP)}")
+    return "; ".join(parts) if parts else "Multi-sensor anomaly"
+
+
+def test_alert_message_matches_python_rule_on_random_rows(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for _ in range(600):
+        sev = str(rng.choice(["NORMAL", "WARNING", "CRITICAL"]))
+        d = None if rng.random() < 0.1 else round(float(rng.uniform(-400, 50)), 2)
+        r = None if rng.random() < 0.1 else round(float(rng.uniform(0.5, 2.0)), 4)
+        z = None if rng.random() < 0.1 else round(float(rng.uniform(-5, 5)), 4)
+        rows.append((sev, d, r, z))
+    df = spark.createDataFrame(rows, "severity string, pressure_delta double, "
+                                     "flow_imbalance_ratio double, acoustic_zscore double")
+    got = [r.m for r in df.select(alert_message_expr().alias("m")).collect()]
+    want = [_py_message(*row) for row in rows]
+    assert got == want

@@ -118,3 +118,27 @@ def test_bounded_message_read_and_stream_gold(spark, tmpdir_run):
     a = got.toPandas().sort_values("event_id").reset_index(drop=True)
     b = want.toPandas().sort_values("event_id").reset_index(drop=True)
     pd.testing.assert_frame_equal(a, b)
+
+
+def test_stateful_silver_late_row_not_reordered(spark, tmpdir_run):
+    bronze = quality_filter(fx.bronze(spark, SF_SMALL))
+    pdf = bronze.toPandas().sort_values(["event_timestamp", "event_id"])
+    seg = pdf.pipe_segment_id.iloc[0]
+    seg_rows = pdf[pdf.pipe_segment_id == seg]
+    late_id = seg_rows.event_id.iloc[len(seg_rows) // 4]           # an early reading ...
+    cut = pdf.event_timestamp.iloc[len(pdf) // 2]
+    first = bronze.where((F.col("event_timestamp") < F.lit(cut)) & (F.col("event_id") != late_id))
+    second = bronze.where((F.col("event_timestamp") >= F.lit(cut)) | (F.col("event_id") == late_id))
+    bpath = os.path.join(tmpdir_run, "bronze")
+    first.coalesce(1).write.parquet(bpath)
+    second.coalesce(1).write.mode("append").parquet(bpath)          # ... arriving late
+    spath = os.path.join(tmpdir_run, "silver")
+    run_silver_stateful(spark, bpath, spath, os.path.join(tmpdir_run, "ck"), bronze.schema,
+                        max_files=1)
+    got = spark.read.parquet(spath).drop("silver_ts")
+    assert got.where(F.col("event_id") == late_id).count() == 0
+    want = batch_features(bronze.where(F.col("event_id") != late_id))
+    cols = ["event_id"] + BATCH_FEATURES
+    a = got.select(cols).toPandas().sort_values("event_id").reset_index(drop=True)
+    b = want.select(cols).toPandas().sort_values("event_id").reset_index(drop=True)
+    pd.testing.assert_frame_equal(a, b)
