@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-EXACT_LIMIT = 5_000_000
+EXACT_LIMIT = 1_000_000
 BAND_LIMIT = 1_000_000
 ACCURACY = 1_000_000
 

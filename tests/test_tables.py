@@ -56,3 +56,18 @@ def test_catalog_tables_ddl(spark):
     assert "anomaly_score" in [r.col_name for r in describe(spark, name).collect()]
     drop_table(spark, name)
     assert "gold_alerts" not in [r.tableName for r in list_tables(spark, "ls_pipeline").collect()]
+
+
+def test_run_batch_end_to_end(spark, tmpdir_run):
+    from leakscope.operators import reports
+    out = os.path.join(tmpdir_run, "lake")
+    info = M.run_batch(spark, fx.bronze(spark, SF_SMALL), out)
+    silver, gold = load(spark, info["silver"]), load(spark, info["gold"])
+    assert silver.count() == gold.count() == M.fixture_silver(spark, SF_SMALL).count()
+    assert {"silver_ts"} <= set(silver.columns) and {"gold_ts", "severity"} <= set(gold.columns)
+    assert os.path.isdir(os.path.join(info["gold"], "pipe_segment_id=PIPE-001"))
+    kpi = reports.kpi(gold).first()
+    assert kpi.critical_events + kpi.warning_events + kpi.normal_events == gold.count()
+    audit = {r.table_name: r.status for r in table_audit(
+        spark, [(info["silver"], "silver_ts"), (info["gold"], "gold_ts")]).collect()}
+    assert set(audit.values()) == {"ok"}
