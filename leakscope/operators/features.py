@@ -20,7 +20,8 @@ ORDER = [EVENT_TS, EVENT_ID]  # event_id breaks timestamp ties
 
 
 def batch_features(df: DataFrame, n: int = 10, eps: float = 0.0001,
-                   bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                   bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
+                   widths: dict | None = None) -> DataFrame:
     """E1-E7 on quality-filtered readings.
 
     n-row trailing means of pressure (2 dp), flow (2 dp), acoustic (4 dp);
@@ -30,7 +31,7 @@ def batch_features(df: DataFrame, n: int = 10, eps: float = 0.0001,
     are dropped.
     """
     cols = df.columns
-    frame = with_halo(df, SEGMENT, ORDER, EVENT_TS, n - 1, bucket_seconds)
+    frame = with_halo(df, SEGMENT, ORDER, EVENT_TS, n - 1, bucket_seconds, widths=widths)
     w = chunk_window(SEGMENT, ORDER)
     roll = w.rowsBetween(-(n - 1), 0)
     p, f, a = (F.col(c) for c in ("pressure_psi", "flow_rate_lpm", "acoustic_g_rms"))

@@ -58,8 +58,12 @@ def epoch_seconds(df: DataFrame, ts: str) -> Column:
     return F.unix_seconds(F.col(ts))
 
 
-def _width_expr(df: DataFrame, key: str, ts: str, target_rows: int) -> Column:
-    """Per-key bucket width in seconds so that a bucket holds ~target_rows rows."""
+def bucket_widths(df: DataFrame, key: str, ts: str, target_rows: int = TARGET_ROWS) -> dict:
+    """Per-key bucket width in seconds so that a bucket holds ~target_rows rows:
+    ``{"by_key": {key: width}, "default": width}``. Widths only steer
+    partitioning (results do not depend on them), so they may be computed on
+    a cheaper frame than the one windowed, e.g. the raw table's (key, time)
+    columns. One grouped aggregate; the key count is checked before collecting."""
     st = (df.select(key, epoch_seconds(df, ts).alias("_s")).groupBy(key)
           .agg(F.count(F.lit(1)).alias("n"), F.min("_s").alias("lo"), F.max("_s").alias("hi"))
           .limit(MAX_KEYS_FOR_MAP + 1).collect())
@@ -68,30 +72,31 @@ def _width_expr(df: DataFrame, key: str, ts: str, target_rows: int) -> Column:
         span = (hi - lo + 1) if (lo is not None and hi is not None) else 1
         return max(1, int(math.ceil(span * target_rows / max(n, 1))))
     if not st:
-        return F.lit(86400)
+        return {"by_key": {}, "default": 86400}
     if len(st) > MAX_KEYS_FOR_MAP:  # too many keys for a literal map: one width
-        agg = df.select(epoch_seconds(df, ts).alias("_s")).agg(
+        n, lo, hi, k = df.select(key, epoch_seconds(df, ts).alias("_s")).agg(
             F.count(F.lit(1)), F.min("_s"), F.max("_s"), F.countDistinct(key)).first()
-        n, lo, hi, k = agg
-        return F.lit(width(max(1, n // max(k, 1)), lo, hi))
-    pairs = []
-    for r in st:
-        if r[key] is not None:
-            pairs += [F.lit(r[key]), F.lit(width(r["n"], r["lo"], r["hi"]))]
-    default = max([width(r["n"], r["lo"], r["hi"]) for r in st])
+        return {"by_key": {}, "default": width(max(1, n // max(k, 1)), lo, hi)}
+    by_key = {r[key]: width(r["n"], r["lo"], r["hi"]) for r in st if r[key] is not None}
+    return {"by_key": by_key, "default": max([width(r["n"], r["lo"], r["hi"]) for r in st])}
+
+
+def _width_column(widths: dict, key: str) -> Column:
+    pairs = [x for k, w in widths["by_key"].items() for x in (F.lit(k), F.lit(w))]
     if not pairs:
-        return F.lit(default)
-    return F.coalesce(F.element_at(F.create_map(*pairs), F.col(key)), F.lit(default))
+        return F.lit(widths["default"])
+    return F.coalesce(F.element_at(F.create_map(*pairs), F.col(key)), F.lit(widths["default"]))
 
 
 def time_bucket(df: DataFrame, ts: str, seconds: int | None = None, key: str | None = None,
-                target_rows: int = TARGET_ROWS) -> Column:
+                target_rows: int = TARGET_ROWS, widths: dict | None = None) -> Column:
     """Monotone (within a key) bucket number of a timestamp column; NULL times
-    go to ``NULL_BUCKET``. ``seconds=None`` picks the width per ``key``."""
+    go to ``NULL_BUCKET``. ``seconds=None`` uses per-key ``widths`` (computed
+    from ``df`` when not given)."""
     if seconds is None:
         if key is None:
             raise ValueError("adaptive buckets need the key column")
-        w = _width_expr(df, key, ts, target_rows)
+        w = _width_column(widths or bucket_widths(df, key, ts, target_rows), key)
     else:
         w = F.lit(seconds)
     return F.coalesce(F.floor(epoch_seconds(df, ts) / w), F.lit(NULL_BUCKET)).cast("bigint")
@@ -107,7 +112,7 @@ def bucket_counts(df: DataFrame, key: str, bucket: str = "_b") -> DataFrame:
 
 def with_halo(df: DataFrame, key: str, order: list[str], ts: str, halo: int,
               bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-              target_rows: int = TARGET_ROWS) -> DataFrame:
+              target_rows: int = TARGET_ROWS, widths: dict | None = None) -> DataFrame:
     """All rows of ``df`` tagged ``_chunk`` (their bucket) and ``_halo = false``,
     plus copies of the up to ``halo`` rows preceding each bucket tagged with
     that bucket and ``_halo = true``.
@@ -117,7 +122,7 @@ def with_halo(df: DataFrame, key: str, order: list[str], ts: str, halo: int,
     ``order`` must start with ``ts`` and be a total order within a key.
     """
     cols = df.columns
-    x = df.withColumn("_b", time_bucket(df, ts, bucket_seconds, key, target_rows))
+    x = df.withColumn("_b", time_bucket(df, ts, bucket_seconds, key, target_rows, widths))
     main = x.withColumn("_chunk", F.col("_b")).withColumn("_halo", F.lit(False)).drop("_b")
     if halo <= 0:
         return main

@@ -15,14 +15,21 @@ from leakscope.operators.features import batch_features
 from leakscope.operators.forest import fit_pipeline, score_forest
 from leakscope.operators.gold import classify, gold_table, prediction_from_score
 from leakscope.operators.quality import quality_filter
-from leakscope.operators.windowing import DEFAULT_BUCKET_SECONDS
+from leakscope.operators.windowing import DEFAULT_BUCKET_SECONDS, bucket_widths
+from leakscope.schemas import EVENT_TS, SEGMENT
 from leakscope.sources import fixtures as fx
 
 
 def silver(bronze: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
            with_clock: bool = False) -> DataFrame:
-    """Bronze -> quality filter -> batch features (+ ``silver_ts``)."""
-    out = batch_features(quality_filter(bronze), bucket_seconds=bucket_seconds)
+    """Bronze -> quality filter -> batch features (+ ``silver_ts``). Bucket
+    widths come from Bronze's (segment, time) columns only: a two-column scan
+    instead of a pass over the filtered rows (widths steer partitioning, not
+    results)."""
+    widths = None
+    if bucket_seconds is None:
+        widths = bucket_widths(bronze.select(SEGMENT, EVENT_TS), SEGMENT, EVENT_TS)
+    out = batch_features(quality_filter(bronze), bucket_seconds=bucket_seconds, widths=widths)
     return out.withColumn("silver_ts", F.current_timestamp()) if with_clock else out
 
 
