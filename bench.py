@@ -24,7 +24,6 @@ from leakscope.operators import reports  # noqa: E402
 from leakscope.operators.features import microbatch_features, sequences  # noqa: E402
 from leakscope.operators.forest import fit_pipeline, score_forest  # noqa: E402
 from leakscope.operators.gold import classify, gold_table  # noqa: E402
-from leakscope.operators.lineage import materialize  # noqa: E402
 from leakscope.plans import medallion as M  # noqa: E402
 from leakscope.schemas import SENSORS  # noqa: E402
 from leakscope.session import build_session, scratch_path  # noqa: E402

@@ -29,7 +29,7 @@ from leakscope.operators.joins import new_only
 from leakscope.operators.quality import quality_filter, quality_report
 from leakscope.operators.selection import exact_quantile
 from leakscope.plans import medallion as M
-from leakscope.schemas import (BATCH_FEATURES, EVENT_ID, EVENT_TS, FOREST_FEATURES, SEGMENT,
+from leakscope.schemas import (EVENT_ID, EVENT_TS, FOREST_FEATURES, SEGMENT,
                                SENSORS)
 from leakscope.sources import fixtures as fx
 from leakscope.sources.messages import parse_json
