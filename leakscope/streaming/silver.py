@@ -77,24 +77,30 @@ def _stateful_fn(n: int, out_cols: list[str]):
         new = pd.concat(list(chunks), ignore_index=True)
         new["event_timestamp_us"] = new["event_timestamp"].astype("int64") // 1000
         new = new.sort_values(["event_timestamp_us", "event_id"], kind="mergesort")
+        late_before = 0
         if state.exists:
             prev = pd.DataFrame([tuple(r) for r in state.get[0]], columns=_STATE_COLS)
+            late_before = int(state.get[1] or 0)
         else:
             prev = pd.DataFrame(columns=_STATE_COLS)
         last_ts = prev["event_timestamp_us"].max() if len(prev) else None
         late = (new["event_timestamp_us"] < last_ts) if last_ts is not None else \
             pd.Series(False, index=new.index)
         on_time = new[~late]
-        hist = pd.concat([prev.assign(_new=False), on_time.assign(_new=True)], ignore_index=True)
+        parts = [f for f in (prev.assign(_new=False), on_time.assign(_new=True)) if len(f)]
+        hist = (pd.concat(parts, ignore_index=True) if parts
+                else on_time.assign(_new=True))
         feats = _trailing(hist, n)
         emitted = pd.concat([hist, feats], axis=1)
         emitted = emitted[emitted["_new"]].drop(columns=["_new"])
         late_rows = new[late].copy()
         for c in RAW_FEATURES:
             late_rows[c] = np.nan  # late: not reordered, no features (dropped downstream)
-        out = pd.concat([emitted, late_rows], ignore_index=True)
+        out = pd.concat([f for f in (emitted, late_rows) if len(f)] or [emitted],
+                        ignore_index=True)
         rows = hist[_STATE_COLS].tail(keep)
-        state.update((list(map(tuple, rows.itertuples(index=False, name=None))),))
+        state.update((list(map(tuple, rows.itertuples(index=False, name=None))),
+                      late_before + int(late.sum())))
         if len(out):
             yield out[out_cols]
     return fn
@@ -106,7 +112,8 @@ def stateful_features(stream: DataFrame, n: int = 10, eps: float = 0.0001) -> Da
     in_schema = clean.schema
     out_schema = StructType(list(in_schema.fields) + [StructField(c, DoubleType())
                                                       for c in RAW_FEATURES])
-    state_schema = StructType([StructField("_rows", ArrayType(STATE_SCHEMA))])
+    state_schema = StructType([StructField("_rows", ArrayType(STATE_SCHEMA)),
+                               StructField("late", LongType())])
     raw = clean.groupBy(SEGMENT).applyInPandasWithState(
         _stateful_fn(n, [f.name for f in out_schema.fields]), out_schema, state_schema,
         "append", GroupStateTimeout.NoTimeout)
@@ -126,6 +133,19 @@ def stateful_features(stream: DataFrame, n: int = 10, eps: float = 0.0001) -> Da
     return out.dropna()
 
 
+def late_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Rows per segment that arrived older than the segment's state (not
+    reordered, no features), read from the stateful query's state store."""
+    st = spark.read.format("statestore").load(checkpoint)
+    value = F.col("value")
+    vtype = st.schema["value"].dataType
+    if "late" not in vtype.fieldNames():  # state of applyInPandasWithState is wrapped
+        inner = vtype.fieldNames()[0]
+        value = value.getField(inner)
+    return st.select(F.col("key").getField(SEGMENT).alias(SEGMENT),
+                     value.getField("late").alias("late_rows"))
+
+
 def run_silver_stateful(spark: SparkSession, bronze_path: str, silver_path: str,
                         checkpoint: str, schema: StructType, n: int = 10,
                         max_files: int | None = None, wait: bool = True) -> StreamingQuery:

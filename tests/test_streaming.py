@@ -137,6 +137,9 @@ def test_stateful_silver_late_row_not_reordered(spark, tmpdir_run):
                         max_files=1)
     got = spark.read.parquet(spath).drop("silver_ts")
     assert got.where(F.col("event_id") == late_id).count() == 0
+    from leakscope.streaming.silver import late_counts
+    late = {r.pipe_segment_id: r.late_rows for r in late_counts(spark, os.path.join(tmpdir_run, "ck")).collect()}
+    assert late[seg] == 1 and sum(late.values()) == 1
     want = batch_features(bronze.where(F.col("event_id") != late_id))
     cols = ["event_id"] + BATCH_FEATURES
     a = got.select(cols).toPandas().sort_values("event_id").reset_index(drop=True)
