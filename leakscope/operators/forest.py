@@ -230,7 +230,11 @@ def fit_forest(df: DataFrame, cols: list[str] = FOREST_FEATURES, trees: int = 20
     ``contamination`` quantile of the raw training scores."""
     sample, psi_eff = tree_samples(df, cols, trees, psi, seed, key)
     max_depth = int(math.ceil(math.log2(max(psi_eff, 2))))
-    nodes = (sample.groupBy("tree")
+    # The sample is small (trees x psi rows), so AQE would coalesce it into one
+    # partition and fit every tree in one Python task. An explicit hash
+    # repartition by tree spreads the trees over the cluster; groupBy reuses it.
+    parts = max(1, min(trees, sample.sparkSession.sparkContext.defaultParallelism))
+    nodes = (sample.repartition(parts, "tree").groupBy("tree")
              .applyInPandas(_fit_tree_fn(cols, key, seed, max_depth), NODE_SCHEMA))
     nodes = materialize(nodes)  # model table; cut lineage from the sample
     model = ForestModel(nodes, list(cols), psi_eff, trees, seed, 0.0, contamination,
