@@ -133,9 +133,27 @@ def stateful_features(stream: DataFrame, n: int = 10, eps: float = 0.0001) -> Da
     return out.dropna()
 
 
+def run_messages_to_silver(spark: SparkSession, fmt: str, source: str, silver_path: str,
+                           checkpoint: str, opts: dict | None = None,
+                           max_per_trigger: int | None = None, n: int = 10,
+                           wait: bool = True) -> StreamingQuery:
+    """Messages -> parsed Bronze rows -> stateful Silver in one query. The rate
+    cap applies to the message source (Kafka offsets keyed by segment keep each
+    segment in order; files are taken in arrival order)."""
+    from leakscope.streaming.bronze import bronze_stream
+    rows = bronze_stream(spark, fmt, source, opts, max_per_trigger)
+    out = stateful_features(rows, n).withColumn("silver_ts", F.current_timestamp())
+    q = (out.writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(silver_path))
+    if wait:
+        q.awaitTermination()
+    return q
+
+
 def late_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Rows per segment that arrived older than the segment's state (not
     reordered, no features), read from the stateful query's state store."""
+    spark.streams  # creates the state-store coordinator in a session that ran no stream
     st = spark.read.format("statestore").load(checkpoint)
     value = F.col("value")
     vtype = st.schema["value"].dataType
@@ -149,7 +167,15 @@ def late_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
 def run_silver_stateful(spark: SparkSession, bronze_path: str, silver_path: str,
                         checkpoint: str, schema: StructType, n: int = 10,
                         max_files: int | None = None, wait: bool = True) -> StreamingQuery:
-    """I7 started as an ``availableNow`` append stream into parquet."""
+    """I7 started as an ``availableNow`` append stream into parquet.
+
+    Ordering: the file source takes files in modification-time order, and one
+    upstream Bronze batch writes several files per segment in no time order.
+    A ``max_files`` cap can therefore split a batch and deliver a segment's
+    earlier rows after its later ones (they are then counted as late). Leave
+    it unset over a stream-written Bronze table (each trigger takes whole
+    committed batches), or use ``run_messages_to_silver``, whose cap applies to
+    the message source itself."""
     r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)

@@ -24,10 +24,13 @@ def _write_message_files(spark, bronze, d, k=3):
     pdf = pdf.assign(_t=ts.values).sort_values("_t").drop(columns="_t")
     parts = [pdf.iloc[int(len(pdf) * j / k):int(len(pdf) * (j + 1) / k)] for j in range(k)]
     os.makedirs(d, exist_ok=True)
+    t0 = 1_700_000_000
     for j, part in enumerate(parts):
-        with open(os.path.join(d, f"part-{j:03d}.json"), "w") as fh:
+        path = os.path.join(d, f"part-{j:03d}.json")
+        with open(path, "w") as fh:
             for v in part["value"]:
                 fh.write(v + "\n")
+        os.utime(path, (t0 + j, t0 + j))  # arrival order = modification time order
     return pdf
 
 
@@ -169,3 +172,19 @@ def test_streaming_job_order_messages_to_gold(spark, tmpdir_run):
     # a second run finds nothing new
     M.run_streaming(spark, "text", src, lake, model)
     assert spark.read.parquet(paths["gold"]).count() == silver.count()
+
+
+def test_messages_to_stateful_silver_one_query(spark, tmpdir_run):
+    from leakscope.streaming.silver import late_counts, run_messages_to_silver
+    bronze = fx.bronze(spark, SF_SMALL)
+    src = os.path.join(tmpdir_run, "msgs")
+    _write_message_files(spark, bronze, src, k=4)   # four files in time order
+    out, ck = os.path.join(tmpdir_run, "silver"), os.path.join(tmpdir_run, "ck")
+    run_messages_to_silver(spark, "text", src, out, ck, max_per_trigger=1)
+    got = spark.read.parquet(out)
+    want = batch_features(quality_filter(bronze))
+    cols = ["event_id"] + BATCH_FEATURES
+    a = got.select(cols).toPandas().sort_values("event_id").reset_index(drop=True)
+    b = want.select(cols).toPandas().sort_values("event_id").reset_index(drop=True)
+    pd.testing.assert_frame_equal(a, b)
+    assert sum(r.late_rows for r in late_counts(spark, ck).collect()) == 0
