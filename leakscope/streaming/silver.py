@@ -83,9 +83,12 @@ def _stateful_fn(n: int, out_cols: list[str]):
             late_before = int(state.get[1] or 0)
         else:
             prev = pd.DataFrame(columns=_STATE_COLS)
-        last_ts = prev["event_timestamp_us"].max() if len(prev) else None
-        late = (new["event_timestamp_us"] < last_ts) if last_ts is not None else \
-            pd.Series(False, index=new.index)
+        if len(prev):  # late = before the last kept reading in (time, event_id) order
+            last_ts, last_id = prev["event_timestamp_us"].iloc[-1], prev["event_id"].iloc[-1]
+            ts = new["event_timestamp_us"]
+            late = (ts < last_ts) | ((ts == last_ts) & (new["event_id"] < last_id))
+        else:
+            late = pd.Series(False, index=new.index)
         on_time = new[~late]
         parts = [f for f in (prev.assign(_new=False), on_time.assign(_new=True)) if len(f)]
         hist = (pd.concat(parts, ignore_index=True) if parts
