@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 EXACT_LIMIT = 1_000_000
 BAND_LIMIT = 1_000_000
-ACCURACY = 1_000_000
+ACCURACY = 10_000  # sketch size ~ (1/eps) log(eps N): a few MB; narrowing repeats instead
 
 
 def _band(df: DataFrame, value: str, k_lo: int, k_hi: int, order: list[str],
@@ -68,7 +68,13 @@ def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "quantile",
     i = int(math.floor(pos))
     frac = pos - i
     k_lo, k_hi = i + 1, min(i + 2, n)
-    rows = ranked_rows(vals, col, k_lo, k_hi)
+    band, below = _band(vals, col, k_lo, k_hi, [], BAND_LIMIT, ACCURACY, n)
+    lo, hi = band.agg(F.min(col), F.max(col)).first()
+    if lo == hi:  # heavy ties: the band is one value, which is the answer (no ranking)
+        return band.agg(F.min(col).alias(alias))
+    w = Window.orderBy(F.col(col))
+    rows = (band.withColumn("_rank", F.row_number().over(w) + F.lit(below))
+            .where(F.col("_rank").between(k_lo, k_hi)))
     a = F.max(F.when(F.col("_rank") == k_lo, F.col(col)))
     b = F.max(F.when(F.col("_rank") == k_hi, F.col(col)))
     return rows.agg((a + (b - a) * F.lit(frac)).alias(alias))

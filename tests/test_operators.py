@@ -153,3 +153,16 @@ def test_alert_message_matches_python_rule_on_random_rows(spark):
     got = [r.m for r in df.select(alert_message_expr().alias("m")).collect()]
     want = [_py_message(*row) for row in rows]
     assert got == want
+
+
+def test_exact_quantile_heavy_ties_without_ranking(spark):
+    import leakscope.operators.selection as S
+    vals = [1.0] * 2000 + [2.0] * 10 + [0.5] * 10
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    old = S.BAND_LIMIT
+    S.BAND_LIMIT = 50
+    try:
+        got = exact_quantile(df, "v", 0.5, exact_limit=10).first()[0]
+    finally:
+        S.BAND_LIMIT = old
+    assert got == 1.0
