@@ -14,6 +14,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leakscope.operators.lineage import materialize
+
 EXACT_LIMIT = 1_000_000
 BAND_LIMIT = 1_000_000
 ACCURACY = 10_000  # sketch size ~ (1/eps) log(eps N): a few MB; narrowing repeats instead
@@ -26,6 +28,7 @@ def _band(df: DataFrame, value: str, k_lo: int, k_hi: int, order: list[str],
     v = F.col(value)
     band, below = df, 0
     n_band = band.count() if n is None else n
+    n_total, cut = n_band, False
     width = 4.0 / accuracy
     while n_band > band_limit:
         q_lo = max(0.0, (k_lo - below - 1) / n_band - width)
@@ -34,7 +37,11 @@ def _band(df: DataFrame, value: str, k_lo: int, k_hi: int, order: list[str],
         c_below, c_in = band.agg(F.count_if(v < F.lit(lo)),
                                  F.count_if(v.between(F.lit(lo), F.lit(hi)))).first()
         if below + c_below < k_lo and k_hi <= below + c_below + c_in and c_in < n_band:
-            band, below, n_band = band.where(v.between(F.lit(lo), F.lit(hi))), below + c_below, c_in
+            band, below = band.where(v.between(F.lit(lo), F.lit(hi))), below + c_below
+            if c_in * 100 <= n_total and not cut:
+                # small enough to keep: later passes read the band, not the input
+                band, cut = materialize(band), True
+            n_band = c_in
         elif width >= 1.0:
             break  # cannot narrow (heavy ties): rank the band as it is
         else:
