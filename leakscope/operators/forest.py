@@ -31,6 +31,7 @@ from leakscope.operators.gold import prediction_from_score
 from leakscope.operators.lineage import materialize
 from leakscope.operators.selection import exact_quantile, key_leq, kth_key
 from leakscope.schemas import EVENT_ID, FOREST_FEATURES
+from leakscope.session import parallelism
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -111,12 +112,12 @@ def tree_samples(df: DataFrame, cols: list[str], trees: int, psi: int, seed: int
         q = int(pool_target / n * scale)
         base = base.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed), F.lit(-1)), F.lit(scale))
                           < F.lit(q))
-        base = materialize(base.repartition(base.sparkSession.sparkContext.defaultParallelism))
+        base = materialize(base.repartition(parallelism(base.sparkSession)))
         n = base.count()
         if n < psi_eff:
             raise ValueError("pool smaller than psi")
     else:
-        base = base.repartition(base.sparkSession.sparkContext.defaultParallelism, key)
+        base = base.repartition(parallelism(base.sparkSession), key)
     while True:
         p = min(1.0, oversample * psi_eff / n)
         thr = int(p * scale)
@@ -233,7 +234,7 @@ def fit_forest(df: DataFrame, cols: list[str] = FOREST_FEATURES, trees: int = 20
     # The sample is small (trees x psi rows), so AQE would coalesce it into one
     # partition and fit every tree in one Python task. An explicit hash
     # repartition by tree spreads the trees over the cluster; groupBy reuses it.
-    parts = max(1, min(trees, sample.sparkSession.sparkContext.defaultParallelism))
+    parts = max(1, min(trees, parallelism(sample.sparkSession)))
     nodes = (sample.repartition(parts, "tree").groupBy("tree")
              .applyInPandas(_fit_tree_fn(cols, key, seed, max_depth), NODE_SCHEMA))
     nodes = materialize(nodes)  # model table; cut lineage from the sample

@@ -37,16 +37,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     created. Lineage is cut with ``checkpoint()`` into this folder, never with
     ``localCheckpoint``.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns checkpointing
+        return d or ""
+    d = d or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="leakscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(d)
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(d)
     return d
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Number of task slots (default parallelism), or the shuffle partition
+    count where no SparkContext is reachable (Spark Connect)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), name)
