@@ -166,3 +166,30 @@ def test_exact_quantile_heavy_ties_without_ranking(spark):
     finally:
         S.BAND_LIMIT = old
     assert got == 1.0
+
+
+def test_round_half_up_matches_decimal_rule(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from leakscope.functions.rounding import round_half_up
+
+    values = []
+
+    @settings(max_examples=400, derandomize=True)
+    @given(st.floats(min_value=-5000, max_value=5000, allow_nan=False, allow_infinity=False),
+           st.integers(min_value=0, max_value=4))
+    def collect(x, n):
+        values.append((x, n))
+    collect()
+    df = spark.createDataFrame(values, "x double, n int")
+    got = [r.r for r in df.select(
+        *[round_half_up(F.when(F.col("n") == k, F.col("x")), k).alias(f"r{k}") for k in range(5)])
+        .select(F.coalesce(*[F.col(f"r{k}") for k in range(5)]).alias("r")).collect()]
+
+    def rule(x, n):
+        eight = Decimal(repr(x)).quantize(Decimal("1e-8"), ROUND_HALF_UP)
+        return float(eight.quantize(Decimal(1).scaleb(-n), ROUND_HALF_UP))
+    assert got == [rule(x, n) for x, n in values]
