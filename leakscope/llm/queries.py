@@ -6,24 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leakscope.llm import decontaminate, linededup, pieces, simhash, toxicity
+from leakscope.llm import (chat, decontaminate, hmm, imatch, linededup, pieces, simhash, substring, suffixes,
+                           toxicity)
 from leakscope.llm.common import table
 
 TOKENIZERS = "/opt/tokenizers"
 
 
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.report(table(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.report(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.report(table(spark, sf_dir, "documents"))
+
+
+def op4_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(table(spark, sf_dir, "documents"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str, tokenizers: str = TOKENIZERS) -> DataFrame:
     return pieces.digests(table(spark, sf_dir, "documents"), f"{tokenizers}/piece_bpe_32k.model")
 
 
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.maximal(table(spark, sf_dir, "conversations"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -33,9 +54,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_line_dedup, op5_sentencepiece, op7_toxicity, op9_simhash, op10_decontamination)}
+    f.__name__: f for f in (op1_imatch, op2_line_dedup, op3_substring_dedup, op4_hmm, op5_sentencepiece,
+                            op6_suffix_array, op7_toxicity, op8_chat, op9_simhash, op10_decontamination)}
 
 LINE_RUN = linededup.MIN_RUN
+SUB_WORDS = substring.LENGTH
 
 ORACLES: dict[str, str] = {
     "op2_line_dedup": f"""
@@ -55,6 +78,31 @@ kept AS (SELECT d.doc_id, string_agg(u.line, chr(10) ORDER BY u.i) AS t
 SELECT d.doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
        coalesce(n_runs, 0)::BIGINT AS n_runs, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op3_substring_dedup": rf"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                  lambda x: x <> '') AS w FROM documents),
+win AS (SELECT doc_id, s, array_to_string(list_slice(w, s, s + {SUB_WORDS - 1}), ' ') AS k
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - {SUB_WORDS - 2})) AS s FROM d)),
+later AS (SELECT doc_id, s FROM win QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, s) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + {SUB_WORDS})) AS i FROM later),
+n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY doc_id),
+kept AS (SELECT u.doc_id, string_agg(u.x, ' ' ORDER BY u.i) AS t
+         FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d) u
+         LEFT JOIN gone ON gone.doc_id = u.doc_id AND gone.i = u.i WHERE gone.i IS NULL GROUP BY u.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op8_chat": """
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+r AS (SELECT conv_id, turn, row_number() OVER w AS i,
+             string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '')
+             OVER w AS so_far, string_agg(concat(role IS NULL, length(role), ':', role, text IS NULL, length(text), ':', text), '')
+             OVER w AS exact, count(*) OVER (PARTITION BY conv_id) AS n
+      FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)),
+whole AS (SELECT exact, min(conv_id) AS conv_id, count(*) AS n_copies FROM r WHERE i = n GROUP BY exact)
+SELECT whole.conv_id, n AS n_turns, n_copies, so_far AS rendered
+FROM whole JOIN r ON r.conv_id = whole.conv_id AND r.i = r.n
+WHERE whole.exact NOT IN (SELECT exact FROM r WHERE i < n)""",
     "op10_decontamination": r"""
 WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
               'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
