@@ -93,39 +93,55 @@ def _lexicon(sample: DataFrame, max_terms: int, min_g: float) -> list[str]:
 
 def document_frequencies(docs: DataFrame, lexicon: list[str]) -> tuple[int, np.ndarray]:
     """Documents, and those that hold each lexicon term, over the whole corpus."""
-    at = {t: i for i, t in enumerate(lexicon)}
+    size = len(lexicon)
 
     def run(batches):
-        df, n = np.zeros(len(at) + 1, np.int64), 0
+        known = Known({t: i for i, t in enumerate(lexicon)})
+        df, n = np.zeros(size + 1, np.int64), 0
         for b in batches:
             for t in b.column(0).to_pylist():
-                df[_known(t, at)[0]] += 1
+                df[known(t)[0]] += 1
                 n += 1
         df[-1] = n
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], ["i", "n"])
     got = docs.select("text").mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
-    df = np.zeros(len(at) + 1, np.int64)
+    df = np.zeros(size + 1, np.int64)
     for r in got:
         df[r["i"]] = r["n"]
     return int(df[-1]), df[:-1]
 
 
-def _known(text: str | None, at: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers and counts of the lexicon terms in a text."""
-    out: dict[int, int] = {}
-    for w, n in Counter(WORD.findall((text or "").lower())).items():
-        for t in (w, "^" + w[:4], "^" + w[:5] if len(w) > 4 else None):
-            if (i := at.get(t)) is not None:
-                out[i] = out.get(i, 0) + n
-    i = np.array(sorted(out), np.int64)
-    return i, np.array([out[k] for k in i.tolist()], np.float64)
+class Known(dict):
+    """Word -> numbers of the lexicon terms that it is or begins with, filled
+    as words come (bounded)."""
+
+    def __init__(self, at: dict[str, int]) -> None:
+        super().__init__()
+        self.at = at
+
+    def __missing__(self, w: str) -> tuple[int, ...]:
+        if len(self) > 300_000:
+            self.clear()
+        got = (self.at.get(w), self.at.get("^" + w[:4]), self.at.get("^" + w[:5]) if len(w) > 4 else None)
+        out = self[w] = tuple(i for i in got if i is not None)
+        return out
+
+    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and counts of the lexicon terms in a text."""
+        out: dict[int, int] = {}
+        for numbers in filter(None, map(self.__getitem__, WORD.findall((text or "").lower()))):
+            for i in numbers:
+                out[i] = out.get(i, 0) + 1
+        i = np.array(sorted(out), np.int64)
+        return i, np.array([out[k] for k in i.tolist()], np.float64)
 
 
 class Index:
-    """Unit vectors of the examples by term, in blocks with their maxima."""
+    """Unit vectors of the examples by term, in blocks with their maxima. A text
+    may also come as its term numbers and counts."""
 
     def __init__(self, lexicon: list[str], idf: np.ndarray, rows: list[tuple]) -> None:
-        self.at, self.idf = {t: i for i, t in enumerate(lexicon)}, idf
+        self.known, self.idf = Known({t: i for i, t in enumerate(lexicon)}), idf
         made = [(i, y, *self.vector(t)) for i, y, t in rows]
         made = [m for m in made if len(m[2])]
         made.sort(key=lambda m: (int(m[2][np.argmax(m[3])]), m[0]))  # alike examples share blocks
@@ -139,10 +155,19 @@ class Index:
         self.curve = (np.array([0.0]), np.array([0.0]))
         self.unknown = 0.0
 
-    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        i, n = _known(text, self.at)
+    def parts(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k != "known"} | {"at": self.known.at}
+
+    @classmethod
+    def of(cls, parts: dict) -> Index:
+        out = cls.__new__(cls)
+        vars(out).update({k: v for k, v in parts.items() if k != "at"}, known=Known(parts["at"]))
+        return out
+
+    def vector(self, text: str | tuple | None) -> tuple[np.ndarray, np.ndarray]:
+        i, n = text if isinstance(text, tuple) else self.known(text)
         v = (1 + np.log(n)) * self.idf[i]
-        return i, v / (np.sqrt((v * v).sum()) or 1.0)
+        return i, v / (math.sqrt((v * v).sum()) or 1.0)
 
     def nearest(self, i: np.ndarray, v: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples, best first."""
@@ -207,46 +232,37 @@ def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, ma
     lexicon = _lexicon(sample, max_terms, min_g)
     n, df = document_frequencies(docs, lexicon) if lexicon else (0, np.zeros(0))
     idf = np.log((1 + n) / (1 + df)) + 1
-    at = {t: i for i, t in enumerate(lexicon)}
-
     def run(batches):  # only lexicon terms leave a task, never whole texts
-        back = sorted(at, key=at.get)
+        known = Known({t: i for i, t in enumerate(lexicon)})
         for b in batches:
-            rows = [_known(t, at) for t in b.column(2).to_pylist()]
+            rows = [known(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([i.tolist() for i, _ in rows], pa.list_(pa.int64())),
                  pa.array([c.tolist() for _, c in rows], pa.list_(pa.float64()))], ["doc_id", "toxic", "i", "n"])
     got = sample.select("doc_id", "toxic", "text").mapInArrow(
         run, "doc_id long, toxic int, i array<long>, n array<double>").collect()
     rows = [(r["doc_id"], r["toxic"], (np.array(r["i"], np.int64), np.array(r["n"]))) for r in got]
-    index = _PreparedIndex(lexicon, idf, rows)
+    index = Index(lexicon, idf, rows)
     rate = labels.select(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
     index.calibrate(rate, rows, k)
     return index
 
 
-class _PreparedIndex(Index):
-    """An index whose examples come as (term numbers, counts)."""
-
-    def vector(self, text):
-        if isinstance(text, tuple):
-            i, n = text
-            v = (1 + np.log(n)) * self.idf[i]
-            return i, v / (math.sqrt((v * v).sum()) or 1.0)
-        return super().vector(text)
-
-
 RESULT = StructType([StructField("score", DoubleType()), StructField("neighbours", ArrayType(LongType())),
                      StructField("cosines", ArrayType(DoubleType()))])
 
 
 def scorer(docs: DataFrame, index: Index, k: int = NEIGHBOURS):
-    """A column function text -> struct(score, neighbours, cosines)."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    """A column function text -> struct(score, neighbours, cosines). The index
+    is broadcast as plain arrays and built once in each worker process."""
+    shared = docs.sparkSession.sparkContext.broadcast(index.parts())
 
     @F.arrow_udf(RESULT)
     def score(texts: pa.Array) -> pa.Array:
-        got = [shared.value.score(t, k) for t in texts.to_pylist()]
+        own = getattr(shared, "index", None)
+        if own is None:
+            own = shared.index = Index.of(shared.value)
+        got = [own.score(t, k) for t in texts.to_pylist()]
         return pa.StructArray.from_arrays(
             [pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.list_(pa.int64())),
              pa.array([g[2] for g in got], pa.list_(pa.float64()))], ["score", "neighbours", "cosines"])
