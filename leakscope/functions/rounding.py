@@ -2,7 +2,10 @@
 
 ``round(double, n)`` rounds the binary value; engines differ on values whose
 decimal expansion sits on a tie. Every rounded output here goes through an
-8-place decimal first, so Spark and any SQL engine agree on every cell.
+8-place decimal first, so Spark and any SQL engine agree on every cell (a value
+within 5e-9 of a tie therefore rounds as the tie). The decimal is wide enough
+for any sum: 18 digits where ten integer digits are enough, 38 beyond, and from
+1e16 on, where a double has no fraction left, the value itself.
 """
 
 from pyspark.sql import Column
@@ -11,9 +14,13 @@ from pyspark.sql import functions as F
 
 def round_half_up(c, n: int) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("decimal(18,8)"), n).cast("double")
+    narrow = F.round(c.cast("decimal(18,8)"), n).cast("double")
+    wide = F.round(c.cast("decimal(38,8)"), n).cast("double")
+    size = F.abs(c.cast("double"))
+    return F.when(size < 1e9, narrow).when(size < 1e16, wide).otherwise(c.cast("double"))
 
 
 def round_sql(expr: str, n: int) -> str:
     """The same rounding as SQL text (for oracles and SQL-defined views)."""
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(18,8)), {n}) AS DOUBLE)"
+    return (f"CASE WHEN ABS({expr}) < 1e16 THEN CAST(ROUND(CAST({expr} AS DECIMAL(38,8)), {n}) AS DOUBLE) "
+            f"ELSE CAST({expr} AS DOUBLE) END")

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leakscope.functions.rounding import round_half_up
-from leakscope.operators.windowing import (DEFAULT_BUCKET_SECONDS, MAX_KEYS_FOR_MAP,
-                                           chunk_window, drop_halo, with_halo)
+from leakscope.operators.lineage import as_table
+from leakscope.operators.windowing import (DEFAULT_BUCKET_SECONDS, TARGET_ROWS, chunk_window, drop_halo,
+                                           with_halo)
 from leakscope.schemas import EVENT_ID, EVENT_TS, SEGMENT, SENSORS
 
 ORDER = [EVENT_TS, EVENT_ID]  # event_id breaks timestamp ties
@@ -21,7 +22,8 @@ ORDER = [EVENT_TS, EVENT_ID]  # event_id breaks timestamp ties
 
 def batch_features(df: DataFrame, n: int = 10, eps: float = 0.0001,
                    bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-                   widths: dict | None = None) -> DataFrame:
+                   plan: list[DataFrame] | None = None,
+                   target_rows: int = TARGET_ROWS) -> DataFrame:
     """E1-E7 on quality-filtered readings.
 
     n-row trailing means of pressure (2 dp), flow (2 dp), acoustic (4 dp);
@@ -31,7 +33,7 @@ def batch_features(df: DataFrame, n: int = 10, eps: float = 0.0001,
     are dropped.
     """
     cols = df.columns
-    frame = with_halo(df, SEGMENT, ORDER, EVENT_TS, n - 1, bucket_seconds, widths=widths)
+    frame = with_halo(df, SEGMENT, ORDER, EVENT_TS, n - 1, bucket_seconds, target_rows, plan)
     w = chunk_window(SEGMENT, ORDER)
     roll = w.rowsBetween(-(n - 1), 0)
     p, f, a = (F.col(c) for c in ("pressure_psi", "flow_rate_lpm", "acoustic_g_rms"))
@@ -61,20 +63,11 @@ def segment_stats(df: DataFrame, col: str = "acoustic_g_rms") -> DataFrame:
 
 
 def _with_segment_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach per-segment statistics. With at most ``MAX_KEYS_FOR_MAP``
-    segments (checked) they travel as literal maps, so the rows are not
-    shuffled by a (possibly hot) segment key; otherwise a normal join."""
-    rows = stats.limit(MAX_KEYS_FOR_MAP + 1).collect()
-    if len(rows) > MAX_KEYS_FOR_MAP:
-        return df.join(stats, SEGMENT, "left")
-    cols = [c for c in stats.columns if c != SEGMENT]
-    out = {}
-    for c in cols:
-        pairs = [x for r in rows if r[SEGMENT] is not None and r[c] is not None
-                 for x in (F.lit(r[SEGMENT]), F.lit(float(r[c])))]
-        out[c] = (F.element_at(F.create_map(*pairs), F.col(SEGMENT)) if pairs
-                  else F.lit(None).cast("double"))
-    return df.withColumns(out)
+    """Attach per-segment statistics. They are written first, so Spark knows
+    their size: a small table is broadcast and the rows are not shuffled by
+    a (possibly hot) segment key; a large one is joined by sort-merge, where
+    adaptive execution splits skewed segments."""
+    return df.join(as_table(stats, "segment-stats"), SEGMENT, "left")
 
 
 def microbatch_features(df: DataFrame, baseline: float = 1000.0,

@@ -9,7 +9,7 @@ Isolation forest (Liu, Ting, Zhou 2008):
   of raw scores on the training rows; anomaly_score = raw - offset (< 0 means
   anomaly).
 
-Spark layout: sampling is a hash filter + per-tree top-psi (partial
+Spark layout: sampling is a hash draw + per-tree top-psi (partial
 WindowGroupLimit), fitting is ``groupBy("tree").applyInPandas`` (one small
 group per tree), the model is a node table with a proven size bound
 (trees x (2 ** (depth + 1) - 1) rows), and scoring is a vectorised
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StructField, StructType)
 
 from leakscope.operators.gold import prediction_from_score
-from leakscope.operators.lineage import materialize
-from leakscope.operators.selection import exact_quantile, key_leq, kth_key
+from leakscope.operators.lineage import as_table, materialize
+from leakscope.operators.selection import exact_quantile, smallest_per_group
 from leakscope.schemas import EVENT_ID, FOREST_FEATURES
 from leakscope.session import parallelism
 
@@ -47,27 +47,31 @@ def c_factor(n) -> np.ndarray:
     return out
 
 
+# ---------------------------------------------------------------- hashes
+HASH_BITS = 52
+
+
+def hash52(*parts) -> F.Column:
+    """The first 13 hexadecimal digits of md5 over the parts joined by ':', as
+    a number: any engine that has md5 draws the same rows."""
+    text = F.concat_ws(":", *[p if isinstance(p, F.Column) else F.lit(str(p)) for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint")
+
+
 # ---------------------------------------------------------------- J1 split
 def stratified_split(df: DataFrame, label: str, frac: float = 0.2, seed: int = 42,
-                     key: str = EVENT_ID, max_classes: int = 100) -> DataFrame:
+                     key: str = EVENT_ID, rows_per_cell: int = 100_000) -> DataFrame:
     """Adds ``split`` = 'test' for exactly ceil(frac * n_c) rows of every class c
-    (those with the smallest xxhash64(key, seed), ties by key), else 'train'.
-    Independent of partitioning; no window over a whole class."""
-    h = F.xxhash64(F.col(key).cast("string"), F.lit(seed))
-    x = df.withColumn("_h", h)
-    classes = x.groupBy(label).count().limit(max_classes + 1).collect()
-    if len(classes) > max_classes:
-        raise ValueError("too many strata for a stratified split")
-    test = F.lit(False)
-    for row in classes:
-        lv, n = row[label], row["count"]
-        k = int(math.ceil(frac * n))
-        if k == 0:
-            continue
-        sel = F.col(label).isNull() if lv is None else (F.col(label) == F.lit(lv))
-        bound = kth_key(x.where(sel), "_h", [key], k, n=n)
-        test = test | (sel & key_leq("_h", [key], bound))
-    return x.withColumn("split", F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop("_h")
+    (those with the smallest hash52(seed, key), ties by key), else 'train'.
+    Independent of partitioning; no window over a whole class; any number of
+    classes (the edges are a table that is joined)."""
+    x = df.withColumn("_h", hash52(seed, F.col(key).cast("string")))
+    edges = as_table(smallest_per_group(x, label, "_h", key, frac, rows_per_cell)
+                     .withColumnRenamed(label, "_label"), "split-edges")
+    j = x.join(edges, x[label].eqNullSafe(edges["_label"]), "left")
+    test = F.struct(F.col("_h").alias("v"), F.col(key).alias("k")) <= F.col("edge")
+    return (j.withColumn("split", F.when(test, F.lit("test")).otherwise(F.lit("train")))
+            .drop("_h", "_label", "edge"))
 
 
 # ---------------------------------------------------------------- J2 scaling
@@ -93,49 +97,40 @@ def standardise(df: DataFrame, stats: dict, cols: list[str] | None = None,
 # ---------------------------------------------------------------- J3 sampling
 def tree_samples(df: DataFrame, cols: list[str], trees: int, psi: int, seed: int,
                  key: str = EVENT_ID, oversample: float = 3.0) -> tuple[DataFrame, int]:
-    """Rows (tree, key, *cols): for every tree the psi_eff = min(psi, n) rows with
-    the smallest xxhash64(key, seed, tree). A cheap hash pre-filter keeps about
-    ``oversample * psi`` candidates per tree so the explode stays narrow; the
-    per-tree top-psi is a partial WindowGroupLimit."""
+    """Rows (tree, key, *cols): for every tree psi_eff = min(psi, n) rows.
+
+    One definition for all sizes: every (row, tree) pair is a candidate with
+    chance p = min(1, oversample * psi / n), and of its candidates a tree takes
+    the psi_eff with the smallest hash52(seed, tree, key). A row's candidate
+    trees come from hashes of the row alone. The number of trees before its
+    first is geometric, so one hash decides it, and the trees after the first
+    are drawn one by one, which only the few rows that have a first tree pay.
+    The top psi of a tree is a partial WindowGroupLimit."""
     base = df.select(F.col(key).cast("string").alias(key), *cols)
     n = base.count()
     psi_eff = min(psi, n)
     if psi_eff == 0:
         raise ValueError("cannot fit a forest on an empty frame")
-    scale = 1 << 30
-    # One hash per row draws a uniform pool of about trees x oversample x psi
-    # rows; the per-tree hashes below run on the pool only, whose size does not
-    # grow with the data. The bounded pool is spread over the cluster so the
-    # trees x pool hash step is parallel.
-    pool_target = trees * 4 * oversample * psi_eff
-    if n > pool_target:
-        q = int(pool_target / n * scale)
-        base = base.where(F.pmod(F.xxhash64(F.col(key), F.lit(seed), F.lit(-1)), F.lit(scale))
-                          < F.lit(q))
-        base = materialize(base.repartition(parallelism(base.sparkSession)))
-        n = base.count()
-        if n < psi_eff:
-            raise ValueError("pool smaller than psi")
-    else:
-        base = base.repartition(parallelism(base.sparkSession), key)
+    unit = float(1 << HASH_BITS)
     while True:
         p = min(1.0, oversample * psi_eff / n)
-        thr = int(p * scale)
-        tree_ids = F.sequence(F.lit(0), F.lit(trees - 1))
-        if p >= 1.0:
-            picked = tree_ids
+        if p < 1.0:
+            u = hash52(seed, "first", F.col(key)) / F.lit(unit)
+            first = F.floor(F.log(1 - u) / F.lit(math.log1p(-p))).cast("int")
+            rest = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: (t > F.col("_first")) & (
+                hash52(seed, "next", t.cast("string"), F.col(key)) < F.lit(p * unit)))
+            picked = (base.withColumn("_first", first).where(F.col("_first") < trees)
+                      .withColumn("tree", F.explode(F.concat(F.array("_first"), rest))).drop("_first"))
         else:
-            picked = F.filter(tree_ids, lambda t: F.pmod(F.xxhash64(F.col(key), F.lit(seed), t),
-                                                         F.lit(scale)) < F.lit(thr))
-        cand = (base.withColumn("tree", F.explode(picked))
-                .withColumn("_h", F.xxhash64(F.col(key), F.lit(seed), F.col("tree"))))
+            picked = base.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        cand = picked.withColumn("_h", hash52(seed, F.col("tree").cast("string"), F.col(key)))
         w = Window.partitionBy("tree").orderBy("_h", key)
         sample = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= psi_eff)
         sample = materialize(sample.drop("_r", "_h"))  # trees x psi rows
         full = sample.groupBy("tree").count().where(F.col("count") == psi_eff).count()
         if full == trees or p >= 1.0:
             return sample, psi_eff
-        oversample *= 4
+        oversample *= 2
 
 
 # ---------------------------------------------------------------- J3 fitting
@@ -240,7 +235,8 @@ def fit_forest(df: DataFrame, cols: list[str] = FOREST_FEATURES, trees: int = 20
     nodes = materialize(nodes)  # model table; cut lineage from the sample
     model = ForestModel(nodes, list(cols), psi_eff, trees, seed, 0.0, contamination,
                         scaler or {})
-    raw = materialize(raw_scores(df, model).select("_raw"))
+    # one column, read a few times while the band narrows
+    raw = as_table(raw_scores(df, model).select("_raw"), "raw-scores")
     off = exact_quantile(raw, "_raw", contamination).first()[0]
     model.offset = float(off) if off is not None else 0.0
     return model
@@ -303,7 +299,7 @@ def fit_pipeline(silver: DataFrame, label_col: str = "is_anomaly", frac: float =
     on the standardised train rows. Returns (model, split frame)."""
     from leakscope.functions.severity import binary_label_expr
     lab = silver.withColumn("label", binary_label_expr(label_col, positive="leak"))
-    split = materialize(stratified_split(lab, "label", frac, seed))
+    split = stratified_split(lab, "label", frac, seed)  # a predicate: nothing is copied
     train = split.where(F.col("split") == "train")
     stats = fit_standard_scaler(train, cols)
     model = fit_forest(standardise(train, stats, cols), cols, trees, psi, contamination,

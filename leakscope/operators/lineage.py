@@ -8,9 +8,13 @@ persisted for the duration of the checkpoint and released afterwards.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from leakscope.session import scratch_path
+
 
 def materialize(df: DataFrame) -> DataFrame:
     df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -18,3 +22,12 @@ def materialize(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
+
+
+def as_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back. Unlike a checkpoint,
+    Spark knows the size of the files, so a join broadcasts a small table and
+    shuffles a large one by Spark's own threshold."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,8 +1,9 @@
 """J10 (re-aimed): versioned model store on plain parquet.
 
 Layout under ``root``: ``<name>/v<version>/`` holds the model tables and a
-one-row ``meta`` table; ``<name>/aliases`` maps alias -> version. Resolving
-"production" = the aliased version, else the latest version. Models here are
+one-row ``meta`` table; ``<name>/aliases`` is an append-only log of (alias,
+version, number), of which the highest number counts. Resolving "production" =
+the aliased version, else the latest version. Models here are
 Spark tables (forest node table, scaler rows) or MLlib models, so loading never
 depends on a driver-side pickle.
 """
@@ -20,6 +21,9 @@ from leakscope.operators.forest import ForestModel
 from leakscope.operators.sequence import SequenceModel
 
 
+ALIAS_SCHEMA = "alias string, version int, number long"
+
+
 def _versions(spark: SparkSession, root: str, name: str) -> list[int]:
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(os.path.join(root, name))
@@ -62,18 +66,24 @@ def save_sequence(spark: SparkSession, root: str, name: str, model: SequenceMode
     return v
 
 
-def set_alias(spark: SparkSession, root: str, name: str, alias: str, version: int) -> None:
-    """Point ``alias`` at ``version`` (one small table per model name)."""
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _alias_log(spark: SparkSession, root: str, name: str):
     p = os.path.join(root, name, "aliases")
-    rows = {}
-    try:
-        rows = {r.alias: r.version for r in spark.read.parquet(p).collect()}
-    except Exception:  # noqa: BLE001 - first alias
-        pass
-    rows[alias] = version
-    spark.createDataFrame(sorted(rows.items()), "alias string, version int") \
-        .coalesce(1).write.mode("overwrite").parquet(p + ".tmp")
-    spark.read.parquet(p + ".tmp").write.mode("overwrite").parquet(p)
+    return spark.read.schema(ALIAS_SCHEMA).parquet(p) if _exists(spark, p) else None
+
+
+def set_alias(spark: SparkSession, root: str, name: str, alias: str, version: int) -> None:
+    """Point ``alias`` at ``version``: one appended row; an error leaves the log
+    as it was."""
+    log = _alias_log(spark, root, name)
+    last = log.agg(F.max("number")).first()[0] if log is not None else None
+    (spark.range(1).select(F.lit(alias).alias("alias"), F.lit(version).alias("version"),
+                           F.lit((last or 0) + 1).cast("long").alias("number"))
+     .write.mode("append").parquet(os.path.join(root, name, "aliases")))
 
 
 def resolve(spark: SparkSession, root: str, name: str, version_or_alias=None) -> int:
@@ -81,13 +91,11 @@ def resolve(spark: SparkSession, root: str, name: str, version_or_alias=None) ->
     if isinstance(version_or_alias, int):
         return version_or_alias
     alias = version_or_alias or "production"
-    try:
-        hit = spark.read.parquet(os.path.join(root, name, "aliases")) \
-            .where(F.col("alias") == alias).first()
+    log = _alias_log(spark, root, name)
+    if log is not None:
+        hit = log.where(F.col("alias") == alias).orderBy(F.desc("number")).first()
         if hit is not None:
             return int(hit.version)
-    except Exception:  # noqa: BLE001 - no alias table yet
-        pass
     if version_or_alias is not None:
         raise KeyError(f"unknown alias {alias!r} for {name}")
     vs = _versions(spark, root, name)

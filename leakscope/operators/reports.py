@@ -230,10 +230,12 @@ def critical_digest(gold: DataFrame) -> DataFrame:
         .orderBy(F.col("critical_count").desc(), SEGMENT))
 
 
-def critical_digest_ranked(gold: DataFrame, since=None, red_below: float = -0.10) -> DataFrame:
+def critical_digest_ranked(gold: DataFrame, since=None, red_below: float = -0.10,
+                           n_segments: int = 5) -> DataFrame:
     """D6 restricted to ``event_timestamp >= since``; the message of the
     lowest-scoring event (ties by event_id); priority rank by count (ties by
-    segment); colour band red when the worst score is below ``red_below``.
+    segment); share of the ``n_segments`` segments that have critical events, in per
+    cent; colour band red when the worst score is below ``red_below``.
     The rank window runs over the digest (one row per segment), not raw rows."""
     g = gold.where(CRIT())
     if since is not None:
@@ -248,7 +250,8 @@ def critical_digest_ranked(gold: DataFrame, since=None, red_below: float = -0.10
         F.min_by("alert_message", F.struct("anomaly_score", EVENT_ID)).alias("worst_alert_message"),
         F.max(EVENT_TS).alias("last_seen"))
     w = Window.orderBy(F.col("critical_count").desc(), F.col(SEGMENT))
-    return (d.withColumn("priority_rank", F.row_number().over(w))
+    share = rhu(F.count(F.lit(1)).over(Window.partitionBy()) * 100.0 / F.lit(n_segments), 1)
+    return (d.withColumn("priority_rank", F.row_number().over(w)).withColumn("segments_share_pct", share)
             .withColumn("band", F.when(F.col("_worst") < F.lit(red_below), F.lit("red"))
                         .otherwise(F.lit("amber")))
             .withColumn("worst_anomaly_score", rhu("_worst", 4)).drop("_worst")

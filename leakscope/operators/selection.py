@@ -1,10 +1,12 @@
 """Exact order statistics without one task holding all values.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer. It is used only below a checked row count
-(``EXACT_LIMIT``). Above it, the rank is located by narrowing a value band
-with ``percentile_approx`` (bounded sketch) plus exact counts, until the band
-holds at most ``BAND_LIMIT`` rows; only that band is ranked exactly.
+aggregation buffer. Here the wanted ranks are located by narrowing a value band
+with ``percentile_approx`` (bounded sketch) plus exact counts until the band
+holds at most ``band_limit`` rows or cannot be narrowed (heavy ties). The band
+is then reduced to its distinct values with their counts, and a running total
+over those gives the values at the ranks: equal rows, however many, are one
+row of that table. There is one path for all sizes.
 """
 
 from __future__ import annotations
@@ -16,19 +18,17 @@ from pyspark.sql import functions as F
 
 from leakscope.operators.lineage import materialize
 
-EXACT_LIMIT = 1_000_000
 BAND_LIMIT = 1_000_000
 ACCURACY = 10_000  # sketch size ~ (1/eps) log(eps N): a few MB; narrowing repeats instead
 
 
-def _band(df: DataFrame, value: str, k_lo: int, k_hi: int, order: list[str],
-          band_limit: int, accuracy: int, n: int | None = None) -> tuple[DataFrame, int]:
-    """Rows whose (value, *order) rank lies in a band containing the 1-based
-    ranks ``k_lo..k_hi``; returns (band rows, number of rows ranked below)."""
+def _band(df: DataFrame, value: str, k_lo: int, k_hi: int, band_limit: int, accuracy: int,
+          n: int) -> tuple[DataFrame, int]:
+    """Rows whose value rank lies in a band containing the 1-based ranks
+    ``k_lo..k_hi``; returns (band rows, number of rows ranked below)."""
     v = F.col(value)
     band, below = df, 0
-    n_band = band.count() if n is None else n
-    n_total, cut = n_band, False
+    n_band, cut = n, False
     width = 4.0 / accuracy
     while n_band > band_limit:
         q_lo = max(0.0, (k_lo - below - 1) / n_band - width)
@@ -38,74 +38,64 @@ def _band(df: DataFrame, value: str, k_lo: int, k_hi: int, order: list[str],
                                  F.count_if(v.between(F.lit(lo), F.lit(hi)))).first()
         if below + c_below < k_lo and k_hi <= below + c_below + c_in and c_in < n_band:
             band, below = band.where(v.between(F.lit(lo), F.lit(hi))), below + c_below
-            if c_in * 100 <= n_total and not cut:
+            if c_in * 100 <= n and not cut:
                 # small enough to keep: later passes read the band, not the input
                 band, cut = materialize(band), True
             n_band = c_in
         elif width >= 1.0:
-            break  # cannot narrow (heavy ties): rank the band as it is
+            break  # heavy ties: few distinct values are left
         else:
             width *= 4
     return band, below
 
 
-def ranked_rows(df: DataFrame, value: str, k_lo: int, k_hi: int, order: list[str] | None = None,
-                band_limit: int = BAND_LIMIT, accuracy: int = ACCURACY,
-                n: int | None = None) -> DataFrame:
-    """The rows of 1-based rank ``k_lo..k_hi`` by (value, *order) with column ``_rank``.
-    ``n`` (row count of ``df``) saves a pass when the caller knows it."""
-    order = order or []
-    band, below = _band(df, value, k_lo, k_hi, order, band_limit, accuracy, n)
-    # A global window over the band only, which is bounded by band_limit.
-    w = Window.orderBy(F.col(value), *[F.col(c) for c in order])
-    return (band.withColumn("_rank", F.row_number().over(w) + F.lit(below))
-            .where(F.col("_rank").between(k_lo, k_hi)))
+def values_at(df: DataFrame, col: str, k_lo: int, k_hi: int, n: int, band_limit: int = BAND_LIMIT,
+              accuracy: int = ACCURACY) -> DataFrame:
+    """(value, first, last): the distinct values that hold the 1-based ranks
+    ``k_lo..k_hi`` of the ``n`` rows, with the ranks that each covers."""
+    band, below = _band(df, col, k_lo, k_hi, band_limit, accuracy, n)
+    # a running total over the band's distinct values only
+    w = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    return (band.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("_c"))
+            .withColumn("last", F.sum("_c").over(w) + F.lit(below))
+            .withColumn("first", F.col("last") - F.col("_c") + 1)
+            .where((F.col("last") >= k_lo) & (F.col("first") <= k_hi)).drop("_c"))
 
 
 def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "quantile",
-                   exact_limit: int = EXACT_LIMIT) -> DataFrame:
+                   band_limit: int = BAND_LIMIT, accuracy: int = ACCURACY) -> DataFrame:
     """One-row DataFrame: the q-quantile of the non-NULL values of ``col`` with
     linear interpolation between closest ranks (same definition as
     ``percentile`` / ``quantile_cont``)."""
     vals = df.select(col).where(F.col(col).isNotNull() & ~F.isnan(col))
     n = vals.count()
-    if n <= exact_limit:
-        return vals.agg(F.percentile(col, q).alias(alias))
-    pos = q * (n - 1)
+    pos = q * max(n - 1, 0)
     i = int(math.floor(pos))
-    frac = pos - i
-    k_lo, k_hi = i + 1, min(i + 2, n)
-    band, below = _band(vals, col, k_lo, k_hi, [], BAND_LIMIT, ACCURACY, n)
-    lo, hi = band.agg(F.min(col), F.max(col)).first()
-    if lo == hi:  # heavy ties: the band is one value, which is the answer (no ranking)
-        return band.agg(F.min(col).alias(alias))
-    w = Window.orderBy(F.col(col))
-    rows = (band.withColumn("_rank", F.row_number().over(w) + F.lit(below))
-            .where(F.col("_rank").between(k_lo, k_hi)))
-    a = F.max(F.when(F.col("_rank") == k_lo, F.col(col)))
-    b = F.max(F.when(F.col("_rank") == k_hi, F.col(col)))
-    return rows.agg((a + (b - a) * F.lit(frac)).alias(alias))
-
-
-def quantile_value(df: DataFrame, col: str, q: float, exact_limit: int = EXACT_LIMIT) -> float | None:
-    return exact_quantile(df, col, q, exact_limit=exact_limit).first()[0]
-
-
-def kth_key(df: DataFrame, value: str, order: list[str], k: int,
-            band_limit: int = BAND_LIMIT, n: int | None = None) -> tuple | None:
-    """(value, *order) of the k-th smallest row (1-based), exact."""
-    if k <= 0:
-        return None
-    r = ranked_rows(df, value, k, k, order, band_limit=band_limit, n=n).first()
-    return None if r is None else tuple(r[c] for c in [value] + order)
-
-
-def key_leq(value: str, order: list[str], key: tuple) -> Column:
-    """Lexicographic (value, *order) <= key."""
-    cols = [value] + order
-    cond = F.lit(False)
-    eq = F.lit(True)
-    for c, kv in zip(cols, key):
-        cond = cond | (eq & (F.col(c) < F.lit(kv)))
-        eq = eq & (F.col(c) == F.lit(kv))
-    return cond | eq
+    k_lo, k_hi = i + 1, max(1, min(i + 2, n))
+    at = values_at(vals, col, k_lo, k_hi, n, band_limit, accuracy)
+    a = F.max(F.when(F.lit(k_lo).between(F.col("first"), F.col("last")), F.col("value")))
+    b = F.max(F.when(F.lit(k_hi).between(F.col("first"), F.col("last")), F.col("value")))
+    return at.agg((a + (b - a) * F.lit(pos - i)).alias(alias))
+
+
+def smallest_per_group(df: DataFrame, group: str, value: str, key: str, share: float,
+                       rows_per_cell: int = 100_000) -> DataFrame:
+    """(group, edge): per group the largest (value, key) struct among its
+    ceil(share x rows) smallest; ``value`` is a hash of 52 bits. Counts per
+    (group, leading bits) find the cell that holds the edge, and only that
+    cell's rows are ranked, so no task sees a whole group, however large."""
+    n = df.count()
+    bits = min(40, max(0, math.ceil(math.log2(max(1, n / rows_per_cell)))))
+    cell = F.shiftright(F.col(value), 52 - bits)
+    x = df.select(F.col(group).alias("_g"), F.col(value).alias("_v"), F.col(key).alias("_key"), cell.alias("_cell"))
+    w = Window.partitionBy("_g").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    cells = x.groupBy("_g", "_cell").agg(F.count(F.lit(1)).alias("_c")).withColumn("_upto", F.sum("_c").over(w))
+    want = cells.groupBy("_g").agg(F.ceil(F.lit(share) * F.sum("_c")).alias("_k"))
+    edge = (cells.join(want.withColumnRenamed("_g", "_wg"), F.col("_g").eqNullSafe(F.col("_wg")))
+            .where((F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_c") < F.col("_k")))
+            .select(F.col("_g").alias("_eg"), F.col("_cell").alias("_ecell"),
+                    (F.col("_k") - (F.col("_upto") - F.col("_c"))).alias("_need")))
+    ranked = (x.join(edge, F.col("_g").eqNullSafe(F.col("_eg")) & (F.col("_cell") == F.col("_ecell")))
+              .withColumn("_r", F.row_number().over(Window.partitionBy("_g").orderBy("_v", "_key"))))
+    return (ranked.where("_r <= _need").groupBy(F.col("_g").alias(group))
+            .agg(F.max(F.struct(F.col("_v").alias("v"), F.col("_key").alias("k"))).alias("edge")))

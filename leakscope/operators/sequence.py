@@ -23,11 +23,14 @@ from leakscope.functions.severity import (combined_severity_expr, detection_sour
                                           dual_message_expr)
 from leakscope.functions.timeutil import ts_lit
 from leakscope.operators.features import fit_minmax, minmax_scale, sequences
-from leakscope.operators.lineage import materialize
-from leakscope.operators.windowing import DEFAULT_BUCKET_SECONDS, bucket_counts, time_bucket
+from leakscope.operators.lineage import as_table, materialize
+from leakscope.operators.windowing import DEFAULT_BUCKET_SECONDS, TARGET_ROWS, bucket_counts, with_bucket
 from leakscope.schemas import DUAL_GOLD_COLUMNS, EVENT_ID, EVENT_TS, SEGMENT, SEQUENCE_FEATURES
 
 
+MAX_FIT_ROWS = 2_000_000  # bounded sample of labelled rows that the optimizer iterates over
+
+
 @dataclass
 class SequenceModel:
     mlp: MultilayerPerceptronClassificationModel
@@ -38,12 +41,12 @@ class SequenceModel:
 
 
 def positional_split(df: DataFrame, frac: float = 0.8, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-                     ) -> DataFrame:
+                     target_rows: int = TARGET_ROWS) -> DataFrame:
     """Adds ``split``: the first floor(frac * n) rows in (segment, time,
     event_id) order are 'train', the rest 'test'. Exact without a global
     window: bucket counts (small) locate the boundary bucket, and only that
     bucket is ranked."""
-    x = df.withColumn("_b", time_bucket(df, EVENT_TS, bucket_seconds, SEGMENT))
+    x = with_bucket(df, SEGMENT, EVENT_TS, EVENT_ID, bucket_seconds, target_rows)
     counts = bucket_counts(x.select(SEGMENT, "_b"), SEGMENT).select(SEGMENT, "_b", "_n")
     # a running total over the (segments x buckets) count table only
     w = Window.orderBy(SEGMENT, "_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -54,9 +57,9 @@ def positional_split(df: DataFrame, frac: float = 0.8, bucket_seconds: int | Non
     if boundary is None:
         return x.withColumn("split", F.lit("test" if k == 0 else "train")).drop("_b")
     seg, b, before = boundary[SEGMENT], boundary["_b"], boundary["_before"]
-    in_b = (F.col(SEGMENT) == F.lit(seg)) & (F.col("_b") == F.lit(b))
-    earlier = (F.col(SEGMENT) < F.lit(seg)) | ((F.col(SEGMENT) == F.lit(seg)) &
-                                                (F.col("_b") < F.lit(b)))
+    b = F.array(*[F.lit(i) for i in b]).cast("array<bigint>")
+    in_b = (F.col(SEGMENT) == F.lit(seg)) & (F.col("_b") == b)
+    earlier = (F.col(SEGMENT) < F.lit(seg)) | ((F.col(SEGMENT) == F.lit(seg)) & (F.col("_b") < b))
     edge = (x.where(in_b).select(EVENT_ID, EVENT_TS)
             .withColumn("_r", F.row_number().over(Window.orderBy(EVENT_TS, EVENT_ID)))
             .where(F.col("_r") == k - before).first())
@@ -86,14 +89,20 @@ def sequence_frame(df: DataFrame, scaler: dict, cols=SEQUENCE_FEATURES, n: int =
 
 def fit_sequence_model(df: DataFrame, label: str = "label", cols=SEQUENCE_FEATURES, n: int = 20,
                        hidden: int = 16, max_iter: int = 100, seed: int = 42,
-                       threshold: float = 0.5) -> tuple[SequenceModel, DataFrame]:
-    """Fit the scaler, build sequences, split positionally 80/20, train the MLP.
+                       threshold: float = 0.5,
+                       max_fit_rows: int = MAX_FIT_ROWS) -> tuple[SequenceModel, DataFrame]:
+    """Fit the scaler, build sequences, split positionally 80/20, train the MLP
+    on about ``max_fit_rows`` labelled rows at most.
     Returns (model, test rows with predictions)."""
     scaler = fit_minmax(df, list(cols))
-    # read by the split's passes and by every optimizer iteration: cut once
-    seq = materialize(sequence_frame(df, scaler, cols, n, label))
-    seq = materialize(positional_split(seq, 0.8))
+    # rows with a full history, split by position on the narrow key columns; the
+    # vectors are read by every optimizer iteration, so they are cut once
+    seq = positional_split(sequence_frame(df, scaler, cols, n, label).drop("seq"), 0.8)
+    seq = materialize(seq)
     train = seq.where(F.col("split") == "train")
+    rows = train.count()
+    if rows > max_fit_rows:  # the fit's bound; the rows of smallest hash, of both classes alike
+        train = train.where(F.pmod(F.xxhash64(EVENT_ID), F.lit(1 << 20)) < F.lit(int(max_fit_rows / rows * (1 << 20))))
     mlp = MultilayerPerceptronClassifier(layers=[n * len(cols), hidden, 2], maxIter=max_iter,
                                          seed=seed, labelCol=label, featuresCol="features")
     model = SequenceModel(mlp.fit(train), scaler, list(cols), n, threshold)
@@ -112,6 +121,8 @@ def predict(seq: DataFrame, model: SequenceModel, out: str = "lstm_anomaly") ->
 def dual_gold(scored: DataFrame, model: SequenceModel) -> DataFrame:
     """Forest flag and sequence flag as columns of one frame (no join):
     severity, detection source and message (H3-H5), dual Gold projection."""
+    # the window plan reads its input for rows and for halos: score once, before it
+    scored = as_table(scored, "scored")
     seq = sequence_frame(scored, model.scaler, model.cols, model.n, label=None, keep_all=True)
     flagged = predict(seq, model).withColumn(
         "if_anomaly", F.when(F.col("anomaly_prediction") == -1, 1).otherwise(0).cast("int"))

@@ -3,8 +3,8 @@
 A window ``PARTITION BY segment ORDER BY time ROWS n PRECEDING`` runs each
 segment in one task: with a handful of segments, one of them holding a third of
 100 TB, that is neither parallel nor able to fit in memory. Here every segment
-is cut into time buckets and each bucket is sent, together with the ``halo``
-rows that precede it in the segment, to its own window partition
+is cut into buckets of neighbouring rows and each bucket is sent, together with
+the ``halo`` rows that precede it in the segment, to its own window partition
 ``(segment, bucket)``. Frames reaching back at most ``halo`` rows are then
 exact for the bucket's own rows; the halo copies are dropped afterwards.
 
@@ -22,30 +22,35 @@ How the halo rows are found without ranking the whole segment:
    them to ``counts`` (offsets are unique per segment). Sparse buckets, which
    need rows from several earlier buckets, come out right by the same rule.
 
-The big input is shuffled once (by the caller's window); the extra work is two
-aggregates over small tables.
-
-Bucket width: fixed (``bucket_seconds``) or, by default, chosen per key so a
-bucket holds about ``target_rows`` rows: one small aggregate gives every key's
-row count and time span, and width = span x target / count. A key that holds a
-third of all rows simply gets narrower buckets. The widths travel as a literal
-map (no join on the main path); the number of keys is checked first.
+The big input is shuffled once (by the caller's window); the extra work is
+aggregates over narrow columns and joins with small tables.
+
+Buckets: fixed (``bucket_seconds``) or, by default, planned so that a bucket
+holds about ``target_rows`` rows. The plan refines overfull buckets level by
+level. A bucket that is too large gets its own start and width, taken from the
+smallest and largest value of its first varying dimension: time in
+microseconds, then the tie-breaking id, seven bytes at a time. One stray time
+costs one level, a burst within a microsecond is cut by id, and rows without a
+time (which sort first) are cut by id as well. A bucket number is the path of
+cell numbers, whose order is the row order. Each level is a table of (segment,
+path) with one row for each refined bucket; the join to it is broadcast only if
+Spark finds the table small.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
-# Bucket used for rows without a timestamp: sorts before every real bucket,
-# as NULL sorts first in an ascending window order.
-NULL_BUCKET = -(2 ** 62)
-DEFAULT_BUCKET_SECONDS = None   # None: adaptive width per key
+from leakscope.operators.lineage import as_table
+
+NULL_TIME = -(2 ** 61)          # sorts before every time, as NULL does
+DEFAULT_BUCKET_SECONDS = None   # None: planned buckets
 TARGET_ROWS = 1_000_000         # rows per (key, bucket) window partition
-MAX_KEYS_FOR_MAP = 20_000       # above this, one global width
+SLACK = 1.5                     # a bucket is refined beyond this many targets
+ID_CHUNKS = 6                   # times seven bytes of the id that can be told apart
+MAX_LEVELS = 16
 
 
 def epoch_seconds(df: DataFrame, ts: str) -> Column:
@@ -58,48 +63,79 @@ def epoch_seconds(df: DataFrame, ts: str) -> Column:
     return F.unix_seconds(F.col(ts))
 
 
-def bucket_widths(df: DataFrame, key: str, ts: str, target_rows: int = TARGET_ROWS) -> dict:
-    """Per-key bucket width in seconds so that a bucket holds ~target_rows rows:
-    ``{"by_key": {key: width}, "default": width}``. Widths only steer
-    partitioning (results do not depend on them), so they may be computed on
-    a cheaper frame than the one windowed, e.g. the raw table's (key, time)
-    columns. One grouped aggregate; the key count is checked before collecting."""
-    st = (df.select(key, epoch_seconds(df, ts).alias("_s")).groupBy(key)
-          .agg(F.count(F.lit(1)).alias("n"), F.min("_s").alias("lo"), F.max("_s").alias("hi"))
-          .limit(MAX_KEYS_FOR_MAP + 1).collect())
-
-    def width(n, lo, hi):
-        span = (hi - lo + 1) if (lo is not None and hi is not None) else 1
-        return max(1, int(math.ceil(span * target_rows / max(n, 1))))
-    if not st:
-        return {"by_key": {}, "default": 86400}
-    if len(st) > MAX_KEYS_FOR_MAP:  # too many keys for a literal map: one width
-        n, lo, hi, k = df.select(key, epoch_seconds(df, ts).alias("_s")).agg(
-            F.count(F.lit(1)), F.min("_s"), F.max("_s"), F.countDistinct(key)).first()
-        return {"by_key": {}, "default": width(max(1, n // max(k, 1)), lo, hi)}
-    by_key = {r[key]: width(r["n"], r["lo"], r["hi"]) for r in st if r[key] is not None}
-    return {"by_key": by_key, "default": max([width(r["n"], r["lo"], r["hi"]) for r in st])}
-
-
-def _width_column(widths: dict, key: str) -> Column:
-    pairs = [x for k, w in widths["by_key"].items() for x in (F.lit(k), F.lit(w))]
-    if not pairs:
-        return F.lit(widths["default"])
-    return F.coalesce(F.element_at(F.create_map(*pairs), F.col(key)), F.lit(widths["default"]))
-
-
-def time_bucket(df: DataFrame, ts: str, seconds: int | None = None, key: str | None = None,
-                target_rows: int = TARGET_ROWS, widths: dict | None = None) -> Column:
-    """Monotone (within a key) bucket number of a timestamp column; NULL times
-    go to ``NULL_BUCKET``. ``seconds=None`` uses per-key ``widths`` (computed
-    from ``df`` when not given)."""
-    if seconds is None:
-        if key is None:
-            raise ValueError("adaptive buckets need the key column")
-        w = _width_column(widths or bucket_widths(df, key, ts, target_rows), key)
-    else:
-        w = F.lit(seconds)
-    return F.coalesce(F.floor(epoch_seconds(df, ts) / w), F.lit(NULL_BUCKET)).cast("bigint")
+def epoch_micros(df: DataFrame, ts: str) -> Column:
+    if isinstance(df.schema[ts].dataType, TimestampNTZType):
+        fraction = F.date_part(F.lit("SECONDS"), F.col(ts)) - F.second(ts)
+        return epoch_seconds(df, ts) * 1_000_000 + (fraction * 1_000_000).cast("bigint")
+    return F.unix_micros(F.col(ts))
+
+
+def dimensions(df: DataFrame, ts: str, tie: str) -> list[Column]:
+    """Numbers whose order, one after the other, is the (ts, tie) row order."""
+    raw = F.col(tie).cast("string").cast("binary")
+    out = [F.coalesce(epoch_micros(df, ts), F.lit(NULL_TIME))]
+    for i in range(ID_CHUNKS):
+        part = F.rpad(F.hex(F.substring(raw, 7 * i + 1, 7)), 14, "0")
+        out.append(F.coalesce(F.conv(part, 16, 10).cast("bigint"), F.lit(-1)))
+    return out
+
+
+def plan_buckets(df: DataFrame, key: str, ts: str, tie: str,
+                 target_rows: int = TARGET_ROWS) -> list[DataFrame]:
+    """Levels of (key, path, dim, lo, width): the refined buckets. The plan only
+    steers partitioning (results do not depend on it), so it may come from a
+    cheaper frame than the one windowed, e.g. the raw table's key, time and id.
+    The id is looked at only where time alone cannot cut a bucket."""
+    dims = dimensions(df, ts, tie)
+    x = df.select(F.col(key), F.col(ts), F.col(tie), F.col(key).alias("_k"), F.array().cast("array<bigint>").alias("_path"))
+    levels: list[DataFrame] = []
+    seen = 1  # dimensions looked at so far
+    while len(levels) < MAX_LEVELS:
+        ends = [e for i, d in enumerate(dims[:seen]) for e in (F.min(d).alias(f"_lo{i}"), F.max(d).alias(f"_hi{i}"))]
+        full = (x.groupBy("_k", "_path").agg(F.count(F.lit(1)).alias("_n"), *ends)
+                .where(F.col("_n") > F.lit(SLACK * target_rows)))
+        dim, lo, span = F.lit(None).cast("int"), F.lit(None).cast("bigint"), F.lit(None).cast("double")
+        for i in reversed(range(seen)):
+            low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+            dim = F.when(low < high, F.lit(i + 1)).otherwise(dim)
+            lo = F.when(low < high, low).otherwise(lo)
+            span = F.when(low < high, high.cast("double") - low + 1).otherwise(span)
+        width = F.greatest(F.lit(1.0), F.ceil(span * target_rows / F.col("_n")).cast("double"))
+        full = as_table(full.select("_k", "_path", dim.alias("_dim"), lo.alias("_lo"), width.alias("_w")), "buckets")
+        level = full.where("_dim IS NOT NULL")
+        if not level.isEmpty():
+            levels.append(level)
+            x = _refine(x, level, dims)
+        elif seen < len(dims) and not full.isEmpty():
+            seen += 1
+        else:
+            break
+    return levels
+
+
+def _refine(x: DataFrame, level: DataFrame, dims: list[Column]) -> DataFrame:
+    """Appends each row's cell number to its path (0 where not refined)."""
+    lv = level.select(F.col("_k").alias("_lk"), F.col("_path").alias("_lp"), "_dim", "_lo", "_w")
+    value = F.lit(None).cast("bigint")
+    for i, d in enumerate(dims):
+        value = F.when(F.col("_dim") == i + 1, d).otherwise(value)
+    cell = F.coalesce(F.floor((value - F.col("_lo")) / F.col("_w")).cast("bigint"), F.lit(0))
+    return (x.join(lv, x["_k"].eqNullSafe(lv["_lk"]) & (x["_path"] == lv["_lp"]), "left")
+            .withColumn("_path", F.concat("_path", F.array(cell)))
+            .drop("_lk", "_lp", "_dim", "_lo", "_w"))
+
+
+def with_bucket(df: DataFrame, key: str, ts: str, tie: str, seconds: int | None = None,
+                target_rows: int = TARGET_ROWS, plan: list[DataFrame] | None = None) -> DataFrame:
+    """``df`` with ``_b``, the bucket path, monotone in (ts, tie) within a key."""
+    if seconds is not None:
+        b = F.coalesce(F.floor(epoch_seconds(df, ts) / F.lit(seconds)).cast("bigint"), F.lit(NULL_TIME))
+        return df.withColumn("_b", F.array(b))
+    levels = plan_buckets(df, key, ts, tie, target_rows) if plan is None else plan
+    x = df.withColumn("_k", F.col(key)).withColumn("_path", F.array().cast("array<bigint>"))
+    for level in levels:
+        x = _refine(x, level, dimensions(df, ts, tie))
+    return x.withColumnRenamed("_path", "_b").drop("_k")
 
 
 def bucket_counts(df: DataFrame, key: str, bucket: str = "_b") -> DataFrame:
@@ -112,17 +148,17 @@ def bucket_counts(df: DataFrame, key: str, bucket: str = "_b") -> DataFrame:
 
 def with_halo(df: DataFrame, key: str, order: list[str], ts: str, halo: int,
               bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-              target_rows: int = TARGET_ROWS, widths: dict | None = None) -> DataFrame:
+              target_rows: int = TARGET_ROWS, plan: list[DataFrame] | None = None) -> DataFrame:
     """All rows of ``df`` tagged ``_chunk`` (their bucket) and ``_halo = false``,
     plus copies of the up to ``halo`` rows preceding each bucket tagged with
     that bucket and ``_halo = true``.
 
     Windows over ``partitionBy(key, "_chunk").orderBy(*order)`` whose frame
     reaches back at most ``halo`` rows are exact for ``_halo = false`` rows.
-    ``order`` must start with ``ts`` and be a total order within a key.
+    ``order`` must be ``[ts, tie]`` and a total order within a key.
     """
     cols = df.columns
-    x = df.withColumn("_b", time_bucket(df, ts, bucket_seconds, key, target_rows, widths))
+    x = with_bucket(df, key, ts, order[-1], bucket_seconds, target_rows, plan)
     main = x.withColumn("_chunk", F.col("_b")).withColumn("_halo", F.lit(False)).drop("_b")
     if halo <= 0:
         return main

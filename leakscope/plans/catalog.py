@@ -24,15 +24,17 @@ from leakscope.operators import filters, metrics, reports
 from leakscope.operators.features import (fit_minmax, microbatch_features, minmax_scale,
                                           sequences)
 from leakscope.operators.forest import (calibrate, fit_standard_scaler, standardise,
-                                        stratified_split)
+                                        stratified_split, tree_samples)
+from leakscope.operators.gold import gold_table
 from leakscope.operators.joins import new_only
 from leakscope.operators.quality import quality_filter, quality_report
 from leakscope.operators.selection import exact_quantile
+from leakscope.operators.sequence import positional_split
 from leakscope.plans import medallion as M
-from leakscope.schemas import (EVENT_ID, EVENT_TS, FOREST_FEATURES, SEGMENT,
+from leakscope.schemas import (EVENT_ID, EVENT_TS, FOREST_FEATURES, GOLD_COLUMNS, SEGMENT,
                                SENSORS)
 from leakscope.sources import fixtures as fx
-from leakscope.sources.messages import parse_json
+from leakscope.sources.messages import parse_json, parse_messages, to_messages
 from leakscope.sources.tables import audit
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -183,6 +185,21 @@ def b16b(spark, sf):
     return filters.date_bounds(gold(spark, sf))
 
 
+@query("B2_B3_message_round_trip", B(
+    "SELECT event_id, pipe_segment_id, event_timestamp, pressure_psi, flow_rate_lpm, acoustic_g_rms, temperature_c, "
+    "is_anomaly FROM fx_bronze"))
+def b2_b3(spark, sf):
+    """A15 then B1-B3: Bronze rows as messages and parsed back."""
+    rows = parse_messages(to_messages(bronze(spark, sf)), with_clock=False)
+    return rows.withColumn(EVENT_TS, F.col(EVENT_TS).cast("timestamp_ntz"))
+
+
+@query("B12_gold_projection", G(
+    "SELECT " + ", ".join(GOLD_COLUMNS) + " FROM fx_gold"))
+def b12(spark, sf):
+    return gold_table(gold(spark, sf), with_clock=False)
+
+
 # ============================================================== C: joins
 @query("C2_backfill_new_only", B(
     "SELECT event_id, pipe_segment_id, event_timestamp FROM fx_bronze n WHERE NOT EXISTS "
@@ -303,6 +320,7 @@ def d6(spark, sf):
     f"{R('AVG(flow_rate_lpm)', 1)} AS avg_flow_lpm, "
     "FIRST(alert_message ORDER BY anomaly_score, event_id) AS worst_alert_message, MAX(event_timestamp) AS last_seen, "
     "CAST(ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, pipe_segment_id) AS INTEGER) AS priority_rank, "
+    f"{R('COUNT(*) OVER () * 100.0 / 5', 1)} AS segments_share_pct, "
     "CASE WHEN MIN(anomaly_score) < -0.10 THEN 'red' ELSE 'amber' END AS band, "
     f"{R('MIN(anomaly_score)', 4)} AS worst_anomaly_score "
     f"FROM fx_gold WHERE {CRIT} AND event_timestamp >= TIMESTAMP '2024-01-10 00:00:00' GROUP BY pipe_segment_id"))
@@ -394,9 +412,7 @@ def dual(spark, sf) -> DataFrame:
     return g.withColumn("alert_message", dual_message_expr())
 
 
-_TRIG = ("CASE WHEN pressure_delta < -100 THEN CONCAT('Pressure drop ', CAST(CAST(ROUND(CAST(pressure_delta AS DECIMAL(18,2)),0) AS BIGINT) AS STRING), ' PSI') END, "
-         "CASE WHEN flow_imbalance_ratio > 1.25E0 THEN CONCAT('Flow spike x', CAST(CAST(ROUND(CAST(flow_imbalance_ratio AS DECIMAL(18,4)),2) AS DECIMAL(18,2)) AS STRING)) END, "
-         "CASE WHEN ABS(acoustic_zscore) > 2.0E0 THEN CONCAT('Acoustic anomaly z=', CAST(CAST(ROUND(CAST(acoustic_zscore AS DECIMAL(18,4)),2) AS DECIMAL(18,2)) AS STRING)) END")
+_TRIG = fx.TRIGGER_TEXTS
 _DUAL = (
     f"WITH f AS (SELECT fx_gold.* EXCLUDE (severity, alert_message), {fx.FX_DUAL_FLAGS_SQL[0]} AS if_anomaly, "
     f"{fx.FX_DUAL_FLAGS_SQL[1]} AS lstm_anomaly FROM fx_gold), "
@@ -543,6 +559,12 @@ for _i, _c in enumerate(["pressure_rolling_avg", "flow_rolling_avg", "acoustic_r
     query(f"E{_i}_{_c}", S(f"SELECT event_id, pipe_segment_id, {_c} FROM fx_silver"))(_mk(_c))
 
 
+@query("E1_E7_small_buckets", S("SELECT * FROM fx_silver"))
+def e_small(spark, sf):
+    """E1-E7 with buckets of about 100 rows: many buckets and their halos."""
+    return M.silver(bronze(spark, sf), target_rows=100)
+
+
 _MB = ("WITH b AS (SELECT * FROM fx_bronze), st AS (SELECT pipe_segment_id, AVG(acoustic_g_rms) AS m, "
        "STDDEV_SAMP(acoustic_g_rms) AS sd FROM b GROUP BY pipe_segment_id), "
        "f AS (SELECT b.event_id, b.pipe_segment_id, b.pressure_psi - LAG(b.pressure_psi) OVER (PARTITION BY b.pipe_segment_id "
@@ -560,16 +582,23 @@ def e8(spark, sf):
                     rhu("acoustic_zscore", 6).alias("acoustic_zscore"))
 
 
+_SEQ = ", ".join(f"LIST({c}) OVER w AS l{i}" for i, c in enumerate(SENSORS))
+
+
 @query("E12_sequences", fx.with_fixtures(
-    "SELECT event_id, pipe_segment_id, CAST(cnt AS INTEGER) AS seq_len, fp AS first_pressure, lp AS last_pressure FROM ("
-    "SELECT event_id, pipe_segment_id, COUNT(*) OVER w AS cnt, FIRST_VALUE(pressure_psi) OVER w AS fp, "
-    "LAST_VALUE(pressure_psi) OVER w AS lp FROM fx_slow_leak WINDOW w AS (PARTITION BY pipe_segment_id "
-    "ORDER BY event_timestamp, event_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)) t WHERE cnt = 20", "fx_slow_leak"))
+    "SELECT event_id, pipe_segment_id, CAST(len(l0) AS INTEGER) AS seq_len, "
+    "md5(array_to_string(list_concat(" + ", ".join(
+        f"list_transform(l{i}, lambda x: CAST(CAST(ROUND(x * 1000000) AS BIGINT) AS VARCHAR))" for i in range(4))
+    + "), ',')) AS seq_md5 FROM ("
+    f"SELECT event_id, pipe_segment_id, {_SEQ} FROM fx_slow_leak WINDOW w AS (PARTITION BY pipe_segment_id "
+    "ORDER BY event_timestamp, event_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)) t WHERE len(l0) = 20", "fx_slow_leak"))
 def e12(spark, sf):
+    """All 80 values of every sequence, as a digest in sensor order."""
     s = sequences(fx.slow_leak(spark, sf), SENSORS, 20, label=None)
-    return s.select(EVENT_ID, SEGMENT, F.size("seq").alias("seq_len"),
-                    F.col("seq")[0][0].alias("first_pressure"),
-                    F.col("seq")[19][0].alias("last_pressure"))
+    def sensor(i):
+        return F.transform("seq", lambda x: F.round(x[i] * 1000000).cast("bigint").cast("string"))
+    values = F.flatten(F.array(*[sensor(i) for i in range(len(SENSORS))]))
+    return s.select(EVENT_ID, SEGMENT, F.size("seq").alias("seq_len"), F.md5(F.concat_ws(",", values)).alias("seq_md5"))
 
 
 @query("E13_latest_reading", G(
@@ -673,15 +702,42 @@ def h6(spark, sf):
 
 
 # ============================================================== J: model operators
+_HASH = "CAST('0x' || substr(md5(concat_ws(':', {0})), 1, 13) AS BIGINT)"
+
+
 @query("J1_stratified_split", S(
-    "WITH l AS (SELECT CASE WHEN is_anomaly = 'leak' THEN 1 ELSE 0 END AS label FROM fx_silver), "
-    "c AS (SELECT label, COUNT(*) AS n FROM l GROUP BY label) "
-    'SELECT label, \'test\' AS split, CAST(CEIL(0.2 * n) AS BIGINT) AS "count" FROM c UNION ALL '
-    "SELECT label, 'train', n - CAST(CEIL(0.2 * n) AS BIGINT) FROM c"))
+    "WITH l AS (SELECT event_id, CASE WHEN is_anomaly = 'leak' THEN 1 ELSE 0 END AS label FROM fx_silver), "
+    f"r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {_HASH.format("'42', event_id")}, event_id) AS i, "
+    "COUNT(*) OVER (PARTITION BY label) AS n FROM l) "
+    "SELECT event_id, label, CASE WHEN i <= CEIL(0.2 * n) THEN 'test' ELSE 'train' END AS split FROM r"))
 def j1(spark, sf):
     s = silver(spark, sf).withColumn("label", binary_label_expr("is_anomaly", positive="leak"))
-    return stratified_split(s, "label", 0.2, 42).groupBy("label", "split").agg(
-        F.count(F.lit(1)).alias("count"))
+    return stratified_split(s, "label", 0.2, 42, rows_per_cell=200).select(EVENT_ID, "label", "split")
+
+
+@query("J1_positional_split", fx.with_fixtures(
+    "WITH r AS (SELECT event_id, ROW_NUMBER() OVER (ORDER BY pipe_segment_id, event_timestamp, event_id) AS i, "
+    "COUNT(*) OVER () AS n FROM fx_slow_leak) "
+    "SELECT event_id, CASE WHEN i <= FLOOR(0.8 * n) THEN 'train' ELSE 'test' END AS split FROM r", "fx_slow_leak"))
+def j1_positional(spark, sf):
+    return positional_split(fx.slow_leak(spark, sf), 0.8, target_rows=500).select(EVENT_ID, "split")
+
+
+_P = "(3.0 * 256 / (SELECT COUNT(*) FROM fx_silver))"
+
+
+@query("J3_tree_samples", S(
+    "WITH t AS (SELECT CAST(unnest(range(0, 8)) AS INTEGER) AS tree), "
+    f"f AS (SELECT event_id, CAST(FLOOR(LN(1 - {_HASH.format("'7', 'first', event_id")} / 4503599627370496.0) / "
+    f"LN(1 - {_P})) AS BIGINT) AS first FROM fx_silver), "
+    "c AS (SELECT f.event_id, t.tree FROM f JOIN t ON t.tree >= f.first "
+    f"WHERE t.tree = f.first OR {_HASH.format("'7', 'next', CAST(t.tree AS VARCHAR), f.event_id")} < {_P} * 4503599627370496.0), "
+    f"r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY tree ORDER BY "
+    f"{_HASH.format("'7', CAST(tree AS VARCHAR), event_id")}, event_id) AS i FROM c) "
+    "SELECT tree, event_id FROM r WHERE i <= 256"))
+def j3_samples(spark, sf):
+    sample, _ = tree_samples(silver(spark, sf), ["pressure_psi"], 8, 256, 7)
+    return sample.select("tree", EVENT_ID)
 
 
 @query("J2_standardise", S(
@@ -701,6 +757,14 @@ def j4(spark, sf):
     return q.select(rhu("quantile", 6).alias("quantile"))
 
 
+@query("J4_offset_narrowed_band", G(
+    f"SELECT {R('QUANTILE_CONT(anomaly_score, 0.08)', 6)} AS quantile FROM fx_gold"))
+def j4_band(spark, sf):
+    """J4 with a band limit far below the input: the narrowing path."""
+    q = exact_quantile(gold(spark, sf), "anomaly_score", 0.08, band_limit=500, accuracy=200)
+    return q.select(rhu("quantile", 6).alias("quantile"))
+
+
 @query("J7_calibrate", G(
     f"SELECT {R('QUANTILE_CONT(anomaly_score, 0.5)', 6)} AS suggested_cut FROM fx_gold WHERE anomaly_prediction = -1"))
 def j7(spark, sf):

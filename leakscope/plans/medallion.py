@@ -15,21 +15,21 @@ from leakscope.operators.features import batch_features
 from leakscope.operators.forest import fit_pipeline, score_forest
 from leakscope.operators.gold import classify, gold_table, prediction_from_score
 from leakscope.operators.quality import quality_filter
-from leakscope.operators.windowing import DEFAULT_BUCKET_SECONDS, bucket_widths
-from leakscope.schemas import EVENT_TS, SEGMENT
+from leakscope.operators.windowing import DEFAULT_BUCKET_SECONDS, TARGET_ROWS, plan_buckets
+from leakscope.schemas import EVENT_ID, EVENT_TS, SEGMENT
 from leakscope.sources import fixtures as fx
 
 
 def silver(bronze: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-           with_clock: bool = False) -> DataFrame:
-    """Bronze -> quality filter -> batch features (+ ``silver_ts``). Bucket
-    widths come from Bronze's (segment, time) columns only: a two-column scan
-    instead of a pass over the filtered rows (widths steer partitioning, not
+           with_clock: bool = False, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """Bronze -> quality filter -> batch features (+ ``silver_ts``). The bucket
+    plan comes from Bronze's segment, time and id columns only: a narrow scan
+    instead of a pass over the filtered rows (it steers partitioning, not
     results)."""
-    widths = None
+    plan = None
     if bucket_seconds is None:
-        widths = bucket_widths(bronze.select(SEGMENT, EVENT_TS), SEGMENT, EVENT_TS)
-    out = batch_features(quality_filter(bronze), bucket_seconds=bucket_seconds, widths=widths)
+        plan = plan_buckets(bronze, SEGMENT, EVENT_TS, EVENT_ID, target_rows)
+    out = batch_features(quality_filter(bronze), bucket_seconds=bucket_seconds, plan=plan, target_rows=target_rows)
     return out.withColumn("silver_ts", F.current_timestamp()) if with_clock else out
 
 
@@ -78,12 +78,14 @@ def run_batch(spark: SparkSession, bronze: DataFrame, out_dir: str) -> dict:
 
 def run_streaming(spark: SparkSession, fmt: str, source: str, lake: str, model,
                   opts: dict | None = None, max_per_trigger: int | None = None,
-                  dedup_delay: str | None = None) -> dict:
+                  dedup_delay: str | None = None, silver_files: int | None = None) -> dict:
     """Streaming job order: messages -> Bronze -> stateful Silver -> Gold.
 
     Each stage drains what is available (``availableNow``) and keeps its own
     checkpoint under ``lake/_checkpoints``, so re-running the job processes only
-    new messages, and a failed run resumes where its checkpoints stop."""
+    new messages, and a failed run resumes where its checkpoints stop.
+    ``silver_files`` bounds the Bronze files (hence a segment's rows) that one
+    Silver trigger takes."""
     from leakscope.schemas import bronze_schema
     from leakscope.streaming.bronze import run_bronze
     from leakscope.streaming.gold import run_gold
@@ -93,7 +95,7 @@ def run_streaming(spark: SparkSession, fmt: str, source: str, lake: str, model,
     b, s, g = f"{lake}/bronze", f"{lake}/silver", f"{lake}/gold"
     run_bronze(spark, fmt, source, b, f"{ck}/bronze", opts, max_per_trigger, dedup_delay)
     b_schema = bronze_schema(TimestampType())  # parsed message times are instants
-    run_silver_stateful(spark, b, s, f"{ck}/silver", b_schema)
+    run_silver_stateful(spark, b, s, f"{ck}/silver", b_schema, max_files=silver_files)
     s_schema = stateful_features(spark.readStream.schema(b_schema).parquet(b)).schema
     run_gold(spark, s, g, f"{ck}/gold", s_schema, model)
     return {"bronze": b, "silver": s, "gold": g}

@@ -99,34 +99,50 @@ def j35(spark, sf) -> DataFrame:
 
 
 
-def _slow_leak_labelled(spark, sf):
+def _training_rows(spark, sf):
+    """G2 with ids: Silver and slow-leak rows together, a sequence never mixing
+    the two (each keeps its own segments)."""
+    from pyspark.sql import functions as F
+
     from leakscope.functions.severity import binary_label_expr
-    return fx.slow_leak(spark, sf).withColumn("label", binary_label_expr("is_anomaly"))
+    from leakscope.schemas import EVENT_TS, SEGMENT, SENSORS
+    keep = [EVENT_ID, SEGMENT, EVENT_TS, *SENSORS, "is_anomaly"]
+    leak = fx.slow_leak(spark, sf).select(*keep).withColumn(SEGMENT, F.concat(SEGMENT, F.lit("_slow"))) \
+        .withColumn(EVENT_ID, F.concat(F.lit("s"), F.col(EVENT_ID)))
+    rows = M.fixture_silver(spark, sf).select(*keep).unionByName(leak)
+    return rows.withColumn("label", binary_label_expr("is_anomaly"))
 
 
 @query("J8_sequence_model")
 def j8(spark, sf) -> DataFrame:
     """Held-out (last 20 % by position) predictions of the sequence classifier."""
     from leakscope.operators.sequence import fit_sequence_model
-    _, test = fit_sequence_model(_slow_leak_labelled(spark, sf))
+    _, test = fit_sequence_model(_training_rows(spark, sf))
     return test.select(EVENT_ID, "pipe_segment_id", "label", "lstm_anomaly")
 
 
 @query("J6_dual_gold")
 def j6(spark, sf) -> DataFrame:
     """Gold with both detectors: forest on Silver, sequence model trained on
-    the slow-leak rows, both flags as columns of one frame."""
+    Silver and slow-leak rows, both flags as columns of one frame."""
     from leakscope.operators.sequence import dual_gold, fit_sequence_model
-    seq_model, _ = fit_sequence_model(_slow_leak_labelled(spark, sf))
+    seq_model, _ = fit_sequence_model(_training_rows(spark, sf))
     g, _ = M.model_gold(M.fixture_silver(spark, sf))
     return dual_gold(g, seq_model)
 
 
-@query("A15_to_messages")
+@query("A15_to_messages", fx.with_fixtures(
+    "SELECT pipe_segment_id AS \"key\", event_id, is_anomaly, flow_rate_lpm, "
+    "strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_timestamp FROM fx_bronze", "fx_bronze"))
 def a15(spark, sf) -> DataFrame:
-    """Bronze rows as (key, JSON value) messages."""
+    """Bronze rows as (key, JSON value) messages; the fields read from the JSON."""
+    from pyspark.sql import functions as F
+
     from leakscope.sources.messages import to_messages
-    return to_messages(M.fixture_bronze(spark, sf))
+    field = lambda n: F.get_json_object("value", f"$.{n}")
+    return to_messages(M.fixture_bronze(spark, sf)).select(
+        "key", field("event_id").alias("event_id"), field("is_anomaly").alias("is_anomaly"),
+        field("flow_rate_lpm").cast("double").alias("flow_rate_lpm"), field("event_timestamp").alias("event_timestamp"))
 
 
 @query("J9_forest_holdout_report")

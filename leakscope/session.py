@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -33,9 +34,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (tests) is a private folder
-    created. Lineage is cut with ``checkpoint()`` into this folder, never with
-    ``localCheckpoint``.
+    The cluster names it. Only in local mode, where driver and executors are
+    one process, is a private folder made when it is unset; on a cluster that
+    is an error. Lineage is cut with ``checkpoint()`` into this folder, never
+    with ``localCheckpoint``.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -44,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d or ""
     d = d or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="leakscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc._jsc.sc().getCheckpointDir().isEmpty():

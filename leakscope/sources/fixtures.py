@@ -13,22 +13,22 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Readings from real columns of ``events``: the segment from user_id, the time
+# from ts, the sensors from value (in hundredths) and from the number in props,
+# scaled so that large values leave the sensor bounds; large values are leaks.
 FX_BRONZE_SQL = """
+WITH r AS (SELECT event_id, user_id, ts, event_type, CAST(ROUND(value * 100) AS BIGINT) AS v,
+                  CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events)
 SELECT CAST(event_id AS STRING) AS event_id,
        CONCAT('PIPE-00', CAST(user_id % 5 + 1 AS STRING)) AS pipe_segment_id,
        ts AS event_timestamp,
-       CASE WHEN event_id % 211 = 7 THEN NULL
-            WHEN event_id % 499 = 3 THEN 50.0
-            ELSE (CASE WHEN (event_id * 7919) % 100 < 8 THEN 68000 ELSE 100000 END + (event_id * 104729) % 16001 - 8000) / 100.0E0 END AS pressure_psi,
-       CASE WHEN event_id % 503 = 5 THEN 900.0
-            ELSE (CASE WHEN (event_id * 7919) % 100 < 8 THEN 28000 ELSE 20000 END + (event_id * 15485863) % 8001 - 4000) / 100.0E0 END AS flow_rate_lpm,
-       CASE WHEN event_id % 509 = 11 THEN 12.0
-            ELSE (CASE WHEN (event_id * 7919) % 100 < 8 THEN 18000 ELSE 3000 END + (event_id * 32452843) % 3201 - 1600) / 10000.0E0 END AS acoustic_g_rms,
-       CASE WHEN event_id % 521 = 13 THEN -40.0
-            ELSE (CASE WHEN (event_id * 7919) % 100 < 8 THEN 3100 ELSE 4500 END + (event_id * 49979687) % 1601 - 800) / 100.0E0 END AS temperature_c,
-       CASE WHEN (event_id * 7919) % 100 < 8 THEN 'leak' ELSE 'normal' END AS is_anomaly,
+       CASE WHEN event_type = 'error' AND k = 7 THEN NULL ELSE (100000 - 2 * v + 10 * k) / 100.0E0 END AS pressure_psi,
+       (15000 + 100 * k + v) / 100.0E0 AS flow_rate_lpm,
+       (1000 + 50 * CAST(FLOOR(v / 100) AS BIGINT) + 10 * k) / 10000.0E0 AS acoustic_g_rms,
+       (3000 + 20 * k - CAST(FLOOR(v / 8) AS BIGINT)) / 100.0E0 AS temperature_c,
+       CASE WHEN v >= 13000 THEN 'leak' ELSE 'normal' END AS is_anomaly,
        ts AS ingestion_ts
-FROM events
+FROM r
 """
 
 _ROLL = "OVER (PARTITION BY pipe_segment_id ORDER BY event_timestamp, event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"
@@ -39,13 +39,13 @@ WITH b AS (SELECT * FROM fx_bronze), q AS (
  SELECT * FROM b WHERE pressure_psi BETWEEN 100.0 AND 3000.0 AND flow_rate_lpm BETWEEN 0.0 AND 600.0
    AND acoustic_g_rms BETWEEN 0.0 AND 10.0 AND temperature_c BETWEEN -20.0 AND 200.0),
 f AS (SELECT q.*,
-  CAST(ROUND(CAST(AVG(pressure_psi) {_ROLL} AS DECIMAL(18,8)), 2) AS DOUBLE) AS pressure_rolling_avg,
-  CAST(ROUND(CAST(AVG(flow_rate_lpm) {_ROLL} AS DECIMAL(18,8)), 2) AS DOUBLE) AS flow_rolling_avg,
-  CAST(ROUND(CAST(AVG(acoustic_g_rms) {_ROLL} AS DECIMAL(18,8)), 4) AS DOUBLE) AS acoustic_rolling_avg,
-  CAST(ROUND(CAST(pressure_psi - LAG(pressure_psi,1) {_LAG} AS DECIMAL(18,8)), 2) AS DOUBLE) AS pressure_delta,
-  CAST(ROUND(CAST(STDDEV_SAMP(acoustic_g_rms) {_ROLL} AS DECIMAL(18,8)), 4) AS DOUBLE) AS acoustic_rolling_std FROM q),
-g AS (SELECT f.*, CAST(ROUND(CAST(flow_rate_lpm / flow_rolling_avg AS DECIMAL(18,8)), 4) AS DOUBLE) AS flow_imbalance_ratio,
-  CAST(ROUND(CAST((acoustic_g_rms - acoustic_rolling_avg) / (acoustic_rolling_std + 0.0001E0) AS DECIMAL(18,8)), 4) AS DOUBLE) AS acoustic_zscore FROM f)
+  CAST(ROUND(CAST(AVG(pressure_psi) {_ROLL} AS DECIMAL(38,8)), 2) AS DOUBLE) AS pressure_rolling_avg,
+  CAST(ROUND(CAST(AVG(flow_rate_lpm) {_ROLL} AS DECIMAL(38,8)), 2) AS DOUBLE) AS flow_rolling_avg,
+  CAST(ROUND(CAST(AVG(acoustic_g_rms) {_ROLL} AS DECIMAL(38,8)), 4) AS DOUBLE) AS acoustic_rolling_avg,
+  CAST(ROUND(CAST(pressure_psi - LAG(pressure_psi,1) {_LAG} AS DECIMAL(38,8)), 2) AS DOUBLE) AS pressure_delta,
+  CAST(ROUND(CAST(STDDEV_SAMP(acoustic_g_rms) {_ROLL} AS DECIMAL(38,8)), 4) AS DOUBLE) AS acoustic_rolling_std FROM q),
+g AS (SELECT f.*, CAST(ROUND(CAST(flow_rate_lpm / flow_rolling_avg AS DECIMAL(38,8)), 4) AS DOUBLE) AS flow_imbalance_ratio,
+  CAST(ROUND(CAST((acoustic_g_rms - acoustic_rolling_avg) / (acoustic_rolling_std + 0.0001E0) AS DECIMAL(38,8)), 4) AS DOUBLE) AS acoustic_zscore FROM f)
 SELECT * FROM g WHERE pressure_delta IS NOT NULL AND acoustic_rolling_std IS NOT NULL
 """
 
@@ -55,28 +55,32 @@ STANDIN_SCORE_SQL = ("CAST(CAST(30 - CASE WHEN pressure_psi < 850 THEN 45 ELSE 0
                      "- CASE WHEN flow_rate_lpm > 250 THEN 20 ELSE 0 END "
                      "- CAST(event_id AS BIGINT) % 29 AS DECIMAL(18,4)) / 1000 AS DOUBLE)")
 
+# Alert text of the triggers, shared by the Gold and dual-model SQL.
+TRIGGER_TEXTS = (
+    "CASE WHEN pressure_delta < -100 THEN CONCAT('Pressure drop ', CAST(CAST(ROUND(CAST(pressure_delta AS DECIMAL(18,2)),0) AS BIGINT) AS STRING), ' PSI') END, "
+    "CASE WHEN flow_imbalance_ratio > 1.25E0 THEN CONCAT('Flow spike x', CAST(CAST(ROUND(CAST(flow_imbalance_ratio AS DECIMAL(18,4)),2) AS DECIMAL(18,2)) AS STRING)) END, "
+    "CASE WHEN ABS(acoustic_zscore) > 2.0E0 THEN CONCAT('Acoustic anomaly z=', CAST(CAST(ROUND(CAST(acoustic_zscore AS DECIMAL(18,4)),2) AS DECIMAL(18,2)) AS STRING)) END")
+
 FX_GOLD_SQL = f"""
 WITH sv AS (SELECT * FROM fx_silver), sc AS (SELECT sv.*, {STANDIN_SCORE_SQL} AS anomaly_score FROM sv),
 s2 AS (SELECT sc.*, CASE WHEN anomaly_score < 0 THEN -1 ELSE 1 END AS anomaly_prediction FROM sc),
 s3 AS (SELECT s2.*, CASE WHEN anomaly_prediction = 1 THEN 'NORMAL' WHEN anomaly_score <= -0.07E0 THEN 'CRITICAL' ELSE 'WARNING' END AS severity FROM s2)
 SELECT s3.*, CASE WHEN severity = 'NORMAL' THEN ''
   WHEN pressure_delta < -100 OR flow_imbalance_ratio > 1.25E0 OR ABS(acoustic_zscore) > 2.0E0 THEN CONCAT_WS('; ',
-   CASE WHEN pressure_delta < -100 THEN CONCAT('Pressure drop ', CAST(CAST(ROUND(CAST(pressure_delta AS DECIMAL(18,2)),0) AS BIGINT) AS STRING), ' PSI') END,
-   CASE WHEN flow_imbalance_ratio > 1.25E0 THEN CONCAT('Flow spike x', CAST(CAST(ROUND(CAST(flow_imbalance_ratio AS DECIMAL(18,4)),2) AS DECIMAL(18,2)) AS STRING)) END,
-   CASE WHEN ABS(acoustic_zscore) > 2.0E0 THEN CONCAT('Acoustic anomaly z=', CAST(CAST(ROUND(CAST(acoustic_zscore AS DECIMAL(18,4)),2) AS DECIMAL(18,2)) AS STRING)) END)
+   {TRIGGER_TEXTS})
   ELSE 'Multi-sensor anomaly' END AS alert_message FROM s3
 """
 
+# Readings that drift: a step taken from the id (no rank) moves the sensors away
+# from the real reading, and the last third of the steps is labelled.
 FX_SLOW_LEAK_SQL = """
-WITH b AS (SELECT * FROM fx_bronze), n AS (SELECT b.*, ROW_NUMBER() OVER (PARTITION BY pipe_segment_id ORDER BY event_timestamp, event_id) - 1 AS rn FROM b),
-k AS (SELECT n.*, rn % 50 AS step, CAST(event_id AS BIGINT) AS e, CASE WHEN rn % 50 >= 20 THEN rn % 50 - 19 ELSE 0 END AS k FROM n)
+WITH n AS (SELECT b.*, CAST(event_id AS BIGINT) % 36 AS step FROM fx_bronze b)
 SELECT event_id, pipe_segment_id, event_timestamp,
- (100000 - 1000 * k + (e * 104729) % 1001 - 500) / 100.0E0 AS pressure_psi,
- (20000 + 300 * k + (e * 15485863) % 601 - 300) / 100.0E0 AS flow_rate_lpm,
- (3000 + 400 * k + (e * 32452843) % 401 - 200) / 10000.0E0 AS acoustic_g_rms,
- (4500 - 30 * k + (e * 49979687) % 101 - 50) / 100.0E0 AS temperature_c,
- CASE WHEN step >= 30 THEN 'slow_leak' ELSE 'normal' END AS is_anomaly,
- CONCAT(pipe_segment_id, '_seq_', CAST(step AS STRING)) AS sequence_id FROM k
+ COALESCE(pressure_psi, 900.0E0) - 4 * step AS pressure_psi,
+ flow_rate_lpm + 2 * step AS flow_rate_lpm, acoustic_g_rms + step / 64.0E0 AS acoustic_g_rms,
+ temperature_c - step / 8.0E0 AS temperature_c,
+ CASE WHEN step >= 24 THEN 'slow_leak' ELSE 'normal' END AS is_anomaly,
+ CONCAT(pipe_segment_id, '_seq_', CAST(step AS STRING)) AS sequence_id FROM n
 """
 
 # Dual-model flags on top of fx_gold (FIXTURES §6).

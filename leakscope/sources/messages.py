@@ -14,10 +14,12 @@ from pyspark.sql.types import StructType
 
 from leakscope.schemas import MESSAGE_FIELDS, MESSAGE_SCHEMA
 
-# Bounded Kafka read from the first to the last offset, and the
-# per-trigger rate cap of the stream.
+# Bounded Kafka read from the first to the last offset. The stream
+# also starts at the first offset, so nothing that arrives between a batch read
+# and the first trigger is lost (C2's anti-join drops what the batch had). There
+# is no rate cap unless the caller gives one.
 KAFKA_BATCH_OPTIONS = {"startingOffsets": "earliest", "endingOffsets": "latest"}
-KAFKA_STREAM_OPTIONS = {"startingOffsets": "latest", "maxOffsetsPerTrigger": "1000"}
+KAFKA_STREAM_OPTIONS = {"startingOffsets": "earliest"}
 
 
 def _reader(r, fmt: str, opts: dict | None):
@@ -46,8 +48,8 @@ def read_messages(spark: SparkSession, fmt: str, path_or_topic: str | None = Non
 def stream_messages(spark: SparkSession, fmt: str, path_or_topic: str,
                     opts: dict | None = None, schema: StructType | None = None,
                     max_per_trigger: int | None = None) -> DataFrame:
-    """A2 + I2: unbounded read with a per-trigger cap (offsets for Kafka,
-    files for file sources)."""
+    """A2 + I2: unbounded read, with a per-trigger cap where the caller gives one
+    (offsets for Kafka, files for file sources)."""
     if fmt == "kafka":
         o = dict(KAFKA_STREAM_OPTIONS, subscribe=path_or_topic, **(opts or {}))
         if max_per_trigger:

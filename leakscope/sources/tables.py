@@ -1,8 +1,10 @@
 """Table reads, writes, DDL and the layer audit.
 
 Tables are parquet directories (or catalog tables when a name without '/' is
-given). Writers repartition on the partition columns first, so each output
-partition is written by a few tasks instead of every task (no small files).
+given). Writers rebalance on the partition columns first, so each output
+partition is written by a few tasks instead of every task (no small files), and
+adaptive execution splits a large partition value over as many tasks as it
+needs.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ def stream_table(spark: SparkSession, path: str, schema: StructType,
 
 def _writer(df: DataFrame, mode: str, partition_cols):
     if partition_cols:
-        df = df.repartition(*partition_cols)
+        df = df.hint("rebalance", *partition_cols)
         return df.write.mode(mode).partitionBy(*partition_cols)
     return df.write.mode(mode)
 

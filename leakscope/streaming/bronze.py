@@ -8,6 +8,7 @@ the source offsets give exactly-once appends, so a restart after a failure
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from leakscope.sources.messages import parse_messages, stream_messages
@@ -15,9 +16,13 @@ from leakscope.sources.messages import parse_messages, stream_messages
 
 def dedup_stream(df: DataFrame, delay: str = "1 hour", key: str = "event_id",
                  ts: str = "event_timestamp") -> DataFrame:
-    """I9 (repair): drop repeated ``key`` within the watermark delay. State is
-    bounded by the watermark; rows without a timestamp pass through once."""
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    """I9 (repair): drop repeated ``key`` within the watermark delay. The
+    watermark runs on the time of arrival, not on the reading's own time: state
+    stays bounded by ``delay``, and a reading that arrives late is kept, however
+    old it is and however the trigger cap cuts the input."""
+    arrived = df.withColumn("_arrived", F.current_timestamp())
+    return (arrived.withWatermark("_arrived", delay).dropDuplicatesWithinWatermark([key])
+            .drop("_arrived"))
 
 
 def bronze_stream(spark: SparkSession, fmt: str, source: str, opts: dict | None = None,
@@ -31,7 +36,7 @@ def bronze_stream(spark: SparkSession, fmt: str, source: str, opts: dict | None
 def run_bronze(spark: SparkSession, fmt: str, source: str, out_path: str, checkpoint: str,
                opts: dict | None = None, max_per_trigger: int | None = None,
                dedup_delay: str | None = None, partition_cols=("pipe_segment_id",),
-               wait: bool = True) -> StreamingQuery:
+               wait: bool = True, table: str | None = None) -> StreamingQuery:
     """Drain what is available (``availableNow``), append to Bronze,
     checkpointed; awaited by default (I5: empty triggers write nothing)."""
     df = bronze_stream(spark, fmt, source, opts, max_per_trigger, dedup_delay)
@@ -39,7 +44,7 @@ def run_bronze(spark: SparkSession, fmt: str, source: str, out_path: str, checkp
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
     if partition_cols:
         w = w.partitionBy(*partition_cols)
-    q = w.start(out_path)
+    q = w.toTable(table) if table else w.start(out_path)  # A10: named table or path
     if wait:
         q.awaitTermination()
     return q

@@ -8,8 +8,15 @@ a failure replaces its own output instead of duplicating it.
 
 I7 carries the trailing rows of every segment across micro-batches in state
 (``applyInPandasWithState``), giving the batch features E1-E7 on a stream.
-The state per segment is the last ``n - 1`` clean readings, and a group's
-input is bounded by the trigger's rate cap, not by the data size.
+The state per segment is the last ``n - 1`` clean readings. A group's input is
+one segment's rows of one trigger, which the caller bounds with the trigger's
+cap; the cap never decides whether a row is kept.
+
+Every cleaned reading leaves I7 exactly once, with ``late`` telling how. On time
+(``late`` false): features over the readings before it, NULL where there are too
+few. Late (older than its segment's state): all features NULL, never reordered.
+Silver holds both; the batch definition's rows are those on time without NULLs
+(``complete``).
 """
 
 from __future__ import annotations
@@ -21,13 +28,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import (ArrayType, DoubleType, LongType, StringType, StructField,
+from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, LongType, StringType, StructField,
                                StructType)
 
 from leakscope.functions.rounding import round_half_up as rhu
 from leakscope.operators.features import microbatch_features
 from leakscope.operators.quality import quality_filter
-from leakscope.schemas import BRONZE_COLUMNS, SEGMENT
+from leakscope.schemas import BATCH_FEATURES, BRONZE_COLUMNS, SEGMENT
+from leakscope.sources.tables import stream_table
 
 
 def run_silver_microbatch(spark: SparkSession, bronze_path: str, silver_path: str,
@@ -37,7 +45,7 @@ def run_silver_microbatch(spark: SparkSession, bronze_path: str, silver_path: st
     def process(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        # the feature plan reads the batch several times (bucket widths, counts,
+        # the feature plan reads the batch several times (bucket plan, counts,
         # tails, rows, segment statistics): keep the bounded micro-batch cached
         rows = batch.select(*BRONZE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -46,10 +54,8 @@ def run_silver_microbatch(spark: SparkSession, bronze_path: str, silver_path: st
         finally:
             rows.unpersist()
 
-    r = spark.readStream.schema(schema)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    q = (r.parquet(bronze_path).writeStream.foreachBatch(process)
+    rows = stream_table(spark, bronze_path, schema, max_files)
+    q = (rows.writeStream.foreachBatch(process)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     if wait:
         q.awaitTermination()
@@ -84,12 +90,8 @@ def _stateful_fn(n: int, out_cols: list[str]):
         new = pd.concat(list(chunks), ignore_index=True)
         new["event_timestamp_us"] = new["event_timestamp"].astype("int64") // 1000
         new = new.sort_values(["event_timestamp_us", "event_id"], kind="mergesort")
-        late_before = 0
-        if state.exists:
-            prev = pd.DataFrame([tuple(r) for r in state.get[0]], columns=_STATE_COLS)
-            late_before = int(state.get[1] or 0)
-        else:
-            prev = pd.DataFrame(columns=_STATE_COLS)
+        prev = pd.DataFrame([tuple(r) for r in state.get[0]] if state.exists else [], columns=_STATE_COLS)
+        late_before = int(state.get[1] or 0) if state.exists else 0
         if len(prev):  # late = before the last kept reading in (time, event_id) order
             last_ts, last_id = prev["event_timestamp_us"].iloc[-1], prev["event_id"].iloc[-1]
             ts = new["event_timestamp_us"]
@@ -98,30 +100,25 @@ def _stateful_fn(n: int, out_cols: list[str]):
             late = pd.Series(False, index=new.index)
         on_time = new[~late]
         parts = [f for f in (prev.assign(_new=False), on_time.assign(_new=True)) if len(f)]
-        hist = (pd.concat(parts, ignore_index=True) if parts
-                else on_time.assign(_new=True))
-        feats = _trailing(hist, n)
-        emitted = pd.concat([hist, feats], axis=1)
-        emitted = emitted[emitted["_new"]].drop(columns=["_new"])
-        late_rows = new[late].copy()
-        for c in RAW_FEATURES:
-            late_rows[c] = np.nan  # late: not reordered, no features (dropped downstream)
-        out = pd.concat([f for f in (emitted, late_rows) if len(f)] or [emitted],
-                        ignore_index=True)
-        rows = hist[_STATE_COLS].tail(keep)
-        state.update((list(map(tuple, rows.itertuples(index=False, name=None))),
+        hist = pd.concat(parts, ignore_index=True) if parts else on_time.assign(_new=True)
+        emitted = pd.concat([hist, _trailing(hist, n)], axis=1)
+        emitted = emitted[emitted["_new"]].drop(columns=["_new"]).assign(late=False)
+        late_rows = new[late].assign(late=True, **{c: np.nan for c in RAW_FEATURES})
+        out = [f for f in (emitted, late_rows) if len(f)]
+        state.update((list(map(tuple, hist[_STATE_COLS].tail(keep).itertuples(index=False, name=None))),
                       late_before + int(late.sum())))
-        if len(out):
-            yield out[out_cols]
+        if out:
+            yield pd.concat(out, ignore_index=True)[out_cols]
     return fn
 
 
 def stateful_features(stream: DataFrame, n: int = 10, eps: float = 0.0001) -> DataFrame:
-    """E1-E7 on a stream of Bronze rows (quality filter first, then state)."""
+    """E1-E7 on a stream of Bronze rows (quality filter first, then state),
+    every cleaned row once, with ``late``."""
     clean = quality_filter(stream.select(*BRONZE_COLUMNS))
     in_schema = clean.schema
-    out_schema = StructType(list(in_schema.fields) + [StructField(c, DoubleType())
-                                                      for c in RAW_FEATURES])
+    out_schema = StructType(list(in_schema.fields) + [StructField(c, DoubleType()) for c in RAW_FEATURES]
+                            + [StructField("late", BooleanType())])
     state_schema = StructType([StructField("_rows", ArrayType(STATE_SCHEMA)),
                                StructField("late", LongType())])
     raw = clean.groupBy(SEGMENT).applyInPandasWithState(
@@ -129,18 +126,22 @@ def stateful_features(stream: DataFrame, n: int = 10, eps: float = 0.0001) -> Da
         "append", GroupStateTimeout.NoTimeout)
     f, a = F.col("flow_rate_lpm"), F.col("acoustic_g_rms")
     out = raw.select(
-        *[f_.name for f_ in in_schema.fields],
+        *[f_.name for f_ in in_schema.fields], "late",
         rhu("_p_avg", 2).alias("pressure_rolling_avg"), rhu("_f_avg", 2).alias("flow_rolling_avg"),
         rhu("_a_avg", 4).alias("acoustic_rolling_avg"), rhu("_p_delta", 2).alias("pressure_delta"),
         rhu("_a_std", 4).alias("acoustic_rolling_std"))
-    out = out.select(
+    return out.select(
         *[f_.name for f_ in in_schema.fields], "pressure_rolling_avg", "flow_rolling_avg",
         "acoustic_rolling_avg", "pressure_delta",
         rhu(F.try_divide(f, F.col("flow_rolling_avg")), 4).alias("flow_imbalance_ratio"),
         "acoustic_rolling_std",
         rhu((a - F.col("acoustic_rolling_avg")) / (F.col("acoustic_rolling_std") + F.lit(eps)), 4)
-        .alias("acoustic_zscore"))
-    return out.dropna()
+        .alias("acoustic_zscore"), "late")
+
+
+def complete(silver: DataFrame) -> DataFrame:
+    """Silver rows with all features: the rows that the batch definition keeps."""
+    return silver.drop("late").dropna(subset=[c for c in BATCH_FEATURES])
 
 
 def run_messages_to_silver(spark: SparkSession, fmt: str, source: str, silver_path: str,
@@ -186,10 +187,7 @@ def run_silver_stateful(spark: SparkSession, bronze_path: str, silver_path: str,
     it unset over a stream-written Bronze table (each trigger takes whole
     committed batches), or use ``run_messages_to_silver``, whose cap applies to
     the message source itself."""
-    r = spark.readStream.schema(schema)
-    if max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    out = stateful_features(r.parquet(bronze_path), n).withColumn("silver_ts", F.current_timestamp())
+    out = stateful_features(stream_table(spark, bronze_path, schema, max_files), n).withColumn("silver_ts", F.current_timestamp())
     q = (out.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(silver_path))
     if wait:

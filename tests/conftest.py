@@ -14,7 +14,7 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from leakscope.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=8,
+    s = build_session(master=os.environ.get("TEST_MASTER", "local[4]"), shuffle_partitions=8,
                       extra={"spark.driver.memory": "8g",
                              "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ls-wh-")})
     if not s.conf.get("spark.checkpoint.dir", None):

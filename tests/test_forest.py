@@ -59,10 +59,31 @@ def test_frozen_forest_scores_known_row(spark):
     assert abs(r - (-(2 ** (-e / c_factor(256))))) < 1e-12
 
 
-def test_pool_sampling_branch_exact_and_partition_independent(spark):
-    s = M.fixture_silver(spark, SF_SMALL)  # ~980 rows > pool target of 5 x 4 x 3 x 8 = 480
+def test_samples_are_partition_independent_and_follow_one_definition(spark):
+    from hashlib import md5
+    s = M.fixture_silver(spark, SF_SMALL)
     a, psi = tree_samples(s, FOREST_FEATURES, 5, 8, 42)
     b, _ = tree_samples(s.repartition(5), FOREST_FEATURES, 5, 8, 42)
     ka = sorted((r.tree, r.event_id) for r in a.select("tree", "event_id").collect())
     kb = sorted((r.tree, r.event_id) for r in b.select("tree", "event_id").collect())
     assert psi == 8 and len(ka) == 40 and ka == kb
+    ids = [r.event_id for r in s.select("event_id").collect()]
+
+    def h(*x):
+        return int(md5(":".join(map(str, x)).encode()).hexdigest()[:13], 16)
+    p = 3.0 * 8 / len(ids)
+    want = []
+    for t in range(5):
+        cand = []
+        for e in ids:
+            first = int(np.floor(np.log(1 - h(42, "first", e) / 2 ** 52) / np.log1p(-p)))
+            if t == first or t > first and h(42, "next", t, e) < p * 2 ** 52:
+                cand.append((h(42, t, e), e))
+        want += [(t, e) for _, e in sorted(cand)[:8]]
+    assert ka == sorted(want)
+
+
+def test_split_has_no_class_limit(spark):
+    df = spark.range(1500).selectExpr("cast(id as string) event_id", "id % 300 as label")
+    got = stratified_split(df, "label", 0.2, 1).where("split = 'test'").groupBy("label").count().collect()
+    assert len(got) == 300 and {r["count"] for r in got} == {1}

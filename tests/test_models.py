@@ -41,6 +41,20 @@ def test_sequence_model_dual_gold_and_registry(spark, tmpdir_run):
     assert (v1, v2) == (1, 2)
     registry.set_alias(spark, root, "leak_detector", "production", 1)
     assert registry.resolve(spark, root, "leak_detector") == 1
+    log = os.path.join(root, "leak_detector", "aliases")
+    before = spark.read.parquet(log).count()
+    hidden = log + ".off"
+    os.rename(log, hidden)
+    os.makedirs(log)
+    open(os.path.join(log, "part-0.parquet"), "w").write("broken")
+    try:  # an unreadable log is an error, and nothing is rewritten
+        registry.set_alias(spark, root, "leak_detector", "other", 1)
+        raise AssertionError("a broken alias log was overwritten")
+    except Exception as e:  # noqa: BLE001
+        assert "alias log was overwritten" not in str(e)
+    os.rename(log, log + ".broken")
+    os.rename(hidden, log)
+    assert spark.read.parquet(log).count() == before == 2
     back = registry.load(spark, root, "leak_detector", 2)
     a = score_forest(silver, fm).select("event_id", "anomaly_score").orderBy("event_id").toPandas()
     b = score_forest(silver, back).select("event_id", "anomaly_score").orderBy("event_id").toPandas()

@@ -11,7 +11,7 @@ from leakscope.functions.severity import alert_message_expr, severity_expr
 from leakscope.operators import metrics, reports
 from leakscope.operators.features import batch_features, microbatch_features
 from leakscope.operators.quality import quality_filter, quality_report
-from leakscope.operators.selection import exact_quantile, kth_key
+from leakscope.operators.selection import exact_quantile, smallest_per_group
 from leakscope.schemas import BRONZE_SCHEMA
 
 T0 = dt.datetime(2024, 1, 1)
@@ -104,24 +104,21 @@ def test_exact_quantile_band_path_matches_numpy(spark, q):
     rng = np.random.default_rng(7)
     vals = np.round(rng.normal(size=3000), 3)  # ties on purpose
     df = spark.createDataFrame([(float(v),) for v in vals], "v double")
-    got = exact_quantile(df, "v", q, exact_limit=10).first()[0]  # forces band narrowing
-    import leakscope.operators.selection as S
-    old = S.BAND_LIMIT
-    S.BAND_LIMIT = 100
-    try:
-        got_small_band = exact_quantile(df, "v", q, exact_limit=10).first()[0]
-    finally:
-        S.BAND_LIMIT = old
+    got = exact_quantile(df, "v", q).first()[0]
+    got_small_band = exact_quantile(df, "v", q, band_limit=100, accuracy=200).first()[0]
     want = float(np.quantile(vals, q))
     assert math.isclose(got, want, abs_tol=1e-12)
     assert math.isclose(got_small_band, want, abs_tol=1e-12)
 
 
-def test_kth_key_with_tiebreak(spark):
-    df = spark.createDataFrame([(i % 7, f"k{i:03d}") for i in range(200)], "h long, id string")
-    key = kth_key(df, "h", ["id"], 50, band_limit=20)
-    ordered = sorted((i % 7, f"k{i:03d}") for i in range(200))
-    assert key == ordered[49]
+@pytest.mark.parametrize("per_cell", [3, 50, 100_000])
+def test_smallest_per_group_with_ties_and_many_groups(spark, per_cell):
+    rows = [(g, (i * i * 7919 % 97) << 40, f"k{i:03d}") for g in [None, *range(130)] for i in range(9 + (g or 0) % 5)]
+    df = spark.createDataFrame(rows, "g long, h long, id string")
+    got = {r["g"]: (r["edge"]["v"], r["edge"]["k"]) for r in smallest_per_group(df, "g", "h", "id", 0.3, per_cell).collect()}
+    for g in {r[0] for r in rows}:
+        own = sorted(x[1:] for x in rows if x[0] == g)
+        assert got[g] == own[math.ceil(0.3 * len(own)) - 1]
 
 
 def _py_message(sev, d, r, z):
@@ -155,17 +152,23 @@ def test_alert_message_matches_python_rule_on_random_rows(spark):
     assert got == want
 
 
-def test_exact_quantile_heavy_ties_without_ranking(spark):
-    import leakscope.operators.selection as S
-    vals = [1.0] * 2000 + [2.0] * 10 + [0.5] * 10
+@pytest.mark.parametrize("vals,q", [([1.0] * 2000 + [2.0] * 10 + [0.5] * 10, 0.5),
+                                    ([1.0] * 1000 + [2.0] * 1000, 0.5), ([3.0] * 700 + [1.0] * 900, 0.1)])
+def test_exact_quantile_heavy_ties_without_ranking_rows(spark, vals, q):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    old = S.BAND_LIMIT
-    S.BAND_LIMIT = 50
-    try:
-        got = exact_quantile(df, "v", 0.5, exact_limit=10).first()[0]
-    finally:
-        S.BAND_LIMIT = old
-    assert got == 1.0
+    out = exact_quantile(df, "v", q, band_limit=50, accuracy=100)
+    assert out.first()[0] == float(np.quantile(vals, q))
+    # the one global window runs over distinct values, below which rows are aggregated
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.rindex("Aggregate")
+
+
+def test_rounding_of_large_sums(spark):
+    from leakscope.functions.rounding import round_half_up
+    vals = [2e10 + 0.125, 1e12, 1.23456e15, 3e17, 1e300, None, -4e12 - 0.5]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    assert [r[0] for r in df.select(round_half_up("v", 2)).collect()] == [
+        2e10 + 0.13, 1e12, 1.23456e15, 3e17, 1e300, None, -4e12 - 0.5]
 
 
 def test_round_half_up_matches_decimal_rule(spark):

@@ -48,3 +48,10 @@ def test_silver_runtime_plan_scans_input_three_times(spark):
     final = _plan(df).split("+- == Initial Plan ==")[0]
     assert len(re.findall(r"Scan parquet", final)) == 3    # rows, bucket tails, bucket counts
     assert "ReusedExchange" in final                       # the counts are computed once
+
+
+def test_writers_rebalance_instead_of_one_task_per_value(spark, tmp_path):
+    from leakscope.sources.tables import _writer
+    df = spark.range(1000).selectExpr("id", "'hot' as seg")
+    plan = _writer(df, "overwrite", ["seg"])._df._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan

@@ -12,7 +12,7 @@ from leakscope.schemas import BRONZE_COLUMNS, BATCH_FEATURES
 from leakscope.sources import fixtures as fx
 from leakscope.sources.messages import to_messages
 from leakscope.streaming.bronze import progress, run_bronze
-from leakscope.streaming.silver import run_silver_microbatch, run_silver_stateful
+from leakscope.streaming.silver import complete, run_silver_microbatch, run_silver_stateful
 
 from tests.conftest import SF_SMALL
 
@@ -57,7 +57,7 @@ def test_messages_to_bronze_restart_and_dedup(spark, tmpdir_run):
     assert spark.read.parquet(out).count() == n
     # the repaired stream drops the duplicate event_id
     out2, ck2 = os.path.join(tmpdir_run, "bronze2"), os.path.join(tmpdir_run, "ck2")
-    run_bronze(spark, "text", src, out2, ck2, dedup_delay="400 days")
+    run_bronze(spark, "text", src, out2, ck2, dedup_delay="1 hour")
     assert spark.read.parquet(out2).count() == n - 1
 
 
@@ -86,7 +86,7 @@ def test_stateful_silver_equals_batch_features_over_files(spark, tmpdir_run):
     spath = os.path.join(tmpdir_run, "silver")
     run_silver_stateful(spark, bpath, spath, os.path.join(tmpdir_run, "ck"), bronze.schema,
                         max_files=1)
-    got = spark.read.parquet(spath).drop("silver_ts")
+    got = complete(spark.read.parquet(spath)).drop("silver_ts")
     want = batch_features(quality_filter(bronze))
     cols = ["event_id"] + BATCH_FEATURES
     a = got.select(cols).toPandas().sort_values("event_id").reset_index(drop=True)
@@ -138,8 +138,13 @@ def test_stateful_silver_late_row_not_reordered(spark, tmpdir_run):
     spath = os.path.join(tmpdir_run, "silver")
     run_silver_stateful(spark, bpath, spath, os.path.join(tmpdir_run, "ck"), bronze.schema,
                         max_files=1)
-    got = spark.read.parquet(spath).drop("silver_ts")
-    assert got.where(F.col("event_id") == late_id).count() == 0
+    all_rows = spark.read.parquet(spath).drop("silver_ts")
+    # every cleaned row is there once; the late one without features
+    assert sorted(r.event_id for r in all_rows.select("event_id").collect()) == sorted(pdf.event_id)
+    late_row = all_rows.where("late").collect()
+    assert [r.event_id for r in late_row] == [late_id]
+    assert all(late_row[0][c] is None for c in BATCH_FEATURES)
+    got = complete(all_rows)
     from leakscope.streaming.silver import late_counts
     late = {r.pipe_segment_id: r.late_rows for r in late_counts(spark, os.path.join(tmpdir_run, "ck")).collect()}
     assert late[seg] == 1 and sum(late.values()) == 1
@@ -181,10 +186,44 @@ def test_messages_to_stateful_silver_one_query(spark, tmpdir_run):
     _write_message_files(spark, bronze, src, k=4)   # four files in time order
     out, ck = os.path.join(tmpdir_run, "silver"), os.path.join(tmpdir_run, "ck")
     run_messages_to_silver(spark, "text", src, out, ck, max_per_trigger=1)
-    got = spark.read.parquet(out)
+    got = complete(spark.read.parquet(out))
     want = batch_features(quality_filter(bronze))
     cols = ["event_id"] + BATCH_FEATURES
     a = got.select(cols).toPandas().sort_values("event_id").reset_index(drop=True)
     b = want.select(cols).toPandas().sort_values("event_id").reset_index(drop=True)
     pd.testing.assert_frame_equal(a, b)
     assert sum(r.late_rows for r in late_counts(spark, ck).collect()) == 0
+
+
+def test_caps_do_not_change_which_rows_are_kept(spark, tmpdir_run):
+    """Three files, the last one 12 hours late: cap 1, cap 3 and no cap give the
+    same Bronze and the same Silver, late rows included."""
+    bronze = quality_filter(fx.bronze(spark, SF_SMALL))
+    src = os.path.join(tmpdir_run, "msgs")
+    _write_message_files(spark, bronze, src, k=3)
+    with open(os.path.join(src, "part-000.json")) as fh:
+        old = fh.readline().replace('"event_id":"', '"event_id":"x')
+    with open(os.path.join(src, "part-800.json"), "w") as fh:
+        fh.write(old + "\n")
+    kept = {}
+    for cap in (1, 3, None):
+        out, ck = os.path.join(tmpdir_run, f"b{cap}"), os.path.join(tmpdir_run, f"ck{cap}")
+        run_bronze(spark, "text", src, out, ck, max_per_trigger=cap, dedup_delay="1 hour")
+        rows = spark.read.parquet(out)
+        silver, ck2 = os.path.join(tmpdir_run, f"s{cap}"), os.path.join(tmpdir_run, f"ck2{cap}")
+        run_silver_stateful(spark, out, silver, ck2, rows.schema, max_files=cap)
+        s = spark.read.parquet(silver)
+        kept[cap] = (sorted(r.event_id for r in rows.select("event_id").collect()),
+                     sorted(r.event_id for r in s.select("event_id").collect()))
+    assert kept[1] == kept[3] == kept[None]
+    assert kept[1][0] == kept[1][1] and len(kept[1][0]) == bronze.count() + 1
+
+
+def test_bronze_named_table(spark, tmpdir_run):
+    bronze = fx.bronze(spark, SF_SMALL)
+    src = os.path.join(tmpdir_run, "msgs")
+    _write_message_files(spark, bronze, src, k=2)
+    spark.sql("DROP TABLE IF EXISTS bronze_named")
+    run_bronze(spark, "text", src, "", os.path.join(tmpdir_run, "ck"), table="bronze_named")
+    assert spark.table("bronze_named").count() == bronze.count()
+    spark.sql("DROP TABLE bronze_named")

@@ -74,3 +74,37 @@ def test_adaptive_width_splits_hot_key_and_stays_exact(spark, target):
     n_hot = hot.where(F.col("seg") == "S0").count()
     chunks = fr.where(~F.col("_halo") & (F.col("seg") == "S0")).select("_chunk").distinct().count()
     assert chunks >= max(2, n_hot // (4 * target))
+
+
+def _chunks_and_means(df, target, halo=9):
+    order = ["ts", "event_id"]
+    fr = with_halo(df, "seg", order, "ts", halo, bucket_seconds=None, target_rows=target)
+    w = chunk_window("seg", order)
+    got = drop_halo(fr.select("event_id", "_chunk", "_halo", F.avg("x").over(w.rowsBetween(-halo, 0)).alias("m"))).toPandas()
+    pw = Window.partitionBy("seg").orderBy(*order)
+    want = df.select("event_id", F.avg("x").over(pw.rowsBetween(-halo, 0)).alias("m")).toPandas()
+    a, b = (x.sort_values("event_id").reset_index(drop=True) for x in (got, want))
+    assert list(a["event_id"]) == list(b["event_id"])
+    np.testing.assert_allclose(a["m"], b["m"], rtol=1e-12)
+    return fr.where(~F.col("_halo")).groupBy("seg", "_chunk").count().toPandas()["count"]
+
+
+@pytest.mark.parametrize("case", ["outlier", "burst", "nulls", "one_key"])
+def test_no_bucket_outgrows_its_target(spark, case):
+    rng = np.random.default_rng(3)
+    base = dt.datetime(2024, 1, 1)
+    n, target = 3000, 100
+    rows = []
+    for i in range(n):
+        ts = base + dt.timedelta(seconds=int(rng.integers(0, 5000)))
+        if case == "burst" and i < 2000:
+            ts = base + dt.timedelta(seconds=77)
+        if case == "nulls" and i < 2000:
+            ts = None
+        rows.append((f"event-{i:09d}", "S0" if case == "one_key" else f"S{i % 2}", ts, float(rng.normal())))
+    if case == "outlier":
+        rows.append(("event-zzz", "S0", dt.datetime(1970, 1, 1), 1.0))
+        rows.append(("event-zzy", "S1", dt.datetime(2400, 1, 1), 1.0))
+    df = spark.createDataFrame(rows, "event_id string, seg string, ts timestamp_ntz, x double")
+    sizes = _chunks_and_means(df, target)
+    assert sizes.sum() == len(rows) and sizes.max() <= 4 * target
