@@ -9,8 +9,7 @@ windows that select the same gram are one row: about two rows for each
 ``length - gram`` units.
 
 ``candidates`` returns, per document, the selected grams that occur twice or
-more. The rows are dealt by their gram once and both counted and matched there;
-a document's text is dealt once by doc_id and used again for the result.
+more. A document's text is dealt once by doc_id and used again for the result.
 """
 
 from __future__ import annotations
@@ -21,6 +20,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leakscope.llm.common import written
+
 NO_ID = -(1 << 63)
 ODD = np.uint64(0x9E3779B97F4A7C15)
 BYTE_CODES = np.array([xxhash.xxh64_intdigest(bytes([b]), 7) | 1 for b in range(256)], np.uint64)
@@ -140,9 +141,13 @@ def candidates(docs: DataFrame, units, length: int, gram: int, many: int) -> Dat
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(g), pa.array(d[first + doc]), pa.array(start << 16 | n << 8 | at)], ["g", "d", "span"])
 
-    rows = docs.mapInArrow(run, "g long, d long, span long").repartition("g")
-    twice = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("g", (F.col("n") > many).alias("crowded"))
-    spans = (rows.join(twice.hint("merge"), "g")
+    rows = docs.mapInArrow(run, "g long, d long, span long")
+    # counts meet one row for each gram and task; the table of repeated grams is
+    # written, so the join to it stands between two plain exchanges and a very
+    # common gram is split over tasks
+    twice = written(rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                    .select("g", (F.col("n") > many).alias("crowded")), "repeated-grams")
+    spans = (rows.join(twice, "g")
              .groupBy("d").agg(F.collect_list(F.struct("span", "crowded")).alias("spans")))
     return docs.join(spans.hint("merge"), "d")
 
