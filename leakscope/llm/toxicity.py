@@ -8,7 +8,8 @@ the whole corpus. Texts are unit TF-IDF vectors over the lexicon. The examples
 stand in an inverted index cut into blocks of neighbouring examples, with the
 largest weight of every term in every block: a query's blocks are read from the
 highest upper bound down until the bound falls below the k-th best cosine, so
-the k nearest are exact. Votes weigh by distance; an isotonic curve,
+the k nearest are exact. Votes weigh by distance, and the label rate has a weight
+among them, so a few distant neighbours decide nothing; an isotonic curve,
 fitted on the examples' own leave-one-out votes weighted to the label
 rates of all labelled rows, makes them scores. The neighbours are the
 evidence.
@@ -40,6 +41,7 @@ MAX_EXAMPLES = 2000
 MAX_TERMS = 1500
 MIN_G = 16.0  # log-likelihood ratio, about one in 16,000 by chance
 NEIGHBOURS = 15
+PRIOR = 60.0  # weight of the label rate among the votes: distant neighbours say little
 BLOCK = 64
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -153,7 +155,7 @@ class Index:
             self.weights[m[2], k] = m[3]
         self.tops = self.weights.reshape(len(lexicon), -1, BLOCK).max(2) if lexicon else np.zeros((0, n // BLOCK))
         self.curve = (np.array([0.0]), np.array([0.0]))
-        self.unknown = 0.0
+        self.unknown = self.rate = 0.0
 
     def parts(self) -> dict:
         return {k: v for k, v in vars(self).items() if k != "known"} | {"at": self.known.at}
@@ -186,11 +188,12 @@ class Index:
         return found, cos
 
     def vote(self, found: np.ndarray, cos: np.ndarray) -> float:
-        w = 1 / (1.05 - np.minimum(cos, 1).astype(np.float64))
-        return float((w * self.labels[found]).sum() / w.sum())
+        w = 1 / (1.05 - np.minimum(cos, 1).astype(np.float64)) ** 2
+        return float(((w * self.labels[found]).sum() + PRIOR * self.rate) / (w.sum() + PRIOR))
 
     def calibrate(self, rate: float, rows: list[tuple], k: int) -> None:
         """Isotonic fit of leave-one-out votes to labels, weighted to ``rate``."""
+        self.rate = rate
         share = self.labels_share(rows)
         weight = {1: rate / share if share else 0.0, 0: (1 - rate) / (1 - share) if share < 1 else 0.0}
         place = {int(d): n for n, d in enumerate(self.ids)}
