@@ -7,8 +7,10 @@ smoothed corpus frequencies divide, so every word (known or not) has a
 probability. Training is Baum-Welch: each pass runs scaled forward and backward
 recursions over all training documents where they are read, adds up expected
 counts within each task, and sums them over tasks; the bounded model
-(``EMITTED`` x ``STATES``) is re-estimated on the driver and broadcast. Scoring
-is the scaled forward recursion, the exact likelihood of the whole text.
+(``EMITTED`` x ``STATES``) is re-estimated on the driver and broadcast. For
+training, a text is cut into sequences of ``LONG`` tokens, which keeps the
+recursions of many texts in step; all tokens are counted. Scoring is the scaled
+forward recursion, the exact likelihood of the whole text.
 
 Texts are turned into word numbers once: the ``LISTED`` most frequent words are
 broadcast, and words beyond them (a few per cent) are joined to their counts.
@@ -34,8 +36,8 @@ LISTED = 200_000
 PASSES = 8
 SEED = 5
 END = "\n"  # no word holds white space
-GROUP = 1 << 18  # tokens run through the recursions at once
-LONG = 1 << 15  # tokens of a training sequence; longer texts count as several
+GROUP = 1 << 19  # tokens run through the recursions at once
+LONG = 512  # tokens of a training sequence; longer texts count as several
 FLUSH = 400_000
 
 
