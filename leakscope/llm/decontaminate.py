@@ -11,7 +11,8 @@ occurrence is lost. ``proximity_matches`` answers from the same postings which
 windows have enough of their words near an anchor in any order.
 
 Everything is DataFrame functions. The benchmark side is written first, so
-Spark broadcasts it only under its own size check and shuffles otherwise.
+Spark broadcasts it only under its own size check and shuffles otherwise; index
+terms are broadcast up to a counted limit, with another way beyond it.
 
 Defined cases: null and empty texts have no words and are clean; rows that
 share a doc_id (null included) are one document: its hits are the union over
@@ -30,6 +31,7 @@ from leakscope.llm.common import ascii_lower, null_safe, written
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 ANY_CASE_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 WINDOW = 13
+FEW_TERMS = 200_000  # some megabytes at most
 
 
 def words(text: Column) -> Column:
@@ -67,13 +69,23 @@ def around(w: str, q: Column, window: int) -> list[Column]:
             F.slice(w, q + 2, F.lit(k)).alias("after")]
 
 
-def postings(docs: DataFrame, terms: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(term, doc_id, pos, before, after) for the index terms, stored."""
-    p = (docs.select("doc_id", words(F.col("text")).alias("w"))
-         .select("doc_id", "w", F.posexplode("w").alias("pos", "term"))
-         .join(terms.select("term").distinct(), "term", "left_semi")
-         .select("term", "doc_id", "pos", *around("w", F.col("pos"), window)))
-    return written(p, "postings")
+def postings(docs: DataFrame, terms: DataFrame, window: int = WINDOW,
+             few_terms: int = FEW_TERMS) -> DataFrame:
+    """(term, doc_id, pos, before, after) for the index terms, stored. Up to
+    ``few_terms`` terms (counted) are broadcast and a document's words never
+    move. Beyond, the narrow (term, doc_id, pos) rows are joined to the terms,
+    and what is found goes back to its documents for the neighbouring words."""
+    own = terms.select("term").distinct()
+    texts = docs.select("doc_id", words(F.col("text")).alias("w"))
+    if own.count() <= few_terms:
+        p = (texts.select("doc_id", "w", F.posexplode("w").alias("pos", "term"))
+             .join(F.broadcast(own), "term", "left_semi"))
+    else:
+        found = (texts.select("doc_id", F.posexplode("w").alias("pos", "term")).join(own, "term", "left_semi")
+                 .groupBy("doc_id").agg(F.collect_set(F.struct("pos", "term")).alias("found")))
+        p = (null_safe(texts, found, "doc_id", "inner").select("doc_id", "w", F.explode("found").alias("f"))
+             .select("doc_id", "w", "f.pos", "f.term").where(F.get("w", F.col("pos")) == F.col("term")))
+    return written(p.select("term", "doc_id", "pos", *around("w", F.col("pos"), window)), "postings")
 
 
 def run(a: Column, b: Column) -> Column:

@@ -45,6 +45,15 @@ def test_contamination_matches_brute_force(spark, docs_of, near_texts, seed):
     assert _sorted(tuple(r) for r in got.collect()) == _sorted(brute.contamination(docs, items))
 
 
+def test_both_ways_to_postings_agree(spark, docs_of, near_texts):
+    docs, items = _corpus(near_texts, 4)
+    bench = spark.createDataFrame([x for x in items if x[0] is not None], "item_id long, text string")
+    d = docs_of(docs)
+    anch = decontaminate.anchors(bench, d)
+    few, many = (sorted(map(str, decontaminate.postings(d, anch, few_terms=k).distinct().collect())) for k in (10 ** 6, 0))
+    assert few == many and few
+
+
 def test_only_ascii_letters_are_lowered(spark, docs_of):
     bench = spark.createDataFrame([(1, "Ärger im straßenbau"), (2, "Été A B")], "item_id long, text string")
     got = decontaminate.decontaminate(docs_of([(1, "ärger im strassenbau"), (2, "ÄRGER IM STRASSENBAU"),
