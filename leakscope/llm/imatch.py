@@ -122,25 +122,21 @@ def report(docs: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
     # as a guest, behind the last one of the stretch before it
     parts = int(spark.conf.get("spark.sql.shuffle.partitions")) * 2
     cuts = sorted(set(rows.select(F.percentile_approx("d", [i / parts for i in range(1, parts)], 10_000)).first()[0] or []))
-    cut = F.array(*[F.lit(c) for c in cuts]).cast("array<long>")
-    # number of cuts below d, by halving: len(cuts) is at most `parts`
-    part = F.lit(0)
-    step = 1 << max(0, len(cuts).bit_length() - 1)
-    while step and cuts:
-        part = F.when((part + step <= len(cuts)) & (F.get(cut, part + step - 1) < F.col("d")), part + step).otherwise(part)
-        step //= 2
-    placed = rows.withColumn("part", part)
+    @F.arrow_udf("int")
+    def part_of(d: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(np.array(cuts, np.int64), d.to_numpy(zero_copy_only=False)), pa.int32())
+    placed = rows.withColumn("part", part_of("d"))
     heads = [(r["part"], r["d"]) for r in placed.groupBy("part").agg(F.max("d").alias("d")).orderBy(F.desc("part")).collect()]
     guest_of = {heads[(i + 1) % len(heads)][1]: p for i, (p, _) in enumerate(heads)}
-    if heads:
-        guests = F.create_map(*[F.lit(x) for d, p in guest_of.items() for x in (d, p)])
-        to = F.when(F.col("d").isin(list(guest_of)), F.array(
-            F.struct(F.col("part").alias("part"), F.lit(False).alias("guest")),
-            F.struct(F.element_at(guests, F.col("d")).alias("part"), F.lit(True).alias("guest")))
-        ).otherwise(F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("guest"))))
-    else:
-        to = F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("guest")))
-    dealt = (placed.select("d", "text", F.explode(to).alias("to")).select("d", "text", "to.part", "to.guest")
+
+    @F.arrow_udf("int")
+    def guest_part(d: pa.Array) -> pa.Array:
+        return pa.array([guest_of.get(x) for x in d.to_pylist()], pa.int32())
+    to = F.array_compact(F.array(
+        F.struct(F.col("part").alias("part"), F.lit(False).alias("guest")),
+        F.when(F.col("also").isNotNull(), F.struct(F.col("also").alias("part"), F.lit(True).alias("guest")))))
+    dealt = (placed.withColumn("also", guest_part("d")).select("d", "text", F.explode(to).alias("to"))
+             .select("d", "text", "to.part", "to.guest")
              .repartition("part").sortWithinPartitions("part", "guest", F.desc("d"), F.desc("text")))
 
     def run(batches):
