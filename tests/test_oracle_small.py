@@ -1,6 +1,7 @@
 """Every registered query with an oracle agrees with DuckDB at sf0.001."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -23,7 +24,8 @@ def con():
     return c
 
 
-ORACLES = E.oracle_sql()
+# single columns of E1_E7_batch_features are covered by it
+ORACLES = {k: v for k, v in E.oracle_sql().items() if not re.match(r"E[1-7]_[a-z]", k)}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
