@@ -95,10 +95,10 @@ def fit_sequence_model(df: DataFrame, label: str = "label", cols=SEQUENCE_FEATUR
     on about ``max_fit_rows`` labelled rows at most.
     Returns (model, test rows with predictions)."""
     scaler = fit_minmax(df, list(cols))
-    # rows with a full history, split by position on the narrow key columns; the
-    # vectors are read by every optimizer iteration, so they are cut once
-    seq = positional_split(sequence_frame(df, scaler, cols, n, label).drop("seq"), 0.8)
-    seq = materialize(seq)
+    # the vectors are read by the split's passes over their narrow key columns and
+    # by every optimizer iteration, so they are cut once; the split is a predicate
+    seq = materialize(sequence_frame(df, scaler, cols, n, label).drop("seq"))
+    seq = positional_split(seq, 0.8)
     train = seq.where(F.col("split") == "train")
     rows = train.count()
     if rows > max_fit_rows:  # the fit's bound; the rows of smallest hash, of both classes alike
