@@ -1,24 +1,23 @@
 """Toxicity from the nearest labelled examples.
 
 A bounded, documented sample of labelled rows (``max_examples`` of each class,
-those of smallest hash) is the example set. Its terms (words, and the first
-four and five letters of words) whose presence goes with the label beyond
-chance form the lexicon; document frequencies of the lexicon are counted over
-the whole corpus. Texts are unit TF-IDF vectors over the lexicon. The examples
-stand in an inverted index cut into blocks of neighbouring examples, with the
-largest weight of every term in every block: a query's blocks are read from the
-highest upper bound down until the bound falls below the k-th best cosine, so
-the k nearest are exact. Votes weigh by distance, and the label rate has a weight
-among them, so a few distant neighbours decide nothing; an isotonic curve,
-fitted on the examples' own leave-one-out votes weighted to the label
-rates of all labelled rows, makes them scores. The neighbours are the
-evidence.
-
-The index (``max_terms`` x 2 ``max_examples`` weights at most) is the only thing
+those of smallest hash) is the example set. All its terms (words, and the first
+four and five letters of words) form the lexicon; document frequencies of the
+lexicon are counted over the whole corpus. Texts are unit TF-IDF vectors over
+the lexicon, and the examples' postings are met in full, so the k nearest of
+every text that shares a term with an example are exact. They are the evidence.
+Votes weigh by distance, and the label rate has a weight among them, so a few
+distant neighbours decide nothing. Among all words of a long text the few that
+make it toxic weigh little, so the k nearest over the terms whose presence goes
+with the label beyond chance vote beside the k nearest over all terms. An
+isotonic curve, fitted on the examples' own leave-one-out votes weighted to the
+label rates of all labelled rows, makes the votes scores.
+
+The index (the vectors of 2 ``max_examples`` texts at most) is the only thing
 that reaches the driver and is broadcast; texts are scored where they are read.
 
-Defined cases: null and empty texts, and texts without a lexicon term, have no
-neighbour and get the rate of such examples; rows with a null label or
+Defined cases: null and empty texts, and texts without a term of any example,
+have no neighbour and get the rate of such examples; rows with a null label or
 doc_id are no examples; of several labels of one doc_id the largest counts;
 repeated rows get equal scores; without examples every score is 0; ties of
 cosine go to the example that stands first; only doc_id, text and toxic are
@@ -30,6 +29,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,20 +38,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
+from leakscope.llm.common import written
+
 MAX_EXAMPLES = 2000
-MAX_TERMS = 1500
-MIN_G = 16.0  # log-likelihood ratio, about one in 16,000 by chance
 NEIGHBOURS = 15
 PRIOR = 60.0  # weight of the label rate among the votes: distant neighbours say little
-BLOCK = 64
+MIN_G = 16.0  # log-likelihood ratio, about one in 16,000 by chance
+DENSE = 2048  # terms with the longest postings, as rows over all examples
+SLACK = 1e-4  # far above the error of a sum in single precision
+BATCH = 128
 WORD = re.compile(r"[^\W\d_]+")
+LETTERS = bytes(c if chr(c).isalpha() and c < 128 else 32 for c in range(256))  # the same for ASCII
+
+
+def words(text: str | None) -> list[str]:
+    t = (text or "").lower()
+    return t.encode().translate(LETTERS).decode().split() if t.isascii() else WORD.findall(t)
 
 
 def terms(text: str | None) -> Counter:
     """Words and word beginnings ("^") of a text, with their counts."""
-    words = Counter(WORD.findall((text or "").lower()))
-    out = Counter(words)
-    for w, n in words.items():
+    own = Counter(words(text))
+    out = Counter(own)
+    for w, n in own.items():
         out["^" + w[:4]] += n
         if len(w) > 4:
             out["^" + w[:5]] += n
@@ -69,47 +79,34 @@ def examples(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLE
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text")))
 
 
-def _lexicon(sample: DataFrame, max_terms: int, min_g: float) -> list[str]:
-    """Terms by their log-likelihood ratio with the label, at most max_terms."""
+def _lexicon(sample: DataFrame) -> list[str]:
+    """All terms of the examples."""
     def run(batches):
+        own = set()
         for b in batches:
-            for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                own = list(terms(t))
-                yield pa.RecordBatch.from_arrays([pa.array([y] * len(own), pa.int32()), pa.array(own, pa.string())],
-                                                 ["toxic", "term"])
-    n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n0, n1 = n.get(0, 0), n.get(1, 0)
-    if not (n0 and n1):
-        return []
-    per = (sample.select("toxic", "text").mapInArrow(run, "toxic int, term string").groupBy("term")
-           .agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b")))
-
-    def part(x: Column, e: Column) -> Column:
-        return F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
-    a, b, all_ = F.col("a"), F.col("b"), float(n0 + n1)
-    g = 2 * (part(a, (a + b) * n1 / all_) + part(b, (a + b) * n0 / all_)
-             + part(n1 - a, (all_ - a - b) * n1 / all_) + part(n0 - b, (all_ - a - b) * n0 / all_))
-    got = per.withColumn("g", g).where(F.col("g") >= min_g).orderBy(F.desc("g"), "term").limit(max_terms).collect()
-    return sorted(r["term"] for r in got)
+            for t in b.column(0).to_pylist():
+                own.update(terms(t))
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(own), pa.string())], ["term"])
+    return sorted(sample.select("text").mapInArrow(run, "term string").distinct().toArrow()["term"].to_pylist())
 
 
 def document_frequencies(docs: DataFrame, lexicon: list[str]) -> tuple[int, np.ndarray]:
     """Documents, and those that hold each lexicon term, over the whole corpus."""
     size = len(lexicon)
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches):
-        known = Known({t: i for i, t in enumerate(lexicon)})
-        df, n = np.zeros(size + 1, np.int64), 0
+        known = _known(shared)
+        df = np.zeros(size + 1, np.int64)
         for b in batches:
             for t in b.column(0).to_pylist():
-                df[known(t)[0]] += 1
-                n += 1
-        df[-1] = n
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], ["i", "n"])
-    got = docs.select("text").mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
+                df[known.numbers(set(words(t)))] += 1
+                df[-1] += 1
+        held = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(df[held])], ["i", "n"])
+    got = docs.select("text").mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(size + 1, np.int64)
-    for r in got:
-        df[r["i"]] = r["n"]
+    df[got["i"].to_numpy()] = got["n"].to_numpy()
     return int(df[-1]), df[:-1]
 
 
@@ -128,64 +125,160 @@ class Known(dict):
         out = self[w] = tuple(i for i in got if i is not None)
         return out
 
+    def numbers(self, distinct: Iterable[str]) -> np.ndarray:
+        """Numbers of the lexicon terms that these words hold."""
+        return np.unique(np.fromiter(chain.from_iterable(map(self.__getitem__, distinct)), np.int64))
+
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and counts of the lexicon terms in a text."""
-        out: dict[int, int] = {}
-        for numbers in filter(None, map(self.__getitem__, WORD.findall((text or "").lower()))):
-            for i in numbers:
-                out[i] = out.get(i, 0) + 1
-        i = np.array(sorted(out), np.int64)
-        return i, np.array([out[k] for k in i.tolist()], np.float64)
+        own = Counter(words(text))
+        held = list(map(self.__getitem__, own))
+        i = np.fromiter(chain.from_iterable(held), np.int64)
+        n = np.repeat(np.fromiter(own.values(), np.int64, len(own)), np.fromiter(map(len, held), np.int64, len(held)))
+        both = np.sort(i << 32 | n)  # a plain sort, by term
+        i = both >> 32
+        new = np.flatnonzero(np.diff(i, prepend=-1))
+        return i[new], np.add.reduceat(both & 0xFFFFFFFF, new) if len(new) else n
+
+
+def _known(shared) -> Known:
+    """The lexicon's numbers, made once in each worker process on its own copy
+    of the broadcast."""
+    known = getattr(shared, "known", None)
+    if known is None:
+        known = shared.known = Known({t: i for i, t in enumerate(shared.value)})
+    return known
+
+
+def _unit(v: np.ndarray) -> np.ndarray:
+    return v / (math.sqrt((v * v).sum()) or 1.0)
+
+
+def _stretches(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers first[j] to first[j] + n[j] - 1 of all j, one after another."""
+    ends = np.cumsum(n)
+    return np.arange(ends[-1] if len(n) else 0) + np.repeat(first - (ends - n), n)
+
+
+class Postings:
+    """Unit vectors by row, and as postings by term. The ``DENSE`` terms with
+    the longest postings also stand as lines over all rows, so that a batch of
+    texts meets them in one product."""
+
+    def __init__(self, vectors: list[tuple], size: int) -> None:
+        n = self.n = len(vectors)
+        self.starts = np.cumsum([0, *(len(i) for i, _ in vectors)])
+        self.term = np.concatenate([np.zeros(0, np.int64), *(i for i, _ in vectors)]).astype(np.int32)
+        self.weight = np.concatenate([np.zeros(0), *(v for _, v in vectors)])
+        order = np.argsort(self.term, kind="stable")
+        self.held = np.bincount(self.term, minlength=size)
+        self.first = np.cumsum(self.held) - self.held
+        self.at = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.starts))[order]
+        self.posted = self.weight[order].astype(np.float32)
+        often = np.argsort(-self.held, kind="stable")[:min(DENSE, np.count_nonzero(self.held))]
+        self.line = np.full(size, -1, np.int32)
+        self.line[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), n), np.float32)
+        line = self.line[self.term[order]]
+        self.dense[line[line >= 0], self.at[line >= 0]] = self.posted[line >= 0]
+
+    def nearest(self, vectors: list[tuple], k: int, skips: list[int] | None = None) -> list[tuple]:
+        """Numbers and cosines of each vector's k nearest rows, best first.
+        Every posting of every term counts: sums in single precision find all
+        rows that can be among the k, which are then compared by their cosines
+        in double precision."""
+        if not self.n:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * len(vectors)
+        heavy = np.zeros((len(vectors), len(self.dense)), np.float32)
+        for q, (i, v) in enumerate(vectors):
+            r = self.line[i]
+            heavy[q, r[r >= 0]] = v[r >= 0]
+        sums = heavy @ self.dense
+        out = []
+        whole = np.zeros(len(self.held))
+        for q, (i, v) in enumerate(vectors):
+            light = self.line[i] < 0
+            held = self.held[i[light]]
+            p = _stretches(self.first[i[light]], held)
+            s = sums[q] + np.bincount(self.at[p], self.posted[p] * np.repeat(v[light].astype(np.float32), held), self.n)
+            if skips and skips[q] >= 0:
+                s[skips[q]] = 0
+            least = np.partition(s, -k)[-k] if k < len(s) else 0
+            found = np.flatnonzero((s > 0) & (s >= least - SLACK))
+            whole[i] = v
+            n = self.starts[found + 1] - self.starts[found]
+            p = _stretches(self.starts[found], n)
+            cos = np.add.reduceat(whole[self.term[p]] * self.weight[p], np.cumsum(n) - n) if len(found) else np.zeros(0)
+            whole[i] = 0
+            best = np.lexsort((found, -cos))[:k]
+            out.append((found[best], cos[best]))
+        return out
 
 
 class Index:
-    """Unit vectors of the examples by term, in blocks with their maxima. A text
-    may also come as its term numbers and counts."""
+    """The examples' vectors over all terms, and over the terms that tell the
+    label. A text may also come as its term numbers and counts."""
 
     def __init__(self, lexicon: list[str], idf: np.ndarray, rows: list[tuple]) -> None:
-        self.known, self.idf = Known({t: i for i, t in enumerate(lexicon)}), idf
+        self.lexicon, self.idf = lexicon, idf
+        self.known = Known({t: i for i, t in enumerate(lexicon)})
         made = [(i, y, *self.vector(t)) for i, y, t in rows]
-        made = [m for m in made if len(m[2])]
-        made.sort(key=lambda m: (int(m[2][np.argmax(m[3])]), m[0]))  # alike examples share blocks
+        made = sorted((m for m in made if len(m[2])), key=lambda m: m[0])
         self.ids = np.array([m[0] for m in made], np.int64)
         self.labels = np.array([m[1] for m in made], np.float64)
-        n = -(-max(1, len(made)) // BLOCK) * BLOCK
-        self.weights = np.zeros((len(lexicon), n), np.float32)
-        for k, m in enumerate(made):
-            self.weights[m[2], k] = m[3]
-        self.tops = self.weights.reshape(len(lexicon), -1, BLOCK).max(2) if lexicon else np.zeros((0, n // BLOCK))
+        self.vectors = [m[2:] for m in made]
         self.curve = (np.array([0.0]), np.array([0.0]))
         self.unknown = self.rate = 0.0
+        self._post()
+
+    def _post(self) -> None:
+        self.tells = self._tells()
+        self.all = Postings(self.vectors, len(self.idf))
+        self.telling = Postings([self.told(*v) for v in self.vectors], len(self.idf))
+
+    def _tells(self) -> np.ndarray:
+        """Whether a term's presence goes with the label beyond chance, by its
+        log-likelihood ratio."""
+        held = [np.bincount(np.concatenate([np.zeros(0, np.int64), *(
+            i for (i, _), x in zip(self.vectors, self.labels) if x == y)]), minlength=len(self.idf)) for y in (0, 1)]
+        n = [float((self.labels == y).sum()) for y in (0, 1)]
+        g, some = np.zeros(len(self.idf)), held[0] + held[1]
+        for y in (0, 1):
+            for x, e in ((held[y], some * (n[y] / max(1, sum(n)))), (n[y] - held[y], (sum(n) - some) * (n[y] / max(1, sum(n))))):
+                g += np.where(x > 0, x * np.log(np.maximum(x, 1) / np.where(e > 0, e, 1)), 0)
+        return 2 * g >= MIN_G
 
     def parts(self) -> dict:
-        return {k: v for k, v in vars(self).items() if k != "known"} | {"at": self.known.at}
+        return {k: getattr(self, k) for k in ("lexicon", "idf", "ids", "labels", "vectors", "curve", "unknown", "rate")}
 
     @classmethod
     def of(cls, parts: dict) -> Index:
         out = cls.__new__(cls)
-        vars(out).update({k: v for k, v in parts.items() if k != "at"}, known=Known(parts["at"]))
+        vars(out).update(parts, known=Known({t: i for i, t in enumerate(parts["lexicon"])}))
+        out._post()
         return out
 
     def vector(self, text: str | tuple | None) -> tuple[np.ndarray, np.ndarray]:
         i, n = text if isinstance(text, tuple) else self.known(text)
-        v = (1 + np.log(n)) * self.idf[i]
-        return i, v / (math.sqrt((v * v).sum()) or 1.0)
+        return i, _unit((1 + np.log(n)) * self.idf[i])
+
+    def told(self, i: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A vector's part over the terms that tell the label."""
+        keep = self.tells[i]
+        return i[keep], _unit(v[keep])
 
     def nearest(self, i: np.ndarray, v: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples, best first."""
-        v = v.astype(np.float32)
-        bound = v @ self.tops[i]
-        found, cos = np.zeros(0, np.int64), np.zeros(0, np.float32)
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(found) == k and bound[b] < cos[-1] - 1e-6:
-                break
-            s = v @ self.weights[i, b * BLOCK:(b + 1) * BLOCK]
-            new = np.flatnonzero(s > 0)
-            new = new[new + b * BLOCK != skip]
-            found, cos = np.concatenate((found, new + b * BLOCK)), np.concatenate((cos, s[new]))
-            best = np.lexsort((found, -cos))[:k]
-            found, cos = found[best], cos[best]
-        return found, cos
+        return self.all.nearest([(i, v)], k, [skip])[0]
+
+    def votes(self, texts: list, k: int, skips: list[int] | None = None) -> list[tuple]:
+        """Vote, k nearest examples and their cosines of each text. Those
+        nearest by the terms that tell the label vote too."""
+        vectors = list(map(self.vector, texts))
+        near = self.all.nearest(vectors, k, skips)
+        told = self.telling.nearest([self.told(*v) for v in vectors], k, skips)
+        return [(self.vote(np.concatenate((f, tf)), np.concatenate((c, tc))), f, c)
+                for (f, c), (tf, tc) in zip(near, told)]
 
     def vote(self, found: np.ndarray, cos: np.ndarray) -> float:
         w = 1 / (1.05 - np.minimum(cos, 1).astype(np.float64)) ** 2
@@ -198,11 +291,11 @@ class Index:
         weight = {1: rate / share if share else 0.0, 0: (1 - rate) / (1 - share) if share < 1 else 0.0}
         place = {int(d): n for n, d in enumerate(self.ids)}
         points, none = [], []
-        for d, y, text in rows:
-            i, v = self.vector(text)
-            found, cos = self.nearest(i, v, k, place.get(d, -1)) if len(i) else ((), ())
-            (points if len(found) else none).append(
-                (self.vote(found, cos) if len(found) else 0.0, float(y), weight[y]))
+        for n in range(0, len(rows), BATCH):
+            part = rows[n:n + BATCH]
+            got = self.votes([t for _, _, t in part], k, [place.get(d, -1) for d, _, _ in part])
+            for (_, y, _), (vote, found, _) in zip(part, got):
+                (points if len(found) else none).append((vote, float(y), weight[y]))
         w0 = sum(w for _, _, w in none)
         self.unknown = sum(y * w for _, y, w in none) / w0 if w0 else 0.0
         pools: list[list[float]] = []  # weight, weighted labels, highest vote
@@ -219,32 +312,33 @@ class Index:
     def labels_share(rows: list[tuple]) -> float:
         return sum(y for _, y, _ in rows) / max(1, len(rows))
 
-    def score(self, text: str | None, k: int) -> tuple[float, list[int], list[float]]:
-        i, v = self.vector(text)
-        found, cos = self.nearest(i, v, k) if len(i) else ((), ())
-        if not len(found):
-            return self.unknown, [], []
+    def scores(self, texts: list[str | None], k: int) -> list[tuple[float, list[int], list[float]]]:
+        out = []
         x, y = self.curve
-        s = float(y[min(len(y) - 1, int(np.searchsorted(x, self.vote(found, cos))))])
-        return s, self.ids[found].tolist(), [round(float(c), 6) for c in cos]
+        for n in range(0, len(texts), BATCH):
+            for vote, found, cos in self.votes(texts[n:n + BATCH], k):
+                s = float(y[min(len(y) - 1, int(np.searchsorted(x, vote)))]) if len(found) else self.unknown
+                out.append((s, self.ids[found].tolist(), [round(c, 6) for c in cos.tolist()]))
+        return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS,
-        min_g: float = MIN_G, k: int = NEIGHBOURS) -> Index:
-    sample = examples(docs, labels, max_examples)
-    lexicon = _lexicon(sample, max_terms, min_g)
+def fit(docs: DataFrame, labels: DataFrame, max_examples: int = MAX_EXAMPLES, k: int = NEIGHBOURS) -> Index:
+    sample = written(examples(docs, labels, max_examples), "toxic-examples")
+    lexicon = _lexicon(sample)
     n, df = document_frequencies(docs, lexicon) if lexicon else (0, np.zeros(0))
     idf = np.log((1 + n) / (1 + df)) + 1
-    def run(batches):  # only lexicon terms leave a task, never whole texts
-        known = Known({t: i for i, t in enumerate(lexicon)})
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+
+    def run(batches):  # only term numbers leave a task, never whole texts
+        known = _known(shared)
         for b in batches:
             rows = [known(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array([i.tolist() for i, _ in rows], pa.list_(pa.int64())),
-                 pa.array([c.tolist() for _, c in rows], pa.list_(pa.float64()))], ["doc_id", "toxic", "i", "n"])
+                [b.column(0), b.column(1), pa.array([i.astype(np.int32).tobytes() for i, _ in rows], pa.binary()),
+                 pa.array([c.astype(np.int32).tobytes() for _, c in rows], pa.binary())], ["doc_id", "toxic", "i", "n"])
     got = sample.select("doc_id", "toxic", "text").mapInArrow(
-        run, "doc_id long, toxic int, i array<long>, n array<double>").collect()
-    rows = [(r["doc_id"], r["toxic"], (np.array(r["i"], np.int64), np.array(r["n"]))) for r in got]
+        run, "doc_id long, toxic int, i binary, n binary").collect()
+    rows = [(r["doc_id"], r["toxic"], (np.frombuffer(r["i"], np.int32), np.frombuffer(r["n"], np.int32))) for r in got]
     index = Index(lexicon, idf, rows)
     rate = labels.select(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
     index.calibrate(rate, rows, k)
@@ -265,7 +359,7 @@ def scorer(docs: DataFrame, index: Index, k: int = NEIGHBOURS):
         own = getattr(shared, "index", None)
         if own is None:
             own = shared.index = Index.of(shared.value)
-        got = [own.score(t, k) for t in texts.to_pylist()]
+        got = own.scores(texts.to_pylist(), k)
         return pa.StructArray.from_arrays(
             [pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.list_(pa.int64())),
              pa.array([g[2] for g in got], pa.list_(pa.float64()))], ["score", "neighbours", "cosines"])

@@ -122,6 +122,30 @@ def test_held_out_accuracy(spark):
     assert got[got.toxic == 1].score.mean() > 3 * got[got.toxic == 0].score.mean()
 
 
+def test_every_shared_word_finds_its_neighbours(spark, docs_of):
+    r = random.Random(3)
+    vocab = [f"{a}{b}stone" for a in "bcdfghklmn" for b in "aeiou"]
+    docs = [(i, " ".join(["idiot"] * (i % 4 == 0) + r.sample(vocab, r.randrange(1, 6)))) for i in range(160)]
+    docs += [(901, "xyz"), (902, ""), (903, None)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(160)], "doc_id long, toxic int")
+    got = {x["doc_id"]: x for x in toxicity.report(docs_of(docs), labels).collect()}
+    own = {d: toxicity.terms(t) for d, t in docs}
+    sample = [d for d in range(160) if crc32(str(d).encode()) % 5]
+    n = Counter(t for x in own.values() for t in x)
+
+    def unit(d):
+        v = {t: (1 + math.log(c)) * (math.log((1 + len(docs)) / (1 + n[t])) + 1)
+             for t, c in own[d].items() if any(t in own[e] for e in sample)}
+        return {t: x / math.sqrt(sum(y * y for y in v.values())) for t, x in v.items()}
+    unit_of = {d: unit(d) for d, _ in docs}
+    for d, _ in docs:
+        cos = {e: sum(x * unit_of[e].get(t, 0) for t, x in unit_of[d].items()) for e in sample}
+        want = sorted((x for x in cos.values() if x > 0), reverse=True)[:toxicity.NEIGHBOURS]
+        assert np.allclose(got[d]["cosines"], want, atol=2e-6)
+        assert np.allclose([cos[e] for e in got[d]["neighbours"]], want, atol=2e-6)
+    assert all(got[d]["neighbours"] for d in range(160)) and not got[901]["neighbours"]
+
+
 def test_edges(spark, docs_of):
     bad, good = "you idiot fool", "a calm fine day"
     docs = [(i, bad if i % 4 == 0 else good) for i in range(200)] + [(None, bad), (900, None), (901, ""), (902, bad), (902, bad)]
