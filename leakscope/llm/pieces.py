@@ -84,6 +84,24 @@ class Normaliser:
     def __call__(self, text: str) -> tuple[str, list[int]]:
         """The normalised text and, for each of its characters and its end, the
         source byte where it starts."""
+        norm, at = self.aligned(text)
+        return norm, at.tolist()
+
+    def aligned(self, text: str) -> tuple[str, np.ndarray]:
+        """The same with an array."""
+        if self.units or self.trim:
+            norm, at = self.mapped(text)
+            return norm, np.array(at, np.int64)
+        # every character stands for itself: the starts of all are found at once
+        b = np.frombuffer(text.encode(), np.uint8)
+        at = np.append(np.flatnonzero((b & 0xC0) != 0x80), len(b))
+        if self.prefix and text:
+            text, at = " " + text, np.insert(at, 0, at[0])
+        return text.replace(" ", SPACE) if self.escape else text, at
+
+    def mapped(self, text: str) -> tuple[str, list[int]]:
+        """The same by the map and the white-space rules, from character to
+        character."""
         b, out, at, i = text.encode(), [], [], 0
         while i < len(b):
             hit = self.longest(b, i)
@@ -121,7 +139,6 @@ class Encoder:
                 spec = v
         self.normalise = Normaliser(spec)
         self.pieces = pieces
-        self.plain = not (self.normalise.units or self.normalise.trim) and self.normalise.prefix and self.normalise.escape
         self.ids = {p: (-s, i) for i, (p, s, k) in enumerate(pieces) if k in (NORMAL, USER, UNUSED)}
         self.rank, self.no_rank = {p: r for p, (r, _) in self.ids.items()}, float("inf")
         self.byte = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == BYTE}
@@ -131,7 +148,6 @@ class Encoder:
         if any(k in (USER, UNUSED) for _, _, k in pieces) or any(SPACE in p.lstrip(SPACE) for p, _, k in pieces if k == NORMAL):
             raise ValueError("a model with unused or user-defined pieces, or with a space after a letter in a piece")
         self.chunk = re.compile(f"{SPACE}+[^{SPACE}]*|^[^{SPACE}]+")
-        self.words = re.compile(f"[ {SPACE}]+[^ {SPACE}]*")
         self.memo: dict[str, tuple] = {}
 
     def merge(self, chunk: str) -> list[str]:
@@ -203,13 +219,15 @@ class Encoder:
                 end.append(at[pos])
         return [*ids, self.eos], [*begin, at[-1]], [*end, at[-1]]
 
-    def remember(self, chunk: str) -> tuple[int, str, str]:
-        """(ids, their decimals, the decoded text) of a chunk."""
+    def remember(self, chunk: str) -> tuple[int, str, str, bytes]:
+        """(ids, their decimals, the decoded text, the characters that each id
+        covers) of a chunk."""
         if got := self.memo.get(chunk):
             return got
-        i, _ = self.chunk_ids(chunk.replace(" ", SPACE))
+        i, sizes = self.chunk_ids(chunk)
         # decode() drops the first space, which here is put before the chunk
-        got = len(i), " ".join(map(str, i)), self.decode([self.ids[SPACE][1], *i])
+        got = (len(i), " ".join(map(str, i)), self.decode([self.ids[SPACE][1], *i]),
+               np.array(sizes, np.int32).tobytes())
         if len(chunk) < 64 and len(self.memo) < MEMO:
             self.memo[chunk] = got
         return got
@@ -234,13 +252,13 @@ class Encoder:
     def digest(self, text: str | None) -> tuple[int, str, str, int]:
         """(ids, sha256 of the ids' decimals, sha256 of the decoded text, source
         bytes that the spans cover)."""
-        text = text or ""
-        if self.plain:  # nothing but spaces changes: chunks keep their own place
-            chunks = self.words.findall(" " + text) if text else []
-            covered = len(text.encode())
-        else:
-            norm, at = self.normalise(text)
-            chunks, covered = self.chunk.findall(norm), at[-1] - at[0]
+        return self.row(text)[:4]
+
+    def row(self, text: str | None) -> tuple[int, str, str, int, str]:
+        """``digest`` and the sha256 of the spans: the first and past-the-last
+        source byte of every id, each as eight bytes, the lowest first."""
+        norm, at = self.normalise.aligned(text or "")
+        chunks = self.chunk.findall(norm)
         got = list(map(self.memo.get, chunks))
         if None in got:
             got = [g or self.remember(c) for g, c in zip(got, chunks)]
@@ -249,8 +267,13 @@ class Encoder:
         s = "".join([g[2] for g in got])
         if self.normalise.prefix and s[:1] == " " and chunks:
             s = s[1:]
-        return (n, hashlib.sha256(" ".join(ids).encode()).hexdigest(),
-                hashlib.sha256(s.encode()).hexdigest(), covered)
+        sizes = np.frombuffer(b"".join([g[3] for g in got]), np.int32)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        spans = np.full((n, 2), at[-1], "<i8")  # the end id stands at the end
+        spans[:-1, 0], spans[:-1, 1] = at[ends - sizes], at[ends]
+        # characters stand in the order of their source, so no byte counts twice
+        return (n, hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(s.encode()).hexdigest(),
+                int((spans[:, 1] - spans[:, 0]).sum()), hashlib.sha256(spans.tobytes()).hexdigest())
 
 
 def _lossy(raw: bytes) -> str:
@@ -280,22 +303,24 @@ def _encoder(shared) -> Encoder:
 
 
 def digests(docs: DataFrame, model_path: str) -> DataFrame:
-    """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256, covered_bytes."""
+    """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256, covered_bytes,
+    spans_sha256."""
     shared = _share(docs, model_path)
 
     def run(batches):
         enc = _encoder(shared)
         for b in batches:
-            rows = [enc.digest(t) for t in b.column(1).to_pylist()]
-            cols = list(zip(*rows)) or [[], [], [], []]
+            rows = [enc.row(t) for t in b.column(1).to_pylist()]
+            cols = list(zip(*rows)) or [[], [], [], [], []]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()),
-                 pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "covered_bytes"])
+                 pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.string())],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "covered_bytes", "spans_sha256"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, covered_bytes long")
+        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, covered_bytes long, "
+             "spans_sha256 string")
 
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:

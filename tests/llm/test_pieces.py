@@ -66,3 +66,20 @@ def test_rows(docs_of, both):
     full = pieces.encode(docs_of(docs), MODEL).collect()
     assert sorted((str(r["doc_id"]), len(r["ids"])) for r in full) == [w[:2] for w in want]
     assert pieces.digests(docs_of(docs).where("doc_id = 99"), MODEL).collect() == []
+
+
+def test_rows_carry_the_spans_of_their_pieces(docs_of, both):
+    enc, lib = both
+    docs = [(i, t) for i, t in enumerate([None, *_texts(120, 60)])]
+    got = {r["doc_id"]: r for r in pieces.digests(docs_of(docs), MODEL).collect()}
+    for d, t in docs:
+        b = len((t or "").encode())
+        ids, begin, end = enc.encode(t)
+        assert got[d]["spans_sha256"] == sha(b"".join(x.to_bytes(8, "little") for s in zip(begin, end) for x in s))
+        assert got[d]["covered_bytes"] == len(set().union(*map(range, begin, end))) == b and ids[-1] == enc.eos
+
+
+def test_alignment_without_a_map_is_that_of_the_general_way(both):
+    norm = both[0].normalise
+    for t in _texts(300, 40):
+        assert norm(t) == norm.mapped(t), t
