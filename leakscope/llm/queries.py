@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leakscope.llm import (chat, decontaminate, hmm, imatch, linededup, pieces, simhash, substring, suffixes,
-                           toxicity)
+from leakscope.llm import (centroids, chat, convtrie, decontaminate, hmm, imatch, linededup, oracle_sql, pieces, simhash,
+                           substring, suffixes, toxicity, urltree)
 from leakscope.llm.common import table
 
 TOKENIZERS = "/opt/tokenizers"
@@ -53,9 +53,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urltree.judge(table(spark, sf_dir, "pages"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_imatch, op2_line_dedup, op3_substring_dedup, op4_hmm, op5_sentencepiece,
-                            op6_suffix_array, op7_toxicity, op8_chat, op9_simhash, op10_decontamination)}
+                            op6_suffix_array, op7_toxicity, op8_chat, op9_simhash, op10_decontamination,
+                            op11_url_filters, op12_centroid_clustering, op13_conversation_trie)}
 
 LINE_RUN = linededup.MIN_RUN
 SUB_WORDS = substring.LENGTH
@@ -123,4 +136,7 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM dw LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op11_url_filters": oracle_sql.urls(),
+    "op12_centroid_clustering": oracle_sql.clusters(),
+    "op13_conversation_trie": oracle_sql.trie(),
 }
