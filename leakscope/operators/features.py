@@ -23,22 +23,26 @@ ORDER = [EVENT_TS, EVENT_ID]  # event_id breaks timestamp ties
 def batch_features(df: DataFrame, n: int = 10, eps: float = 0.0001,
                    bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
                    plan: list[DataFrame] | None = None,
-                   target_rows: int = TARGET_ROWS) -> DataFrame:
+                   target_rows: int = TARGET_ROWS, keep_incomplete: bool = False,
+                   touched_by: str | None = None) -> DataFrame:
     """E1-E7 on quality-filtered readings.
 
     n-row trailing means of pressure (2 dp), flow (2 dp), acoustic (4 dp);
     previous-row pressure delta (2 dp); flow over the *rounded* flow mean (4 dp);
     n-row sample std of acoustic (4 dp); z of acoustic against the rounded mean
     and std (4 dp). Rows with any NULL (first row of a segment, single-row std)
-    are dropped.
+    are dropped unless ``keep_incomplete``. With the boolean column
+    ``touched_by``, ``_touched`` tells whether a row's n-row window has a row
+    where it is true.
     """
     cols = df.columns
     frame = with_halo(df, SEGMENT, ORDER, EVENT_TS, n - 1, bucket_seconds, target_rows, plan)
     w = chunk_window(SEGMENT, ORDER)
     roll = w.rowsBetween(-(n - 1), 0)
     p, f, a = (F.col(c) for c in ("pressure_psi", "flow_rate_lpm", "acoustic_g_rms"))
+    seen = [F.max(touched_by).over(roll).alias("_touched")] if touched_by else []
     out = frame.select(
-        *cols, "_chunk", "_halo",
+        *cols, "_chunk", "_halo", *seen,
         round_half_up(F.avg(p).over(roll), 2).alias("pressure_rolling_avg"),
         round_half_up(F.avg(f).over(roll), 2).alias("flow_rolling_avg"),
         round_half_up(F.avg(a).over(roll), 4).alias("acoustic_rolling_avg"),
@@ -46,13 +50,13 @@ def batch_features(df: DataFrame, n: int = 10, eps: float = 0.0001,
         round_half_up(F.stddev_samp(a).over(roll), 4).alias("acoustic_rolling_std"))
     out = drop_halo(out)
     out = out.select(
-        *cols, "pressure_rolling_avg", "flow_rolling_avg", "acoustic_rolling_avg",
+        *cols, *(["_touched"] if touched_by else []), "pressure_rolling_avg", "flow_rolling_avg", "acoustic_rolling_avg",
         "pressure_delta",
         round_half_up(F.try_divide(f, F.col("flow_rolling_avg")), 4).alias("flow_imbalance_ratio"),
         "acoustic_rolling_std",
         round_half_up((a - F.col("acoustic_rolling_avg")) /
                       (F.col("acoustic_rolling_std") + F.lit(eps)), 4).alias("acoustic_zscore"))
-    return out.dropna()
+    return out if keep_incomplete else out.dropna()
 
 
 def segment_stats(df: DataFrame, col: str = "acoustic_g_rms") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leakscope.functions.severity import CRITICAL_CUT, alert_message_expr, severity_expr
@@ -21,7 +21,7 @@ def classify(scored: DataFrame, cut: float = CRITICAL_CUT) -> DataFrame:
             .withColumn("alert_message", alert_message_expr()))
 
 
-def gold_table(classified: DataFrame, with_clock: bool = True) -> DataFrame:
+def gold_table(classified: DataFrame, with_clock: bool = True, extra: list[Column] = ()) -> DataFrame:
     """The Gold projection (+ ``gold_ts`` written with the rows, X8)."""
-    out = classified.select(*GOLD_COLUMNS)
+    out = classified.select(*GOLD_COLUMNS, *extra)
     return out.withColumn("gold_ts", F.current_timestamp()) if with_clock else out
