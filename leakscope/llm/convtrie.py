@@ -355,7 +355,8 @@ def report(turns: DataFrame, batch: int = BATCH, slice_rows: int = SLICE) -> Dat
     top = reps.select("conv_id", "m", F.col("depth").alias("whole"), zero.alias("depth"), zero.alias("x1"), zero.alias("x2"),
                       zero.alias("n_bytes"), zero.alias("upto"))
     path = written(by_turn.join(nodes, key).select(top.columns).unionByName(top), "trie-path")
-    passing = path.groupBy(*key).agg(F.min("conv_id").alias("owner"), F.sum("m").alias("n_convs"))
+    # written, so that the join to it shuffles both sides and adaptive execution can split the root's rows
+    passing = written(path.groupBy(*key).agg(F.min("conv_id").alias("owner"), F.sum("m").alias("n_convs")), "trie-passing")
 
     way = Window.partitionBy("conv_id").orderBy("depth")
     below = Window.partitionBy("conv_id").orderBy(F.desc("depth")).rowsBetween(Window.unboundedPreceding, -1)
