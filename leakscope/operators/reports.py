@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from leakscope.functions.rounding import round_half_up as rhu
 from leakscope.functions.timeutil import ts_lit
+from leakscope.operators.ordering import with_position
 from leakscope.schemas import EVENT_ID, EVENT_TS, SEGMENT
 
 
@@ -43,6 +44,12 @@ def ALERTS() -> Column:
     return F.col("severity").isin("CRITICAL", "WARNING")
 
 
+def positioned(df: DataFrame, *order: Column) -> DataFrame:
+    """F1, F2, F4, F6, F8, F9 where the order itself is the result: ``position``
+    is the row's place, 1 first. The rows are sorted by ranges over all tasks."""
+    return with_position(df, *order)
+
+
 def severity_rank(col: str = "severity") -> Column:
     """CRITICAL 1, WARNING 2, anything else 3."""
     return (F.when(F.col(col) == "CRITICAL", 1).when(F.col(col) == "WARNING", 2)

@@ -661,6 +661,58 @@ def f9(spark, sf):
     return reports.anomalies_sorted(gold(spark, sf))
 
 
+def _place(order: str) -> str:
+    return f"ROW_NUMBER() OVER (ORDER BY {order}) AS position"
+
+
+@query("F1_impact_order", G(
+    f"SELECT pipe_segment_id, critical_events, {_place('critical_events DESC, pipe_segment_id')} "
+    f"FROM (SELECT pipe_segment_id, {SF(CRIT)} AS critical_events FROM fx_gold GROUP BY pipe_segment_id)"))
+def f1(spark, sf):
+    out = reports.segment_risk_summary(gold(spark, sf)).select(SEGMENT, "critical_events")
+    return reports.positioned(out, F.desc("critical_events"), F.asc(SEGMENT))
+
+
+@query("F2_severity_order", G(
+    "SELECT event_id, severity, " + _place(
+        "CASE severity WHEN 'CRITICAL' THEN 1 WHEN 'WARNING' THEN 2 ELSE 3 END, pipe_segment_id, event_timestamp, event_id")
+    + " FROM fx_gold"))
+def f2(spark, sf):
+    out = gold(spark, sf).select(EVENT_ID, "severity", SEGMENT, EVENT_TS)
+    return (reports.positioned(out, reports.severity_rank().asc(), F.asc(SEGMENT), F.asc(EVENT_TS), F.asc(EVENT_ID))
+            .select(EVENT_ID, "severity", "position"))
+
+
+@query("F4_critical_order", G(
+    f"SELECT event_id, {R('anomaly_score', 4)} AS anomaly_score, "
+    + _place(f"{R('anomaly_score', 4)}, event_timestamp DESC, event_id") + f" FROM fx_gold WHERE {CRIT}"))
+def f4_order(spark, sf):
+    out = gold(spark, sf).where(CRIT).select(EVENT_ID, EVENT_TS, rhu("anomaly_score", 4).alias("anomaly_score"))
+    return (reports.positioned(out, F.asc("anomaly_score"), F.desc(EVENT_TS), F.asc(EVENT_ID))
+            .select(EVENT_ID, "anomaly_score", "position"))
+
+
+@query("F6_explore_order", G(f"SELECT event_id, pressure_psi, {_place('pressure_psi DESC, event_id')} FROM fx_gold"))
+def f6_order(spark, sf):
+    out = gold(spark, sf).select(EVENT_ID, "pressure_psi")
+    return reports.positioned(out, F.desc("pressure_psi"), F.asc(EVENT_ID))
+
+
+@query("F8_global_sort", S(
+    "SELECT event_id, pipe_segment_id, event_timestamp, "
+    + _place("pipe_segment_id, event_timestamp, event_id") + " FROM fx_silver"))
+def f8(spark, sf):
+    return reports.positioned(silver(spark, sf).select(EVENT_ID, SEGMENT, EVENT_TS),
+                              F.asc(SEGMENT), F.asc(EVENT_TS), F.asc(EVENT_ID))
+
+
+@query("F9_anomalies_order", G(
+    f"SELECT event_id, anomaly_score, {_place('anomaly_score, event_id')} FROM fx_gold WHERE anomaly_prediction = -1"))
+def f9_order(spark, sf):
+    out = reports.anomalies_sorted(gold(spark, sf)).select(EVENT_ID, "anomaly_score")
+    return reports.positioned(out, F.asc("anomaly_score"), F.asc(EVENT_ID))
+
+
 # ============================================================== G: set operations
 @query("G1_severity_distribution", G(
     f"SELECT 'CRITICAL' AS severity_level, COUNT(*) AS event_count FROM fx_gold WHERE {CRIT} UNION ALL "
