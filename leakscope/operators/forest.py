@@ -10,8 +10,8 @@ Isolation forest (Liu, Ting, Zhou 2008):
   anomaly).
 
 Spark layout: sampling is a hash draw + per-tree top-psi (partial
-WindowGroupLimit), fitting is ``groupBy("tree").applyInPandas`` (one small
-group per tree), the model is a node table with a proven size bound
+WindowGroupLimit), all trees grow together level by level as windows over
+(tree, node), the model is a node table with a proven size bound
 (trees x (2 ** (depth + 1) - 1) rows), and scoring is a vectorised
 ``pandas_udf`` that carries the node arrays.
 """
@@ -143,49 +143,66 @@ NODE_SCHEMA = StructType([
 ])
 
 
-def _grow(X: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Nodes (node, feature, threshold, left, right, size, depth, path) of one
-    isolation tree; feature = -1 marks a leaf whose ``path`` is its expected
-    path length."""
-    nodes: list[list] = []
-    stack = [(0, np.arange(X.shape[0]), 0)]
-    nodes.append(None)
-    while stack:
-        nid, idx, depth = stack.pop()
-        size = len(idx)
-        split = None
-        if depth < max_depth and size > 1:
-            for f in rng.permutation(X.shape[1]):
-                col = X[idx, f]
-                lo, hi = col.min(), col.max()
-                if hi > lo:
-                    thr = rng.uniform(lo, hi)
-                    split = (int(f), float(thr), idx[col < thr], idx[col >= thr])
-                    break
-        if split is None:
-            nodes[nid] = [nid, -1, None, -1, -1, size, depth, float(depth + c_factor(size))]
-            continue
-        f, thr, li, ri = split
-        lid, rid = len(nodes), len(nodes) + 1
-        nodes.extend([None, None])
-        nodes[nid] = [nid, f, thr, lid, rid, size, depth, None]
-        stack.append((rid, ri, depth + 1))
-        stack.append((lid, li, depth + 1))
-    return [tuple(n) for n in nodes]
-
-
-def _fit_tree_fn(cols: list[str], key: str, seed: int, max_depth: int):
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(key, kind="mergesort")  # same rows -> same tree
-        tree = int(pdf["tree"].iloc[0])
-        X = pdf[cols].to_numpy(dtype=float)
-        rng = np.random.default_rng([seed, tree])
-        rows = _grow(X, rng, max_depth)
-        out = pd.DataFrame(rows, columns=["node", "feature", "threshold", "left", "right",
-                                          "size", "depth", "path"])
-        out.insert(0, "tree", tree)
-        return out
-    return fit
+PATH_UNIT = float(1 << 32)  # path lengths are multiples of 1 / PATH_UNIT: their sums do not depend on order
+NODE = "struct<node:int,feature:int,threshold:double,size:bigint,depth:int>"
+
+
+def _c_expr(size: F.Column) -> F.Column:
+    """``c_factor`` of a column."""
+    n = F.greatest(size, F.lit(3)).cast("double")
+    c = 2.0 * (F.log(n - 1.0) + F.lit(EULER_GAMMA)) - 2.0 * (n - 1.0) / n
+    return F.when(size > 2, c).when(size == 2, 1.0).otherwise(0.0)
+
+
+def _feature_draw(tree: F.Column, node: F.Column, seed: int, i: int) -> F.Column:
+    """Four hexadecimal digits that rank feature ``i`` in (tree, node)."""
+    text = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(f"feature{i // 8}"), tree.cast("string"), node.cast("string")))
+    return F.substring(text, 4 * (i % 8) + 1, 4)
+
+
+def grow_by_levels(sample: DataFrame, cols: list[str], seed: int, max_depth: int) -> DataFrame:
+    """NODE_SCHEMA rows of all trees at once, level by level.
+
+    At each level the rows of a (tree, node) give its size and every feature's
+    smallest and largest value. Of the features that vary, the one with the
+    smallest hash splits, at lo + u (hi - lo) with u a hash of (tree, node) too;
+    rows below go to node 2 k + 1, the others to 2 k + 2. A node of one row,
+    without a feature that varies, or at ``max_depth`` is a leaf. Hashes are
+    md5, so any engine grows the same trees from the same sample.
+
+    All levels are windows over (tree, node) of rows that are dealt by tree
+    once: a window holds at most psi rows, and no level shuffles."""
+    parts = max(1, parallelism(sample.sparkSession))
+    tree, node, x = F.col("tree"), F.col("_node"), F.col("_x")
+    rows = (sample.select("tree", F.array(*[F.col(c).cast("double") for c in cols]).alias("_x"))
+            .repartition(parts, "tree").withColumn("_node", F.lit(0))
+            .withColumn("_way", F.array().cast(f"array<{NODE}>")))
+    w = Window.partitionBy("tree", "_node")
+    for depth in range(max_depth + 1):
+        ends = [e(x[i]).over(w).alias(f"_{n}{i}") for i in range(len(cols)) for n, e in (("lo", F.min), ("hi", F.max))]
+        at = rows.select("*", F.count(F.lit(1)).over(w).alias("_size"), *ends)
+        varying = [F.when(F.col(f"_lo{i}") < F.col(f"_hi{i}"),
+                          F.concat(_feature_draw(tree, node, seed, i), F.lit(f":{i}"))) for i in range(len(cols))]
+        pick = F.split(F.array_min(F.array(*varying)), ":")[1].cast("int")
+        grown = node.isNotNull() & (F.col("_size") > 1) if depth < max_depth else F.lit(False)
+        at = at.withColumn("_f", F.when(grown, pick))
+        lo, hi = (F.get(F.array(*[F.col(f"_{n}{i}") for i in range(len(cols))]), F.col("_f")) for n in ("lo", "hi"))
+        u = hash52(seed, "cut", tree.cast("string"), node.cast("string")) / F.lit(float(1 << HASH_BITS))
+        cut = lo + u * (hi - lo)
+        at = at.withColumn("_cut", F.when(cut > lo, cut).otherwise(hi))
+        this = F.struct(node.alias("node"), F.coalesce("_f", F.lit(-1)).alias("feature"), F.col("_cut").alias("threshold"),
+                        F.col("_size").alias("size"), F.lit(depth).alias("depth")).cast(NODE)
+        below = F.get(x, F.col("_f")) < F.col("_cut")
+        rows = at.select("tree", "_x",
+                         F.when(F.col("_f").isNotNull(), 2 * node + F.when(below, 1).otherwise(2)).alias("_node"),
+                         F.when(node.isNull(), F.col("_way")).otherwise(F.concat("_way", F.array(this))).alias("_way"))
+    leaf = F.col("n.feature") < 0
+    path = F.floor((F.col("n.depth") + _c_expr(F.col("n.size"))) * PATH_UNIT + 0.5) / PATH_UNIT
+    return (rows.select("tree", F.explode("_way").alias("n")).groupBy("tree", "n.node").agg(F.first("n").alias("n"))
+            .select("tree", "n.node", "n.feature", "n.threshold",
+                    F.when(leaf, -1).otherwise(2 * F.col("n.node") + 1).alias("left"),
+                    F.when(leaf, -1).otherwise(2 * F.col("n.node") + 2).alias("right"),
+                    "n.size", "n.depth", F.when(leaf, path).alias("path")))
 
 
 @dataclass
@@ -226,13 +243,8 @@ def fit_forest(df: DataFrame, cols: list[str] = FOREST_FEATURES, trees: int = 20
     ``contamination`` quantile of the raw training scores."""
     sample, psi_eff = tree_samples(df, cols, trees, psi, seed, key)
     max_depth = int(math.ceil(math.log2(max(psi_eff, 2))))
-    # The sample is small (trees x psi rows), so AQE would coalesce it into one
-    # partition and fit every tree in one Python task. An explicit hash
-    # repartition by tree spreads the trees over the cluster; groupBy reuses it.
-    parts = max(1, min(trees, parallelism(sample.sparkSession)))
-    nodes = (sample.repartition(parts, "tree").groupBy("tree")
-             .applyInPandas(_fit_tree_fn(cols, key, seed, max_depth), NODE_SCHEMA))
-    nodes = materialize(nodes)  # model table; cut lineage from the sample
+    # model table; cut lineage from the sample
+    nodes = materialize(grow_by_levels(sample, cols, seed, max_depth))
     model = ForestModel(nodes, list(cols), psi_eff, trees, seed, 0.0, contamination,
                         scaler or {})
     # one column, read a few times while the band narrows
@@ -294,15 +306,17 @@ def score_forest(df: DataFrame, model: ForestModel, standardised: bool = False)
 
 def fit_pipeline(silver: DataFrame, label_col: str = "is_anomaly", frac: float = 0.2,
                  seed: int = 42, trees: int = 200, psi: int = 256,
-                 contamination: float = 0.08, cols: list[str] = FOREST_FEATURES):
+                 contamination: float = 0.08, cols: list[str] = FOREST_FEATURES, scaled: bool = True):
     """Split (stratified on leak/not), fit the scaler on train, fit the forest
-    on the standardised train rows. Returns (model, split frame)."""
+    on the standardised train rows. Returns (model, split frame). Cuts lie
+    between a feature's smallest and largest value, so scaling changes no tree
+    but for rounding; without ``scaled`` the readings themselves are cut."""
     from leakscope.functions.severity import binary_label_expr
     lab = silver.withColumn("label", binary_label_expr(label_col, positive="leak"))
     split = stratified_split(lab, "label", frac, seed)  # a predicate: nothing is copied
     train = split.where(F.col("split") == "train")
-    stats = fit_standard_scaler(train, cols)
-    model = fit_forest(standardise(train, stats, cols), cols, trees, psi, contamination,
+    stats = fit_standard_scaler(train, cols) if scaled else {}
+    model = fit_forest(standardise(train, stats, cols) if scaled else train, cols, trees, psi, contamination,
                        seed, scaler=stats)
     return model, split
 

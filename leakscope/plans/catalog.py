@@ -455,20 +455,25 @@ def _f1s(p, r):
     return f"CASE WHEN ({p}) + ({r}) = 0 THEN 0.0 ELSE 2 * ({p}) * ({r}) / (({p}) + ({r})) END"
 
 
-_REPORT = fx.with_fixtures(
-    "SELECT class, " + R("precision", 6) + " AS precision, " + R("recall", 6) + " AS recall, "
-    + R("f1_score", 6) + " AS f1_score, CAST(support AS BIGINT) AS support FROM ("
-    "SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM q UNION ALL "
-    "SELECT '1', p1, r1, f1, s1 FROM q UNION ALL "
-    "SELECT 'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), acc, n FROM q UNION ALL "
-    "SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n FROM q UNION ALL "
-    f"SELECT 'weighted avg', {_dv('p0 * s0 + p1 * s1', 'n')}, {_dv('r0 * s0 + r1 * s1', 'n')}, "
-    f"{_dv('f0 * s0 + f1 * s1', 'n')}, n FROM q)",
-    "fx_gold", extra=[("c", _CONF),
-                      ("r", f"SELECT tn + fp AS s0, fn + tp AS s1, tn + fp + fn + tp AS n, {_dv('tn', 'tn + fn')} AS p0, "
-                            f"{_dv('tn', 'tn + fp')} AS r0, {_dv('tp', 'tp + fp')} AS p1, {_dv('tp', 'fn + tp')} AS r1, "
-                            f"{_dv('tp + tn', 'tn + fp + fn + tp')} AS acc FROM c"),
-                      ("q", f"SELECT r.*, {_f1s('p0', 'r0')} AS f0, {_f1s('p1', 'r1')} AS f1 FROM r")])
+def report_sql(confusion: str, base: str, extra: list[tuple[str, str]] = (), names: tuple[str, str] = ("0", "1")) -> str:
+    """D15 from the SQL of a row of tn, fp, fn, tp."""
+    return fx.with_fixtures(
+        "SELECT class, " + R("precision", 6) + " AS precision, " + R("recall", 6) + " AS recall, "
+        + R("f1_score", 6) + " AS f1_score, CAST(support AS BIGINT) AS support FROM ("
+        f"SELECT '{names[0]}' AS class, p0 AS precision, r0 AS recall, f0 AS f1_score, s0 AS support FROM q UNION ALL "
+        f"SELECT '{names[1]}', p1, r1, f1, s1 FROM q UNION ALL "
+        "SELECT 'accuracy', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), acc, n FROM q UNION ALL "
+        "SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n FROM q UNION ALL "
+        f"SELECT 'weighted avg', {_dv('p0 * s0 + p1 * s1', 'n')}, {_dv('r0 * s0 + r1 * s1', 'n')}, "
+        f"{_dv('f0 * s0 + f1 * s1', 'n')}, n FROM q)",
+        base, extra=[*extra, ("c", confusion),
+                          ("r", f"SELECT tn + fp AS s0, fn + tp AS s1, tn + fp + fn + tp AS n, {_dv('tn', 'tn + fn')} AS p0, "
+                                f"{_dv('tn', 'tn + fp')} AS r0, {_dv('tp', 'tp + fp')} AS p1, {_dv('tp', 'fn + tp')} AS r1, "
+                                f"{_dv('tp + tn', 'tn + fp + fn + tp')} AS acc FROM c"),
+                          ("q", f"SELECT r.*, {_f1s('p0', 'r0')} AS f0, {_f1s('p1', 'r1')} AS f1 FROM r")])
+
+
+_REPORT = report_sql(_CONF, "fx_gold")
 
 
 @query("D15_classification_report", _REPORT)

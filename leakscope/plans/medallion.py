@@ -54,12 +54,12 @@ def fixture_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_gold(silver_df: DataFrame, trees: int = 200, psi: int = 256,
-               contamination: float = 0.08, seed: int = 42, cut: float = -0.07):
+               contamination: float = 0.08, seed: int = 42, cut: float = -0.07, scaled: bool = True):
     """Silver -> forest fit -> scored and classified Gold rows. Returns (gold, model)."""
     from leakscope.operators.lineage import materialize
     silver_df = materialize(silver_df)  # read by split, scaler, sampling and scoring
     model, _ = fit_pipeline(silver_df, trees=trees, psi=psi, contamination=contamination,
-                            seed=seed)
+                            seed=seed, scaled=scaled)
     return classify(score_forest(silver_df, model), cut=cut), model
 
 

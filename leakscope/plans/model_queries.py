@@ -2,21 +2,23 @@
 
 ``C1_frozen_forest_score`` scores Silver rows with a fixed three-tree forest
 through the same vectorised scorer as the real model; its oracle scores the
-rows by a range join against the forest's leaf boxes. ``J3_J5_forest_gold``
-fits the real forest and has no SQL oracle (row checks only).
+rows by a range join against the forest's leaf boxes. The fitted forests' SQL
+grows the same trees level by level and walks every row down all of them.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
 from leakscope.functions.rounding import round_half_up as rhu
 from leakscope.functions.rounding import round_sql as R
-from leakscope.operators.forest import NODE_SCHEMA, ForestModel, c_factor, raw_scores
+from leakscope.operators.forest import EULER_GAMMA, NODE_SCHEMA, ForestModel, c_factor, raw_scores
 from leakscope.operators.gold import gold_table
 from leakscope.plans import medallion as M
-from leakscope.plans.catalog import query
-from leakscope.schemas import EVENT_ID
+from leakscope.plans.catalog import _HASH, SF, query, report_sql
+from leakscope.schemas import EVENT_ID, FOREST_FEATURES, GOLD_COLUMNS
 from leakscope.sources import fixtures as fx
 
 # Fixed test model: three depth-2 trees over (pressure_psi, acoustic_g_rms),
@@ -92,10 +94,95 @@ def c1(spark, sf) -> DataFrame:
     return raw_scores(s, frozen_model(spark)).select(EVENT_ID, rhu("_raw", 6).alias("raw_score"))
 
 
-@query("J3_J5_forest_gold")
+@query("C1_score_boxes", _c1_oracle())
+def c1_boxes(spark, sf) -> DataFrame:
+    """The same scores by a range join against the forest's leaf boxes."""
+    from leakscope.operators.boxes import leaf_boxes, score_boxes
+    rows = M.fixture_silver(spark, sf).select(EVENT_ID, *FROZEN_COLS)
+    out = score_boxes(rows, leaf_boxes(frozen_model(spark)), FROZEN_COLS, FROZEN_PSI)
+    return out.select(EVENT_ID, rhu("_raw", 6).alias("raw_score"))
+
+
+def _forest_sql(rows: str, trees: int = 200, psi: int = 256, seed: int = 42, cols=FOREST_FEATURES) -> list[tuple[str, str]]:
+    """CTEs that grow the forest on the table ``rows``: ``smp``, a pair of
+    tables for each level, and ``nodes``."""
+    n, k = f"(SELECT COUNT(*) FROM {rows})", len(cols)
+    p = f"LEAST(1.0, 3.0 * LEAST({psi}, {n}) / {n})"
+    h = lambda *parts: _HASH.format(", ".join(f"CAST({x} AS VARCHAR)" for x in parts))
+    two52 = "4503599627370496.0"
+    out = [
+        ("cand", f"SELECT f.*, t.tree FROM (SELECT *, CASE WHEN {p} < 1 THEN CAST(FLOOR(LN(1 - {h(seed, "'first'", 'event_id')} / {two52}) "
+                 f"/ LN(1 - {p})) AS BIGINT) ELSE 0 END AS first FROM {rows}) f "
+                 f"JOIN (SELECT CAST(unnest(range(0, {trees})) AS INTEGER) AS tree) t ON t.tree >= f.first "
+                 f"WHERE t.tree = f.first OR {p} >= 1 OR {h(seed, "'next'", 't.tree', 'f.event_id')} < {p} * {two52}"),
+        ("smp", f"SELECT tree, [{', '.join(cols)}] AS x, CAST(0 AS BIGINT) AS node FROM (SELECT *, ROW_NUMBER() OVER "
+                f"(PARTITION BY tree ORDER BY {h(seed, 'tree', 'event_id')}, event_id) AS i FROM cand) WHERE i <= {psi}")]
+    depth = max(0, math.ceil(math.log2(max(2, psi))))
+    level = "smp"
+    for d in range(depth + 1):
+        ends = ", ".join(f"MIN(x[{i + 1}]) OVER w AS lo{i}, MAX(x[{i + 1}]) OVER w AS hi{i}" for i in range(k))
+        m = f"md5(concat_ws(':', '{seed}', 'feature0', CAST(tree AS VARCHAR), CAST(node AS VARCHAR)))"
+        draws = ", ".join(f"CASE WHEN lo{i} < hi{i} THEN substr({m}, {4 * i + 1}, 4) || ':{i}' END" for i in range(k))
+        pick = f"CASE WHEN size > 1 THEN CAST(split_part(list_min([{draws}]), ':', 2) AS INTEGER) END" if d < depth else "CAST(NULL AS INTEGER)"
+        lo, hi = ("[" + ", ".join(f"{e}{i}" for i in range(k)) + "][f + 1]" for e in ("lo", "hi"))
+        out += [
+            (f"lv{d}", f"SELECT *, {pick} AS f FROM (SELECT *, COUNT(*) OVER w AS size, {ends} FROM {level} WINDOW w AS (PARTITION BY tree, node))"),
+            (f"ct{d}", f"SELECT tree, x, node, size, f, CASE WHEN c > l THEN c WHEN f IS NOT NULL THEN h END AS cut FROM (SELECT *, {lo} AS l, {hi} AS h, "
+                       f"{lo} + {h(seed, "'cut'", 'tree', 'node')} / {two52} * ({hi} - {lo}) AS c FROM lv{d})"),
+            (f"to{d}", f"SELECT tree, x, CASE WHEN x[f + 1] < cut THEN 2 * node + 1 ELSE 2 * node + 2 END AS node FROM ct{d} WHERE f IS NOT NULL")]
+        level = f"to{d}"
+    c = (f"CASE WHEN size > 2 THEN 2.0E0 * (LN(size - 1.0E0) + {EULER_GAMMA!r}) - 2.0E0 * (size - 1.0E0) / size "
+         "WHEN size = 2 THEN 1.0E0 ELSE 0.0E0 END")
+    each = " UNION ALL ".join(f"SELECT DISTINCT tree, node, f, cut, size, {d} AS depth FROM ct{d}" for d in range(depth + 1))
+    out.append(("nodes", f"SELECT *, CASE WHEN f IS NULL THEN FLOOR((depth + {c}) * 4294967296.0E0 + 0.5E0) / 4294967296.0E0 END AS path FROM ({each})"))
+    return [(name, sql) for name, sql in out]
+
+
+def _score_sql(rows: str, name: str, psi: int = 256, cols=FOREST_FEATURES) -> list[tuple[str, str]]:
+    """CTE ``name``: (event_id, raw) of the rows, walked down all trees."""
+    depth, out = math.ceil(math.log2(psi)), []
+    level = f"{name}_w0"
+    out.append((level, f"SELECT event_id, [{', '.join(cols)}] AS x, tree, CAST(0 AS BIGINT) AS node FROM {rows}, (SELECT DISTINCT tree FROM nodes)"))
+    for d in range(depth):
+        out.append((f"{name}_w{d + 1}", "SELECT event_id, x, w.tree, CASE WHEN f IS NULL THEN w.node WHEN x[f + 1] < cut THEN 2 * w.node + 1 "
+                    f"ELSE 2 * w.node + 2 END AS node FROM {level} w JOIN nodes n ON n.tree = w.tree AND n.node = w.node"))
+        level = f"{name}_w{d + 1}"
+    out.append((name, f"SELECT event_id, -POWER(2.0E0, -AVG(path) / {float(c_factor(psi))!r}) AS raw FROM {level} w "
+                "JOIN nodes n ON n.tree = w.tree AND n.node = w.node GROUP BY event_id"))
+    return out
+
+
+_SPLIT_SQL = [
+    ("sp_l", "SELECT *, CASE WHEN is_anomaly = 'leak' THEN 1 ELSE 0 END AS label FROM fx_silver"),
+    ("sp_r", f"SELECT *, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {_HASH.format("'42', event_id")}, event_id) AS i, "
+             "COUNT(*) OVER (PARTITION BY label) AS n_of FROM sp_l"),
+    ("split", "SELECT * EXCLUDE (i, n_of), CASE WHEN i <= CEIL(0.2 * n_of) THEN 'test' ELSE 'train' END AS split FROM sp_r"),
+    ("train", "SELECT * FROM split WHERE split = 'train'")]
+_SCORED_SQL = [*_SPLIT_SQL, *_forest_sql("train"), *_score_sql("split", "raws"),
+               ("cutoff", "SELECT QUANTILE_CONT(raw, 0.08) AS c FROM raws JOIN train USING (event_id)"),
+               ("sc", "SELECT s.* EXCLUDE (label, split), s.label AS leak, s.split, raw - (SELECT c FROM cutoff) AS anomaly_score "
+                      "FROM split s JOIN raws USING (event_id)")]
+
+
+@query("J3_forest_nodes", fx.with_fixtures(
+    f"SELECT tree, CAST(node AS INTEGER) AS node, COALESCE(f, -1) AS feature, {R('cut', 6)} AS threshold, size, depth, {R('path', 6)} AS path FROM nodes",
+    "fx_silver", extra=_forest_sql("fx_silver", trees=50)))
+def j3_nodes(spark, sf) -> DataFrame:
+    """The node table of 50 trees grown on all Silver rows."""
+    from leakscope.operators.forest import fit_forest
+    model = fit_forest(M.fixture_silver(spark, sf), FOREST_FEATURES, trees=50)
+    return model.nodes.select("tree", "node", "feature", rhu("threshold", 6).alias("threshold"), "size", "depth",
+                              rhu("path", 6).alias("path"))
+
+
+@query("J3_J5_forest_gold", fx.with_fixtures(
+    "SELECT " + ", ".join(R(c, 6) + f" AS {c}" if c == "anomaly_score" else c for c in GOLD_COLUMNS) + " FROM fg",
+    "fx_silver", extra=[*_SCORED_SQL, ("fg", "WITH " + fx.CLASSIFY_SQL)]))
 def j35(spark, sf) -> DataFrame:
-    g, _ = M.model_gold(M.fixture_silver(spark, sf))
-    return gold_table(g, with_clock=False)
+    """Split, 200 trees fitted on the train rows, all rows scored and classified.
+    The readings are not scaled, so that both engines cut the same doubles."""
+    g, _ = M.model_gold(M.fixture_silver(spark, sf), scaled=False)
+    return gold_table(g, with_clock=False).withColumn("anomaly_score", rhu("anomaly_score", 6))
 
 
 
@@ -145,7 +232,12 @@ def a15(spark, sf) -> DataFrame:
         field("flow_rate_lpm").cast("double").alias("flow_rate_lpm"), field("event_timestamp").alias("event_timestamp"))
 
 
-@query("J9_forest_holdout_report")
+_HELD_OUT = (f"SELECT {SF('y = 0 AND p = 0')} AS tn, {SF('y = 0 AND p = 1')} AS fp, {SF('y = 1 AND p = 0')} AS fn, "
+             f"{SF('y = 1 AND p = 1')} AS tp FROM (SELECT leak AS y, CASE WHEN anomaly_score < 0 THEN 1 ELSE 0 END AS p "
+             "FROM sc WHERE split = 'test')")
+
+
+@query("J9_forest_holdout_report", report_sql(_HELD_OUT, "fx_silver", _SCORED_SQL, ("Normal", "Leak")))
 def j9(spark, sf) -> DataFrame:
     """Classification report of the forest on its 20 % stratified hold-out
     (label: leak; prediction: anomaly)."""
@@ -155,7 +247,7 @@ def j9(spark, sf) -> DataFrame:
     from leakscope.operators.lineage import materialize
     from leakscope.operators.metrics import classification_report
     silver = materialize(M.fixture_silver(spark, sf))
-    model, split = fit_pipeline(silver)
+    model, split = fit_pipeline(silver, scaled=False)
     test = split.where(F.col("split") == "test").drop("split")
     scored = score_forest(test, model).withColumn(
         "pred", F.when(F.col("anomaly_prediction") == -1, 1).otherwise(0))

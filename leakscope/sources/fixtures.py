@@ -61,9 +61,8 @@ TRIGGER_TEXTS = (
     "CASE WHEN flow_imbalance_ratio > 1.25E0 THEN CONCAT('Flow spike x', CAST(CAST(ROUND(CAST(flow_imbalance_ratio AS DECIMAL(18,4)),2) AS DECIMAL(18,2)) AS STRING)) END, "
     "CASE WHEN ABS(acoustic_zscore) > 2.0E0 THEN CONCAT('Acoustic anomaly z=', CAST(CAST(ROUND(CAST(acoustic_zscore AS DECIMAL(18,4)),2) AS DECIMAL(18,2)) AS STRING)) END")
 
-FX_GOLD_SQL = f"""
-WITH sv AS (SELECT * FROM fx_silver), sc AS (SELECT sv.*, {STANDIN_SCORE_SQL} AS anomaly_score FROM sv),
-s2 AS (SELECT sc.*, CASE WHEN anomaly_score < 0 THEN -1 ELSE 1 END AS anomaly_prediction FROM sc),
+# Severity and alert text of rows ``sc`` that have a score.
+CLASSIFY_SQL = f"""s2 AS (SELECT sc.*, CASE WHEN anomaly_score < 0 THEN -1 ELSE 1 END AS anomaly_prediction FROM sc),
 s3 AS (SELECT s2.*, CASE WHEN anomaly_prediction = 1 THEN 'NORMAL' WHEN anomaly_score <= -0.07E0 THEN 'CRITICAL' ELSE 'WARNING' END AS severity FROM s2)
 SELECT s3.*, CASE WHEN severity = 'NORMAL' THEN ''
   WHEN pressure_delta < -100 OR flow_imbalance_ratio > 1.25E0 OR ABS(acoustic_zscore) > 2.0E0 THEN CONCAT_WS('; ',
@@ -71,6 +70,10 @@ SELECT s3.*, CASE WHEN severity = 'NORMAL' THEN ''
   ELSE 'Multi-sensor anomaly' END AS alert_message FROM s3
 """
 
+FX_GOLD_SQL = f"""
+WITH sv AS (SELECT * FROM fx_silver), sc AS (SELECT sv.*, {STANDIN_SCORE_SQL} AS anomaly_score FROM sv),
+{CLASSIFY_SQL}"""
+
 # Readings that drift: a step taken from the id (no rank) moves the sensors away
 # from the real reading, and the last third of the steps is labelled.
 FX_SLOW_LEAK_SQL = """

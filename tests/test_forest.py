@@ -87,3 +87,49 @@ def test_split_has_no_class_limit(spark):
     df = spark.range(1500).selectExpr("cast(id as string) event_id", "id % 300 as label")
     got = stratified_split(df, "label", 0.2, 1).where("split = 'test'").groupBy("label").count().collect()
     assert len(got) == 300 and {r["count"] for r in got} == {1}
+
+
+def test_levels_grow_isolation_trees(spark):
+    """Every node against its own rows: size, cut strictly inside, children."""
+    s = M.fixture_silver(spark, SF_SMALL)
+    sample, psi = tree_samples(s, FOREST_FEATURES, 6, 32, 5)
+    rows = sample.toPandas()
+    nodes = {(r.tree, r.node): r for r in fit_forest(s, FOREST_FEATURES, trees=6, psi=32, seed=5).nodes.collect()}
+    met = set()
+    for tree, own in rows.groupby("tree"):
+        todo = [(0, own[FOREST_FEATURES].to_numpy(), 0)]
+        while todo:
+            k, x, depth = todo.pop()
+            n = nodes[tree, k]
+            met.add((tree, k))
+            assert (n["size"], n.depth) == (len(x), depth)
+            if n.feature < 0:
+                assert depth == 5 or len(x) == 1 or (x.min(0) == x.max(0)).all()
+                assert abs(n.path - depth - c_factor(len(x))) < 1e-9
+                continue
+            v = x[:, n.feature]
+            assert v.min() < n.threshold <= v.max()
+            todo += [(n.left, x[v < n.threshold], depth + 1), (n.right, x[v >= n.threshold], depth + 1)]
+    assert met == set(nodes)
+
+
+def test_scaling_changes_no_tree(spark):
+    s = M.fixture_silver(spark, SF_SMALL)
+    stats = fit_standard_scaler(s, FOREST_FEATURES)
+    a = fit_forest(s, FOREST_FEATURES, trees=10, psi=64).nodes
+    b = fit_forest(standardise(s, stats, FOREST_FEATURES), FOREST_FEATURES, trees=10, psi=64, scaler=stats).nodes
+    shape = lambda n: sorted((r.tree, r.node, r.feature, r["size"]) for r in n.collect())
+    assert shape(a) == shape(b)
+
+
+def test_boxes_give_the_scores_of_the_walk(spark):
+    from leakscope.operators.boxes import leaf_boxes, score_boxes
+    s = M.fixture_silver(spark, SF_SMALL).limit(300)
+    s = s.unionByName(s.limit(3)).cache()     # equal rows too
+    m = fit_forest(s, FOREST_FEATURES, trees=10, psi=64)
+    boxes = leaf_boxes(m)
+    want = sorted((r.event_id, round(r["_raw"], 9)) for r in raw_scores(s, m).collect())
+    for limit in (10 ** 9, 0):   # broadcast, and shuffled
+        out = score_boxes(s, boxes, FOREST_FEATURES, m.psi, max_broadcast=limit)
+        assert sorted((r.event_id, round(r["_raw"], 9)) for r in out.collect()) == want
+        assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
