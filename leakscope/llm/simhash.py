@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leakscope.llm.common import written
+from leakscope.llm.common import null_safe, written
 from leakscope.operators.lineage import materialize
 
 SHINGLE = 3
@@ -291,17 +291,22 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return e.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
-                    parts: int = PARTS) -> DataFrame:
-    """Per row: doc_id, fingerprint, component_id (smallest doc_id reachable),
-    class_size (rows with this fingerprint)."""
+def _grouped(docs: DataFrame, shingle: int, max_bits: int, parts: int) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, fp) of every row, (fp, class_size, low, root) of every class)."""
     fps = written(fingerprints(docs, shingle), "simhash-fp")
     classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("class_size")),
                       "simhash-classes")
     comp = components(links(classes, max_bits, parts))
     named = classes.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp"))
-    named = written(named, "simhash-named")
+    return fps, written(named, "simhash-named")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                    parts: int = PARTS) -> DataFrame:
+    """Per row: doc_id, fingerprint, component_id (smallest doc_id reachable),
+    class_size (rows with this fingerprint)."""
+    fps, named = _grouped(docs, shingle, max_bits, parts)
     ids = named.groupBy("root").agg(F.min("low").alias("component_id"))
     per_class = named.join(ids, "root").select("fp", "component_id", "class_size")
     return fps.join(per_class, "fp").select(
@@ -310,7 +315,30 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                 parts: int = PARTS) -> DataFrame:
-    """``docs`` without the rows whose component holds a smaller doc_id."""
-    found = near_duplicates(docs.select("doc_id", "text"), shingle, max_bits, parts)
-    gone = written(found.where("component_id != doc_id").select("doc_id").distinct(), "simhash-gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of ``docs`` for each component: the one of smallest doc_id (null
+    last), then smallest fingerprint. Of equal rows one stays, and of a doc_id
+    that names several texts only those that are another's copies go.
+
+    A doc_id whose rows all go, or all of whose rows are one that stays, is
+    decided by the doc_id alone; the rows of others are told apart by their
+    fingerprints, taken once more."""
+    fps, named = _grouped(docs.select("doc_id", "text"), shingle, max_bits, parts)
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("fp").alias("f"))
+    own = written(fps.groupBy("doc_id", "fp").agg(F.count(F.lit(1)).alias("rows")).join(named.select("fp", "root"), "fp")
+                  .withColumn("place", order), "simhash-own")
+    first = own.groupBy(F.col("root").alias("_root")).agg(F.min("place").alias("_first"))
+    own = written(own.join(first, F.col("root") == F.col("_root"))
+                  .select("doc_id", "fp", "rows", (F.col("place") == F.col("_first")).alias("stays")), "simhash-stays")
+    per_id = written(own.groupBy("doc_id").agg(F.max("stays").alias("some"), F.sum("rows").alias("rows")), "simhash-ids")
+    told_apart = per_id.where("some AND (rows > 1 OR doc_id IS NULL)").select("doc_id")
+    out = null_safe(docs, per_id.where("NOT some OR rows > 1 OR doc_id IS NULL").select("doc_id"), "doc_id", "left_anti")
+    mixed = null_safe(docs, told_apart, "doc_id", "left_semi")
+
+    @F.arrow_udf("long")
+    def fp_of(texts: pa.Array) -> pa.Array:
+        return pa.array([text_fingerprint(t, shingle) for t in texts.to_pylist()], pa.int64())
+    keep = own.where("stays").select(F.col("doc_id").alias("_d"), F.col("fp").alias("_f"))
+    again = mixed.withColumn("_fp", fp_of(F.col("text")))
+    again = (again.join(keep, again["doc_id"].eqNullSafe(F.col("_d")) & (F.col("_fp") == F.col("_f")), "left_semi")
+             .dropDuplicates(["doc_id", "_fp"]))
+    return out.select(*docs.columns).unionByName(again.select(*docs.columns))

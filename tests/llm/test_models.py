@@ -108,8 +108,7 @@ def test_nearest_is_exact():
             v[vocab.index(w)] = (1 + math.log(n)) * idf[vocab.index(w)]
         vec[i] = v / (np.linalg.norm(v) or 1)
     for q in range(0, 500, 7):
-        i, v = index.vector(rows[q][2])
-        found, cos = index.nearest(i, v, 9) if len(i) else ((), ())
+        found, cos = index.all.nearest([index.vectors([rows[q][2]])[0][0]], 9)[0]
         want = sorted((float(vec[q] @ vec[int(d)]) for d in index.ids), reverse=True)[:9]
         assert np.allclose(cos, [x for x in want if x > 0], atol=1e-5)
         assert np.allclose(cos, [vec[q] @ vec[int(index.ids[f])] for f in found], atol=1e-5)
@@ -129,7 +128,7 @@ def test_every_shared_word_finds_its_neighbours(spark, docs_of):
     docs += [(901, "xyz"), (902, ""), (903, None)]
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(160)], "doc_id long, toxic int")
     got = {x["doc_id"]: x for x in toxicity.report(docs_of(docs), labels).collect()}
-    own = {d: toxicity.terms(t) for d, t in docs}
+    own = {d: Counter(toxicity.words(t)) for d, t in docs}
     sample = [d for d in range(160) if crc32(str(d).encode()) % 5]
     n = Counter(t for x in own.values() for t in x)
 

@@ -62,3 +62,12 @@ def test_null_ids_and_empty(docs_of):
     got = simhash.near_duplicates(docs_of([(None, "a b c"), (None, "a b c"), (4, "q r s t")])).collect()
     assert {(r["doc_id"], r["component_id"], r["class_size"]) for r in got} == {(None, None, 2), (4, 4, 1)}
     assert simhash.near_duplicates(docs_of([(1, "a")]).where("doc_id = 2")).collect() == []
+
+
+def test_one_row_of_each_component_stays(spark):
+    t, u, v = "a b c d e f", "completely other words stand here now", "and a third text of its own words"
+    rows = [(3, t), (5, u), (5, t), (7, v), (7, v), (None, u), (None, "lonely text without any id at all"), (None, "lonely text without any id at all")]
+    docs = spark.createDataFrame([(d, x, "n") for d, x in rows], "doc_id long, text string, fp string").repartition(3)
+    got = sorted((str(r["doc_id"]), r["text"]) for r in simhash.one_of_each(docs).collect())
+    assert got == sorted([("3", t), ("5", u), ("7", v), ("None", "lonely text without any id at all")])
+    assert simhash.one_of_each(docs.where("doc_id = 0")).collect() == []
