@@ -78,27 +78,30 @@ def run_batch(spark: SparkSession, bronze: DataFrame, out_dir: str) -> dict:
 
 def run_streaming(spark: SparkSession, fmt: str, source: str, lake: str, model,
                   opts: dict | None = None, max_per_trigger: int | None = None,
-                  dedup_delay: str | None = None, silver_files: int | None = None) -> dict:
-    """Streaming job order: messages -> Bronze -> stateful Silver -> Gold.
+                  dedup_delay: str | None = None, silver_files: int | None = None,
+                  delay: str | float = "1 hour") -> dict:
+    """Streaming job order: messages -> Bronze -> reorder buffer -> Silver -> Gold.
 
     Each stage drains what is available (``availableNow``) and keeps its own
     checkpoint under ``lake/_checkpoints``, so re-running the job processes only
     new messages, and a failed run resumes where its checkpoints stop.
-    ``silver_files`` bounds the Bronze files (hence a segment's rows) that one
-    Silver trigger takes."""
+    ``silver_files`` bounds the Bronze files that one Silver trigger takes, and
+    ``delay`` how long readings wait for earlier ones; neither changes Silver or
+    Gold. ``model`` is a forest, or ``ordered.production_model`` to ask the
+    registry at every trigger. ``ordered.silver_now`` and ``ordered.gold_now``
+    read the tables; ``schema`` is the Bronze schema that they need."""
+    from pyspark.sql.types import TimestampType
+
     from leakscope.schemas import bronze_schema
     from leakscope.streaming.bronze import run_bronze
-    from leakscope.streaming.gold import run_gold
-    from leakscope.streaming.silver import run_silver_stateful, stateful_features
-    from pyspark.sql.types import TimestampType
+    from leakscope.streaming.ordered import run_gold_ordered, run_silver_ordered
     ck = f"{lake}/_checkpoints"
     b, s, g = f"{lake}/bronze", f"{lake}/silver", f"{lake}/gold"
     run_bronze(spark, fmt, source, b, f"{ck}/bronze", opts, max_per_trigger, dedup_delay)
-    b_schema = bronze_schema(TimestampType())  # parsed message times are instants
-    run_silver_stateful(spark, b, s, f"{ck}/silver", b_schema, max_files=silver_files)
-    s_schema = stateful_features(spark.readStream.schema(b_schema).parquet(b)).schema
-    run_gold(spark, s, g, f"{ck}/gold", s_schema, model)
-    return {"bronze": b, "silver": s, "gold": g}
+    schema = bronze_schema(TimestampType())  # parsed message times are instants
+    run_silver_ordered(spark, b, s, f"{ck}/silver", schema, delay, max_files=silver_files)
+    run_gold_ordered(spark, s, g, f"{ck}/gold", schema, model)
+    return {"bronze": b, "silver": s, "gold": g, "schema": schema}
 
 
 def main(argv=None) -> None:

@@ -167,7 +167,8 @@ def test_streaming_job_order_messages_to_gold(spark, tmpdir_run):
     model, _ = fit_pipeline(silver, trees=20, psi=64)
     lake = os.path.join(tmpdir_run, "lake")
     paths = M.run_streaming(spark, "text", src, lake, model, max_per_trigger=1)
-    got = spark.read.parquet(paths["gold"])
+    from leakscope.streaming.ordered import gold_now
+    got = gold_now(spark, paths["silver"], paths["gold"], paths["schema"])
     assert got.count() == silver.count()
     want = gold_table(classify(score_forest(silver, model)), with_clock=False)
     cols = ["event_id", "anomaly_score", "severity", "alert_message"]
@@ -176,7 +177,7 @@ def test_streaming_job_order_messages_to_gold(spark, tmpdir_run):
     pd.testing.assert_frame_equal(a, b)
     # a second run finds nothing new
     M.run_streaming(spark, "text", src, lake, model)
-    assert spark.read.parquet(paths["gold"]).count() == silver.count()
+    assert gold_now(spark, paths["silver"], paths["gold"], paths["schema"]).count() == silver.count()
 
 
 def test_messages_to_stateful_silver_one_query(spark, tmpdir_run):
