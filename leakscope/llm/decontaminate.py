@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from leakscope.llm.common import ascii_lower, null_safe, written
 
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-ANY_CASE_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 WINDOW = 13
 FEW_TERMS = 200_000  # some megabytes at most
 
@@ -71,21 +70,31 @@ def around(w: str, q: Column, window: int) -> list[Column]:
 
 def postings(docs: DataFrame, terms: DataFrame, window: int = WINDOW,
              few_terms: int = FEW_TERMS) -> DataFrame:
-    """(term, doc_id, pos, before, after) for the index terms, stored. Up to
-    ``few_terms`` terms (counted) are broadcast and a document's words never
-    move. Beyond, the narrow (term, doc_id, pos) rows are joined to the terms,
-    and what is found goes back to its documents for the neighbouring words."""
-    own = terms.select("term").distinct()
+    """(doc_id, n_words, first, term, pos, before, after), stored: the postings
+    of the index terms, and beside them (``first``, maybe without a term) one
+    row for every row of ``docs``, so that one pass over the texts also counts
+    their words. Up to ``few_terms`` terms (counted) are broadcast and a
+    document's words never move. Beyond, the narrow (term, doc_id, pos) rows are
+    joined to the terms, and what is found goes back to its documents for the
+    neighbouring words."""
+    own = terms.select(F.col("term").alias("_term")).distinct()
     texts = docs.select("doc_id", words(F.col("text")).alias("w"))
+    first = (F.coalesce("pos", F.lit(0)) == 0).alias("first")
+    place = F.posexplode_outer("w").alias("pos", "word")
     if own.count() <= few_terms:
-        p = (texts.select("doc_id", "w", F.posexplode("w").alias("pos", "term"))
-             .join(F.broadcast(own), "term", "left_semi"))
+        p = (texts.select("doc_id", "w", place).join(F.broadcast(own), F.col("word") == F.col("_term"), "left")
+             .select("*", first).where(F.col("_term").isNotNull() | F.col("first")))
     else:
-        found = (texts.select("doc_id", F.posexplode("w").alias("pos", "term")).join(own, "term", "left_semi")
-                 .groupBy("doc_id").agg(F.collect_set(F.struct("pos", "term")).alias("found")))
-        p = (null_safe(texts, found, "doc_id", "inner").select("doc_id", "w", F.explode("found").alias("f"))
-             .select("doc_id", "w", "f.pos", "f.term").where(F.get("w", F.col("pos")) == F.col("term")))
-    return written(p.select("term", "doc_id", "pos", *around("w", F.col("pos"), window)), "postings")
+        found = (texts.select("doc_id", F.posexplode("w").alias("pos", "_term")).join(own, "_term", "left_semi")
+                 .groupBy("doc_id").agg(F.collect_set(F.struct("pos", "_term")).alias("found")))
+        place = F.explode(F.concat(F.array(F.struct(F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("_term"))),
+                                   F.coalesce("found", F.array()))).alias("f")
+        p = (null_safe(texts, found, "doc_id", "left").select("doc_id", "w", place).select("doc_id", "w", "f.*")
+             .select("*", F.col("pos").isNull().alias("first"))
+             .where(F.col("first") | (F.get("w", F.col("pos")) == F.col("_term"))))
+    near = [F.when(F.col("_term").isNotNull(), c).alias(n) for c, n in zip(around("w", F.col("pos"), window), ("before", "after"))]
+    return written(p.select("doc_id", F.size("w").cast("long").alias("n_words"), "first", F.col("_term").alias("term"),
+                            F.when(F.col("_term").isNotNull(), F.col("pos")).alias("pos"), *near), "postings")
 
 
 def run(a: Column, b: Column) -> Column:
@@ -123,16 +132,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW,
     contaminated (hits are at least one word in ``one_in``)."""
     d = docs.select("doc_id", "text")
     anch = anchors(items, d, window)
-    found = written(phrase_matches(postings(d, anch, window), anch), "phrase-matches")
+    post = postings(d, anch, window)
+    found = written(phrase_matches(post, anch), "phrase-matches")
     hit = (found.select("doc_id", F.explode(F.sequence("start", "end")).alias("p"))
            .distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_hit")))
     of = (found.select("doc_id", F.col("item_id").cast("string").alias("i")).distinct()
           .groupBy("doc_id").agg(F.array_sort(F.collect_list("i")).alias("ids"),
                                  F.count(F.lit(1)).alias("n_items")))
     per_doc = null_safe(hit, of, "doc_id", "inner")
-    n = d.select("doc_id", F.coalesce(F.regexp_count(F.col("text"), F.lit(ANY_CASE_WORD)), F.lit(0))
-                 .cast("long").alias("n_words"))
-    out = null_safe(n, per_doc, "doc_id", "left")
+    out = null_safe(post.where("first").select("doc_id", "n_words"), per_doc, "doc_id", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return out.select(
         "doc_id", "n_words", n_hit.alias("n_hit"),

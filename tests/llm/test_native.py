@@ -50,8 +50,11 @@ def test_both_ways_to_postings_agree(spark, docs_of, near_texts):
     bench = spark.createDataFrame([x for x in items if x[0] is not None], "item_id long, text string")
     d = docs_of(docs)
     anch = decontaminate.anchors(bench, d)
-    few, many = (sorted(map(str, decontaminate.postings(d, anch, few_terms=k).distinct().collect())) for k in (10 ** 6, 0))
+    both = [decontaminate.postings(d, anch, few_terms=k) for k in (10 ** 6, 0)]
+    few, many = (sorted(map(str, p.where("term IS NOT NULL").drop("first").distinct().collect())) for p in both)
     assert few == many and few
+    few, many = (sorted(map(str, p.where("first").select("doc_id", "n_words").collect())) for p in both)
+    assert few == many and len(few) == len(docs)
 
 
 def test_only_ascii_letters_are_lowered(spark, docs_of):
