@@ -1,7 +1,8 @@
 """J10 (re-aimed): versioned model store on plain parquet.
 
 Layout under ``root``: ``<name>/v<version>/`` holds the model tables and a
-one-row ``meta`` table; ``<name>/aliases`` is an append-only log of (alias,
+one-row ``meta`` table, which is written last; a version number is claimed by
+one writer (``<name>/claims``); ``<name>/aliases`` is an append-only log of (alias,
 version, number), of which the highest number counts. Resolving "production" =
 the aliased version, else the latest version. Models here are
 Spark tables (forest node table, scaler rows) or MLlib models, so loading never
@@ -19,19 +20,24 @@ from pyspark.sql import functions as F
 
 from leakscope.operators.forest import ForestModel
 from leakscope.operators.sequence import SequenceModel
+from leakscope.sources.versions import claim, names
 
 
 ALIAS_SCHEMA = "alias string, version int, number long"
 
 
 def _versions(spark: SparkSession, root: str, name: str) -> list[int]:
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(os.path.join(root, name))
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    return sorted(int(st.getPath().getName()[1:]) for st in fs.listStatus(path)
-                  if st.getPath().getName().startswith("v") and st.getPath().getName()[1:].isdigit())
+    """Complete versions: ``meta`` is written last."""
+    d = os.path.join(root, name)
+    found = sorted(int(n[1:]) for n in names(spark, d) if n.startswith("v") and n[1:].isdigit())
+    return [v for v in found if "_SUCCESS" in names(spark, os.path.join(d, f"v{v}", "meta"))]
+
+
+def _claim(spark: SparkSession, root: str, name: str) -> int:
+    """The next version number, for this writer alone."""
+    d = os.path.join(root, name)
+    taken = [int(n[1:]) for n in names(spark, d) if n.startswith("v") and n[1:].isdigit()]
+    return claim(spark, d, max(taken, default=0) + 1)
 
 
 def _meta(spark, d: str, payload: dict):
@@ -42,7 +48,7 @@ def _meta(spark, d: str, payload: dict):
 def save_forest(spark: SparkSession, root: str, name: str, model: ForestModel,
                 alias: str | None = None) -> int:
     """Write version n + 1 and optionally point ``alias`` at it."""
-    v = (max(_versions(spark, root, name)) if _versions(spark, root, name) else 0) + 1
+    v = _claim(spark, root, name)
     d = os.path.join(root, name, f"v{v}")
     model.nodes.write.mode("overwrite").parquet(os.path.join(d, "nodes"))
     _meta(spark, d, {"kind": "forest", "cols": model.cols, "psi": model.psi, "trees": model.trees,
@@ -56,7 +62,7 @@ def save_forest(spark: SparkSession, root: str, name: str, model: ForestModel,
 
 def save_sequence(spark: SparkSession, root: str, name: str, model: SequenceModel,
                   alias: str | None = None) -> int:
-    v = (max(_versions(spark, root, name)) if _versions(spark, root, name) else 0) + 1
+    v = _claim(spark, root, name)
     d = os.path.join(root, name, f"v{v}")
     model.mlp.write().overwrite().save(os.path.join(d, "mlp"))
     _meta(spark, d, {"kind": "sequence", "cols": model.cols, "n": model.n,

@@ -9,6 +9,7 @@ needs.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -54,10 +55,39 @@ def replace(df: DataFrame, table: str, partition_cols=None) -> None:
     w.parquet(table) if _is_path(table) else w.saveAsTable(table)
 
 
-def append_evolving(df: DataFrame, path: str, partition_cols=None) -> None:
-    """Append files whose schema may add columns; readers use
-    ``load(..., merge_schema=True)`` to see the union of columns."""
-    _writer(df, "append", partition_cols).parquet(path)
+WIDER = {"tinyint": ["smallint", "int", "bigint", "float", "double"], "smallint": ["int", "bigint", "float", "double"],
+         "int": ["bigint", "double"], "bigint": [], "float": ["double"], "date": ["timestamp_ntz"]}
+
+
+def append_evolving(df: DataFrame, table: str, partition_cols=None) -> None:
+    """Append rows whose schema may add columns. For a path, readers use
+    ``load(..., merge_schema=True)`` to see the union of columns. A named
+    table gets the new columns first (old rows read as NULL); a column that is
+    narrower than the table's is widened where no value changes, a column that
+    the rows lack is NULL, and one that would have to be narrowed is refused
+    before anything is written."""
+    if _is_path(table):
+        _writer(df, "append", partition_cols).parquet(table)
+        return
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        _writer(df, "overwrite", partition_cols).saveAsTable(table)
+        return
+    have, own = dict(spark.table(table).dtypes), dict(df.dtypes)
+    low = {c.lower(): c for c in have}
+    same = {c: low.get(c.lower()) for c in df.columns}
+    for c, t in same.items():
+        if t and own[c] != have[t] and have[t] not in WIDER.get(own[c], []):
+            raise ValueError(f"column {c}: {own[c]} does not fit into {have[t]} of {table} without loss")
+    new = [c for c, t in same.items() if t is None]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{c}` {own[c]}' for c in new)})")
+    back = {t: c for c, t in same.items() if t}
+    cols = [F.col(f"`{back.get(c, c)}`").cast(t).alias(c) if back.get(c, c) in own else F.lit(None).cast(t).alias(c)
+            for c, t in spark.table(table).dtypes]
+    out = df.select(*cols)
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    (out.hint("rebalance", *parts) if parts else out).write.insertInto(table)
 
 
 def bootstrap(spark: SparkSession, db: str) -> None:
@@ -107,7 +137,9 @@ def table_audit(spark: SparkSession, specs: list[tuple[str, str]]) -> DataFrame:
     for t, ts in specs:
         try:
             df = load(spark, t)
-        except Exception:  # noqa: BLE001 - reported as status text
+        except AnalysisException as e:  # other failures (no permission, broken files) are the caller's to see
+            if e.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+                raise
             frames.append(spark.range(1).select(
                 F.lit(t).alias("table_name"), F.lit(0).cast("bigint").alias("records"),
                 F.lit(None).cast("timestamp_ntz").alias("latest"),
