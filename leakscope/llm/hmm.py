@@ -12,8 +12,8 @@ training, a text is cut into sequences of ``LONG`` tokens, which keeps the
 recursions of many texts in step; all tokens are counted. Scoring is the scaled
 forward recursion, the exact likelihood of the whole text.
 
-Texts are turned into word numbers once: the ``LISTED`` most frequent words are
-broadcast, and words beyond them (a few per cent) are joined to their counts.
+Texts are turned into word numbers once: the most frequent words, ``LISTED`` at
+most, are broadcast, and words beyond them (a few per cent) are joined to their counts.
 
 Defined cases: null and empty texts consist of the end alone; a null doc_id is
 a training row; rows that share a doc_id and text count each and score alike;
@@ -25,7 +25,8 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leakscope.llm.common import written
@@ -38,7 +39,6 @@ SEED = 5
 END = "\n"  # no word holds white space
 GROUP = 1 << 19  # tokens run through the recursions at once
 LONG = 512  # tokens of a training sequence; longer texts count as several
-FLUSH = 400_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -46,37 +46,44 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 == 2, F.lit(False))
 
 
-def words(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()
+def tokens(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after another, and how many each has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, n = lists.flatten(), pc.list_value_length(lists).to_numpy()
+    text = np.repeat(np.arange(len(texts)), n)
+    some = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)  # a text's outer white space leaves empty ones
+    return flat.filter(pa.array(some)), np.bincount(text[some], minlength=len(texts))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c) of the training documents, the ends of text included."""
     def run(batches):
-        seen: dict[bytes, int] = {}
-
-        def send():
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()).cast(pa.string()),
-                                              pa.array(list(seen.values()), pa.int64())], ["word", "c"])
-            seen.clear()
-            return out
         for b in batches:
-            for t in b.column(0).to_pylist():
-                for w in words(t):
-                    seen[w] = seen.get(w, 0) + 1
-                if len(seen) > FLUSH:
-                    yield send()
-            seen[END.encode()] = seen.get(END.encode(), 0) + b.num_rows
-        yield send()
+            seen = tokens(b.column(0))[0].value_counts()
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays([seen.field("values"), pa.array([END])]),
+                                              pa.concat_arrays([seen.field("counts"), pa.array([b.num_rows], pa.int64())])],
+                                             ["word", "c"])
     return (docs.where(~held_out(F.col("doc_id"))).select("text").mapInArrow(run, "word string, c long")
             .groupBy("word").agg(F.sum("c").alias("c")))
 
 
+def most_frequent(counts: DataFrame, listed: int) -> list[tuple[str, int]]:
+    """The end, and the words that occur more often than a limit that leaves at
+    most ``listed`` of them, by falling count: the limit comes from the number
+    of words of each count, so that no task sorts more than the list."""
+    by_count = counts.groupBy("c").agg(F.count(F.lit(1)).alias("k"))
+    w = Window.orderBy(F.desc("c"))  # over one row for each distinct count
+    over = by_count.withColumn("upto", F.sum("k").over(w)).where(F.col("upto") > listed)
+    limit = over.agg(F.max("c")).first()[0] or 0
+    top = counts.where((F.col("c") > limit) | (F.col("word") == END)).orderBy(F.desc(F.col("word") == END), F.desc("c"), "word").toArrow()
+    return list(zip(top.column("word").to_pylist(), top.column("c").to_pylist()))
+
+
 class Model:
     """Start, transition and emission probabilities, and corpus frequencies."""
 
     def __init__(self, listed: list[tuple[str, int]], n: int, v: int, states: int, emitted: int) -> None:
-        self.number = {w.encode(): i for i, (w, _) in enumerate(listed)}
+        self.words = [w for w, _ in listed]
         self.n, self.v, self.emitted = n, v, min(emitted, len(listed))
         self.log_base = np.log10((np.array([c for _, c in listed], float) + 1) / (n + v + 1))
         p = 10 ** self.log_base[:self.emitted]
@@ -102,29 +109,27 @@ class Model:
         self.emit = (emit + lean * self.base[:, None]) / (emit.sum(0) + lean)
 
 
-def encode(docs: DataFrame, model_words: dict[bytes, int]) -> DataFrame:
+def encode(docs: DataFrame, listed: list[str]) -> DataFrame:
     """(doc_id, held_out, ids, tail): numbers of the listed words, -1 for
-    others; tail holds the others."""
-    shared = docs.sparkSession.sparkContext.broadcast(model_words)
+    others; tail holds the others. Every text ends with the end."""
+    shared = docs.sparkSession.sparkContext.broadcast(listed)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        number = shared.value
-        end = number.get(END.encode(), -1)
+        known = pa.array(shared.value, pa.string())
         for b in batches:
-            ids, tails = [], []
-            for t in b.column(2).to_pylist():
-                w = words(t)
-                i = [number.get(x, -1) for x in w]
-                tails.append([x.decode() for x, k in zip(w, i) if k < 0] if -1 in i else [])
-                if end < 0:
-                    tails[-1].append(END)
-                ids.append(np.array([*i, end], np.int32))
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-            offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
+            flat, n = tokens(b.column(2))
+            flat = pa.concat_arrays([flat, pa.array([END] * len(n), pa.string())])  # then each end to its place
+            place = np.argsort(np.concatenate((np.repeat(np.arange(len(n)), n), np.arange(len(n)))), kind="stable")
+            coded = flat.dictionary_encode()
+            number = pc.fill_null(pc.index_in(coded.dictionary, value_set=known), -1).to_numpy(zero_copy_only=False)
+            ids = number[coded.indices.to_numpy()[place]].astype(np.int32)
+            text = np.repeat(np.arange(len(n)), n + 1)
+            others = np.bincount(text[ids < 0], minlength=len(n))
+            cuts = [pa.array(np.concatenate(([0], np.cumsum(k))).astype(np.int32)) for k in (n + 1, others)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                 pa.array(tails, pa.list_(pa.string()))], ["doc_id", "held_out", "ids", "tail"])
+                [b.column(0), b.column(1), pa.ListArray.from_arrays(cuts[0], pa.array(ids)),
+                 pa.ListArray.from_arrays(cuts[1], flat.take(pa.array(place[ids < 0])))], ["doc_id", "held_out", "ids", "tail"])
     return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text").mapInArrow(
         run, f"doc_id {kind}, held_out boolean, ids array<int>, tail array<string>")
 
@@ -240,10 +245,8 @@ def score(docs: DataFrame, states: int = STATES, emitted: int = EMITTED, listed:
     counts = written(word_counts(docs), "word-counts")
     got = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = got["n"] or 0, got["v"]
-    top = counts.orderBy(F.desc(F.col("word") == END), F.desc("c"), "word").limit(listed).toArrow()
-    top = list(zip(top.column("word").to_pylist(), top.column("c").to_pylist()))
-    model = Model(top, n, v, states, emitted)
-    rows = encode(docs, model.number).withColumn("row", F.monotonically_increasing_id())
+    model = Model(most_frequent(counts, listed), n, v, states, emitted)
+    rows = encode(docs, model.words).withColumn("row", F.monotonically_increasing_id())
     encoded = written(rows, "word-numbers")
     for _ in range(passes if n else 0):
         model.learn(*counts_pass(encoded, model))
