@@ -37,16 +37,31 @@ def doc_id(d: Column) -> Column:
     return F.when(d != NO_ID, d)
 
 
-class _Codes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
-            self.clear()
-        code = self[word] = xxhash.xxh64_intdigest(word, 7)
-        return code
+SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+SEGMENT = 1 << 21  # bytes hashed at a time
+INVERSE = np.uint64(pow(int(ODD), -1, 1 << 64))
 
 
-def word_codes(words: list[bytes], memo: _Codes = _Codes()) -> np.ndarray:
-    return np.array(list(map(memo.__getitem__, words)), np.uint64)
+def _powers(base: np.uint64, n: int, known: dict = {}) -> np.ndarray:  # noqa: B006 - grows to one segment
+    if len(known.get(base, ())) < n:
+        known[base] = np.cumprod(np.concatenate(([np.uint64(1)], np.full(max(n, SEGMENT), base))), dtype=np.uint64)
+    return known[base][:n]
+
+
+def word_codes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each word flat[start:end]: a polynomial over its bytes, taken as
+    a difference of running sums."""
+    out, i = np.empty(len(starts), np.uint64), 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SEGMENT, side="right")))
+        low = starts[i]
+        part = BYTE_CODES[flat[low:ends[j - 1]]]
+        sums = np.concatenate(([np.uint64(0)], np.cumsum(part * _powers(ODD, len(part)), dtype=np.uint64)))
+        own = (sums[ends[i:j] - low] - sums[starts[i:j] - low]) * _powers(INVERSE, len(part) + 1)[starts[i:j] - low]
+        own ^= own >> np.uint64(32)
+        out[i:j] = own * np.uint64(0xD6E8FEB86659FD93)
+        i = j
+    return out
 
 
 def gram_hashes(codes: np.ndarray, gram: int) -> np.ndarray:
@@ -72,15 +87,18 @@ def gram_hashes(codes: np.ndarray, gram: int) -> np.ndarray:
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    """Place of the rightmost minimum of each ``width`` consecutive values."""
-    at = np.arange(len(values), dtype=np.int32)
-    size = 1
-    while size < width:
-        step = min(size, width - size)
-        left, right = at[:-step], at[step:]
-        at = np.where(values[right] <= values[left], right, left)
-        size += step
-    return at
+    """Place of the rightmost minimum of each ``width`` consecutive values
+    (under 2^32): minima from the left and from the right within blocks of
+    ``width``, of which every window spans two at most."""
+    n = len(values)
+    last = np.uint64(0xFFFFFFFF)
+    key = np.full(-(-n // width) * width, np.uint64(0xFFFFFFFFFFFFFFFF))
+    key[:n] = values << np.uint64(32) | (last - np.arange(n, dtype=np.uint64))
+    block = key.reshape(-1, width)
+    left = np.minimum.accumulate(block, axis=1).ravel()
+    right = np.ascontiguousarray(np.minimum.accumulate(block[:, ::-1], axis=1)[:, ::-1]).ravel()
+    best = np.minimum(right[:n - width + 1], left[width - 1:n])
+    return (last - (best & last)).astype(np.int64)
 
 
 def selected(codes: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: int, gram: int):
@@ -92,22 +110,28 @@ def selected(codes: np.ndarray, begins: np.ndarray, ends: np.ndarray, length: in
     width = length - gram + 1
     if len(g) < width:
         return none
-    at = sliding_min(g, width)
-    doc = np.repeat(np.arange(len(begins)), ends - begins)[:len(at)]
-    own = np.flatnonzero(np.arange(len(at)) + length <= ends[doc])
+    at = sliding_min(g >> np.uint64(32), width)
+    size = ends - begins
+    whole = np.maximum(0, size - length + 1)  # windows that end within their document
+    inside = np.repeat(np.tile([True, False], len(size)), np.stack((whole, size - whole), 1).ravel())[:len(at)]
+    own = np.flatnonzero(inside)
     if not len(own):
         return none
-    at, doc = at[own], doc[own]
-    new = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (doc[1:] != doc[:-1]))))
-    first, n = own[new], np.diff(np.append(new, len(own)))
-    return g[at[new]].view(np.int64), doc[new], first - begins[doc[new]], n, at[new] - first
+    at = at[own]
+    new = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (own[1:] != own[:-1] + 1))))
+    doc = np.searchsorted(ends, own[new], side="right")
+    n = np.diff(np.append(new, len(own)))
+    at, first = at[new], own[new]
+    return g[at].view(np.int64), doc, first - begins[doc], n, at - first
 
 
 def units_of_words(texts: list[bytes]):
-    words = [t.split() for t in texts]
-    sizes = np.array([len(w) for w in words], np.int64)
-    ends = np.cumsum(sizes)
-    return word_codes([x for w in words for x in w]), ends - sizes, ends
+    flat = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+    edge = np.diff(np.concatenate(([True], SPACES[flat])).astype(np.int8))  # -1 where a word begins, 1 behind it
+    starts, stops = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    limits = np.cumsum([len(t) + 1 for t in texts])
+    ends = np.searchsorted(starts, limits)
+    return word_codes(flat, starts, stops), np.concatenate(([0], ends[:-1])).astype(np.int64), ends.astype(np.int64)
 
 
 def units_of_bytes(texts: list[bytes]):
