@@ -43,3 +43,9 @@ def null_safe(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFram
     r = right.withColumnRenamed(key, "_right_key")
     out = left.join(r, left[key].eqNullSafe(r["_right_key"]), how)
     return out.drop("_right_key")
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)``, with ``value`` computed once for the row: an expression
+    that a lambda merely names would be computed again for each of its elements."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -75,12 +75,16 @@ SUB_WORDS = substring.LENGTH
 
 ORACLES: dict[str, str] = {
     "op2_line_dedup": f"""
-WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
-w AS (SELECT doc_id, s, array_to_string(list_slice(l, s, s + {LINE_RUN - 1}), chr(10)) AS k
-      FROM (SELECT doc_id, l, unnest(range(1, len(l) - {LINE_RUN - 2})) AS s FROM d)),
-later AS (SELECT doc_id, s FROM w
-          QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, s) > 1),
-gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + {LINE_RUN})) AS i FROM later),
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l,
+             list_transform(string_split(text, chr(10)), lambda x: length(x) - length(replace(x, ' ', '')) + 1) AS c FROM documents),
+e AS (SELECT doc_id, l, c, unnest(range(1, len(l) + 1)) AS s FROM d),
+w AS (SELECT doc_id, s, m, array_to_string(list_slice(l, s, s + m - 1), chr(10)) AS k FROM (
+      SELECT doc_id, l, s, {LINE_RUN} AS m FROM e WHERE s + {LINE_RUN - 1} <= len(l) UNION ALL
+      SELECT doc_id, l, s, CASE {" ".join(f"WHEN s + {k - 1} <= len(l) AND list_sum(list_slice(c, s, s + {k - 1})) >= {linededup.MIN_WORDS} THEN {k}" for k in range(1, LINE_RUN))} END AS m FROM e)
+      WHERE m IS NOT NULL),
+later AS (SELECT doc_id, s, m FROM w
+          QUALIFY row_number() OVER (PARTITION BY k, m ORDER BY doc_id, s) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + m)) AS i FROM later),
 runs AS (SELECT doc_id, count(*) AS n_removed, list(i ORDER BY i) AS g,
                 count(*) FILTER (WHERE first) AS n_runs
          FROM (SELECT doc_id, i, i - 1 IS DISTINCT FROM lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS first

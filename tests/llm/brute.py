@@ -49,8 +49,16 @@ def substring(docs, length):
     return out
 
 
-def lines(docs, run):
-    gone = earlier_windows([x for x in docs if x[1] is not None], lambda t: t.split("\n"), run)
+def lines(docs, run, words=50):
+    """Lines in a window (``run`` lines, or the fewest that hold ``words``) that also starts earlier."""
+    split = [(d, t.split("\n")) for d, t in order(x for x in docs if x[1] is not None)]
+    first, gone = {}, defaultdict(set)
+    for d, u in split:
+        for p in range(len(u)):
+            short = next((m for m in range(1, run) if p + m <= len(u) and sum(x.count(" ") + 1 for x in u[p:p + m]) >= words), None)
+            for m in {run, short} - {None}:
+                if p + m <= len(u) and first.setdefault(tuple(u[p:p + m]), (d, p)) != (d, p):
+                    gone[d].update(range(p, p + m))
     return [(d, None if t is None else [x for i, x in enumerate(t.split("\n")) if i not in gone[d]]) for d, t in docs]
 
 

@@ -1,3 +1,6 @@
+import random
+import time
+
 import pytest
 
 from leakscope.llm import decontaminate, linededup
@@ -8,12 +11,17 @@ def _sorted(rows):
     return sorted(rows, key=lambda r: tuple((x is not None, x) for x in r))
 
 
-@pytest.mark.parametrize("seed,run,gram", [(1, 3, 2), (2, 2, 1), (3, 4, 2), (4, 5, 3)])
-def test_lines_match_brute_force(docs_of, near_texts, seed, run, gram):
+@pytest.mark.parametrize("seed,run,gram,words", [(1, 3, 2, 50), (2, 2, 1, 50), (3, 4, 2, 5), (4, 5, 3, 3), (5, 3, 2, 2)])
+def test_lines_match_brute_force(docs_of, near_texts, seed, run, gram, words):
     docs = near_texts(seed, sep="\n", words=40)
-    got = linededup.without_repeats(docs_of(docs), run, gram)
+
+    def longer(t):  # fewer, longer lines
+        r = random.Random(t)
+        return "".join(c if c != "\n" or r.random() < .4 else " " for c in t)
+    docs = [(d, t and longer(t)) for d, t in docs] if words < 50 else docs
+    got = linededup.without_repeats(docs_of(docs), run, gram, words)
     assert got.columns == docs_of(docs).columns
-    want = [(d, None if k is None else "\n".join(k)) for d, k in brute.lines(docs, run)]
+    want = [(d, None if k is None else "\n".join(k)) for d, k in brute.lines(docs, run, words)]
     rows = got.collect()
     assert _sorted((r["doc_id"], r["text"]) for r in rows) == _sorted(want)
     assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in rows)
@@ -88,3 +96,22 @@ def test_main_paths_run_no_python(spark, docs_of):
     for df in (linededup.report(docs), decontaminate.decontaminate(docs, bench)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_a_long_repeated_line_goes(docs_of):
+    long = " ".join(f"w{i}" for i in range(60))
+    two = " ".join(f"v{i}" for i in range(30)) + "\n" + " ".join(f"u{i}" for i in range(30))
+    docs = [(1, long), (2, "a\n" + long), (3, two), (4, "b\n" + two + "\nc"), (5, "short line"), (6, "short line")]
+    got = {r["doc_id"]: r["text"] for r in linededup.without_repeats(docs_of(docs)).collect()}
+    assert got == {1: long, 2: "a", 3: two, 4: "b\nc", 5: "short line", 6: "short line"}
+
+
+def test_one_very_long_text_takes_linear_time(docs_of):
+    took = []
+    for n in (10_000, 10_000, 40_000):
+        text = "\n".join(f"line {i} of {n}" for i in range(n))
+        began = time.time()
+        got = linededup.report(docs_of([(1, text), (2, text[:5000])], 1)).collect()
+        took.append(time.time() - began)
+        assert {r["doc_id"]: r["n_removed"] > 0 for r in got} == {1: False, 2: True}
+    assert took[2] < 6 * max(took[1], 2)
