@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from leakscope.llm import (centroids, chat, convtrie, decontaminate, hmm, imatch, linededup, oracle_sql, pieces, simhash,
                            substring, suffixes, toxicity, urltree)
 from leakscope.llm.common import table
 
-TOKENIZERS = "/opt/tokenizers"
+#: Folder of the public tokenizers' files.
+TOKENIZERS = os.path.dirname(public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
