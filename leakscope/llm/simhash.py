@@ -330,9 +330,13 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     own = written(own.join(first, F.col("root") == F.col("_root"))
                   .select("doc_id", "fp", "rows", (F.col("place") == F.col("_first")).alias("stays")), "simhash-stays")
     per_id = written(own.groupBy("doc_id").agg(F.max("stays").alias("some"), F.sum("rows").alias("rows")), "simhash-ids")
-    told_apart = per_id.where("some AND (rows > 1 OR doc_id IS NULL)").select("doc_id")
-    out = null_safe(docs, per_id.where("NOT some OR rows > 1 OR doc_id IS NULL").select("doc_id"), "doc_id", "left_anti")
-    mixed = null_safe(docs, told_apart, "doc_id", "left_semi")
+    # written, so that Spark knows how small they are and need not shuffle the texts
+    told_apart = written(per_id.where("some AND (rows > 1 OR doc_id IS NULL)").select("doc_id"), "simhash-told-apart")
+    apart = written(per_id.where("NOT some OR rows > 1 OR doc_id IS NULL").select("doc_id"), "simhash-gone")
+    out = null_safe(docs, apart, "doc_id", "left_anti").select(*docs.columns)
+    if told_apart.isEmpty():
+        return out
+    mixed = written(null_safe(docs, told_apart, "doc_id", "left_semi"), "simhash-mixed")
 
     @F.arrow_udf("long")
     def fp_of(texts: pa.Array) -> pa.Array:
@@ -341,4 +345,4 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     again = mixed.withColumn("_fp", fp_of(F.col("text")))
     again = (again.join(keep, again["doc_id"].eqNullSafe(F.col("_d")) & (F.col("_fp") == F.col("_f")), "left_semi")
              .dropDuplicates(["doc_id", "_fp"]))
-    return out.select(*docs.columns).unionByName(again.select(*docs.columns))
+    return out.unionByName(again.select(*docs.columns))
