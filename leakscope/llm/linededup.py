@@ -107,7 +107,8 @@ def repeated_lines(docs: DataFrame, min_run: int = MIN_RUN, gram: int = GRAM, mi
 def dedup_lines(docs: DataFrame, min_run: int = MIN_RUN, gram: int = GRAM, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with ``_lines`` (all), ``_kept`` (left) and ``_gone`` (numbers)."""
     gone = repeated_lines(docs, min_run, gram, min_words).withColumnRenamed("gone", "_gone")
-    out = null_safe(docs, gone, "doc_id", "left").withColumn("_lines", F.split("text", "\n", -1))
+    # one plan at all sizes: the deleted lines grow with the corpus
+    out = null_safe(docs, gone.hint("merge"), "doc_id", "left").withColumn("_lines", F.split("text", "\n", -1))
     # a doc_id's other texts may be longer than this one
     out = out.withColumn("_gone", let(F.size("_lines"), lambda n: F.filter("_gone", lambda i: i < n)))
 
