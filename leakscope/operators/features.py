@@ -41,22 +41,22 @@ def batch_features(df: DataFrame, n: int = 10, eps: float = 0.0001,
     roll = w.rowsBetween(-(n - 1), 0)
     p, f, a = (F.col(c) for c in ("pressure_psi", "flow_rate_lpm", "acoustic_g_rms"))
     seen = [F.max(touched_by).over(roll).alias("_touched")] if touched_by else []
-    out = frame.select(
-        *cols, "_chunk", "_halo", *seen,
-        round_half_up(F.avg(p).over(roll), 2).alias("pressure_rolling_avg"),
-        round_half_up(F.avg(f).over(roll), 2).alias("flow_rolling_avg"),
-        round_half_up(F.avg(a).over(roll), 4).alias("acoustic_rolling_avg"),
-        round_half_up(p - F.lag(p, 1).over(w), 2).alias("pressure_delta"),
-        round_half_up(F.stddev_samp(a).over(roll), 4).alias("acoustic_rolling_std"))
-    out = drop_halo(out)
-    out = out.select(
-        *cols, *(["_touched"] if touched_by else []), "pressure_rolling_avg", "flow_rolling_avg", "acoustic_rolling_avg",
-        "pressure_delta",
-        round_half_up(F.try_divide(f, F.col("flow_rolling_avg")), 4).alias("flow_imbalance_ratio"),
-        "acoustic_rolling_std",
-        round_half_up((a - F.col("acoustic_rolling_avg")) /
-                      (F.col("acoustic_rolling_std") + F.lit(eps)), 4).alias("acoustic_zscore"))
-    return out if keep_incomplete else out.dropna()
+    # each window value is one column, which the rounding below reads (it names
+    # its argument five times, and each mention of a window would be run)
+    out = drop_halo(frame.select(
+        *cols, "_chunk", "_halo", *seen, F.avg(p).over(roll).alias("_p"), F.avg(f).over(roll).alias("_f"),
+        F.avg(a).over(roll).alias("_a"), F.lag(p, 1).over(w).alias("_before"), F.stddev_samp(a).over(roll).alias("_sd")))
+    f_avg, a_avg, a_std = round_half_up("_f", 2), round_half_up("_a", 4), round_half_up("_sd", 4)
+    out = out.withColumns({"_delta": p - F.col("_before"), "_ratio": F.try_divide(f, f_avg),
+                           "_z": (a - a_avg) / (a_std + F.lit(eps))})
+    if not keep_incomplete:  # on the values before rounding, which keeps null, NaN and the rest apart
+        out = out.dropna(subset=[*cols, *(["_touched"] if touched_by else []), "_p", "_f", "_a", "_delta", "_ratio", "_sd", "_z"])
+    return out.select(
+        *cols, *(["_touched"] if touched_by else []),
+        round_half_up("_p", 2).alias("pressure_rolling_avg"), f_avg.alias("flow_rolling_avg"),
+        a_avg.alias("acoustic_rolling_avg"), round_half_up("_delta", 2).alias("pressure_delta"),
+        round_half_up("_ratio", 4).alias("flow_imbalance_ratio"), a_std.alias("acoustic_rolling_std"),
+        round_half_up("_z", 4).alias("acoustic_zscore"))
 
 
 def segment_stats(df: DataFrame, col: str = "acoustic_g_rms") -> DataFrame:

@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leakscope.operators.lineage import materialize
+from leakscope.operators.lineage import as_table, materialize
 
 BAND_LIMIT = 1_000_000
 ACCURACY = 10_000  # sketch size ~ (1/eps) log(eps N): a few MB; narrowing repeats instead
@@ -67,7 +67,8 @@ def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "quantile",
     """One-row DataFrame: the q-quantile of the non-NULL values of ``col`` with
     linear interpolation between closest ranks (same definition as
     ``percentile`` / ``quantile_cont``)."""
-    vals = df.select(col).where(F.col(col).isNotNull() & ~F.isnan(col))
+    # one column, written once: its count and every narrowing pass read it
+    vals = as_table(df.select(col).where(F.col(col).isNotNull() & ~F.isnan(col)), "quantile-values")
     n = vals.count()
     pos = q * max(n - 1, 0)
     i = int(math.floor(pos))
@@ -84,6 +85,8 @@ def smallest_per_group(df: DataFrame, group: str, value: str, key: str, share: f
     ceil(share x rows) smallest; ``value`` is a hash of 52 bits. Counts per
     (group, leading bits) find the cell that holds the edge, and only that
     cell's rows are ranked, so no task sees a whole group, however large."""
+    # three narrow columns, written once: the count, the cells and the ranks read them
+    df = as_table(df.select(group, value, key), "group-values")
     n = df.count()
     bits = min(40, max(0, math.ceil(math.log2(max(1, n / rows_per_cell)))))
     cell = F.shiftright(F.col(value), 52 - bits)

@@ -23,7 +23,7 @@ from leakscope.functions.severity import (combined_severity_expr, detection_sour
                                           dual_message_expr)
 from leakscope.functions.timeutil import ts_lit
 from leakscope.operators.features import fit_minmax, minmax_scale, sequences
-from leakscope.operators.lineage import as_table, materialize
+from leakscope.operators.lineage import as_table
 from leakscope.operators.windowing import DEFAULT_BUCKET_SECONDS, TARGET_ROWS, bucket_counts, with_bucket
 from leakscope.schemas import DUAL_GOLD_COLUMNS, EVENT_ID, EVENT_TS, SEGMENT, SEQUENCE_FEATURES
 
@@ -94,10 +94,12 @@ def fit_sequence_model(df: DataFrame, label: str = "label", cols=SEQUENCE_FEATUR
     """Fit the scaler, build sequences, split positionally 80/20, train the MLP
     on about ``max_fit_rows`` labelled rows at most.
     Returns (model, test rows with predictions)."""
+    # read by the scaler and, for rows and halos, by the window plan
+    df = as_table(df.select(*dict.fromkeys([EVENT_ID, SEGMENT, EVENT_TS, label, *cols])), "labelled")
     scaler = fit_minmax(df, list(cols))
     # the vectors are read by the split's passes over their narrow key columns and
     # by every optimizer iteration, so they are cut once; the split is a predicate
-    seq = materialize(sequence_frame(df, scaler, cols, n, label).drop("seq"))
+    seq = as_table(sequence_frame(df, scaler, cols, n, label).drop("seq"), "sequences")
     seq = positional_split(seq, 0.8)
     train = seq.where(F.col("split") == "train")
     rows = train.count()

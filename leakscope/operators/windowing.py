@@ -117,7 +117,8 @@ def _refine(x: DataFrame, level: DataFrame, dims: list[Column]) -> DataFrame:
     """Appends each row's cell number to its path (0 where not refined)."""
     lv = level.select(F.col("_k").alias("_lk"), F.col("_path").alias("_lp"), "_dim", "_lo", "_w")
     value = F.lit(None).cast("bigint")
-    for i, d in enumerate(dims):
+    used = level.agg(F.max("_dim")).first()[0] or 0  # mostly the time alone: the id's columns are costly
+    for i, d in enumerate(dims[:used]):
         value = F.when(F.col("_dim") == i + 1, d).otherwise(value)
     cell = F.coalesce(F.floor((value - F.col("_lo")) / F.col("_w")).cast("bigint"), F.lit(0))
     return (x.join(lv, x["_k"].eqNullSafe(lv["_lk"]) & (x["_path"] == lv["_lp"]), "left")

@@ -27,6 +27,7 @@ from leakscope.operators.forest import (calibrate, fit_standard_scaler, standard
                                         stratified_split, tree_samples)
 from leakscope.operators.gold import gold_table
 from leakscope.operators.joins import new_only
+from leakscope.operators.lineage import as_table
 from leakscope.operators.quality import quality_filter, quality_report
 from leakscope.operators.selection import exact_quantile
 from leakscope.operators.sequence import positional_split
@@ -567,7 +568,7 @@ for _i, _c in enumerate(["pressure_rolling_avg", "flow_rolling_avg", "acoustic_r
 @query("E1_E7_small_buckets", S("SELECT * FROM fx_silver"))
 def e_small(spark, sf):
     """E1-E7 with buckets of about 100 rows: many buckets and their halos."""
-    return M.silver(bronze(spark, sf), target_rows=100)
+    return M.silver(fx.bronze_parsed(spark, sf), target_rows=100)
 
 
 _MB = ("WITH b AS (SELECT * FROM fx_bronze), st AS (SELECT pipe_segment_id, AVG(acoustic_g_rms) AS m, "
@@ -769,6 +770,7 @@ _HASH = "CAST('0x' || substr(md5(concat_ws(':', {0})), 1, 13) AS BIGINT)"
     "SELECT event_id, label, CASE WHEN i <= CEIL(0.2 * n) THEN 'test' ELSE 'train' END AS split FROM r"))
 def j1(spark, sf):
     s = silver(spark, sf).withColumn("label", binary_label_expr("is_anomaly", positive="leak"))
+    s = as_table(s.select(EVENT_ID, "label"), "labelled")  # read for the edges and for the split
     return stratified_split(s, "label", 0.2, 42, rows_per_cell=200).select(EVENT_ID, "label", "split")
 
 
@@ -802,7 +804,7 @@ def j3_samples(spark, sf):
         R(f"({c} - AVG({c}) OVER ()) / CASE WHEN STDDEV_POP({c}) OVER () = 0 THEN 1.0 ELSE STDDEV_POP({c}) OVER () END", 6)
         + f" AS {c}" for c in FOREST_FEATURES) + " FROM fx_silver"))
 def j2(spark, sf):
-    s = silver(spark, sf)
+    s = as_table(silver(spark, sf).select(EVENT_ID, *FOREST_FEATURES), "features")  # read for the scaler and scaled
     z = standardise(s, fit_standard_scaler(s, FOREST_FEATURES), FOREST_FEATURES)
     return z.select(EVENT_ID, *[rhu(c, 6).alias(c) for c in FOREST_FEATURES])
 

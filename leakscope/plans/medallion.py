@@ -46,7 +46,7 @@ def fixture_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fixture_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver(fx.bronze(spark, sf_dir))
+    return silver(fx.bronze_parsed(spark, sf_dir))
 
 
 def fixture_gold(spark: SparkSession, sf_dir: str) -> DataFrame:

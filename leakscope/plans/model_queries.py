@@ -16,6 +16,7 @@ from leakscope.functions.rounding import round_half_up as rhu
 from leakscope.functions.rounding import round_sql as R
 from leakscope.operators.forest import EULER_GAMMA, NODE_SCHEMA, ForestModel, c_factor, raw_scores
 from leakscope.operators.gold import gold_table
+from leakscope.operators.lineage import as_table
 from leakscope.plans import medallion as M
 from leakscope.plans.catalog import _HASH, SF, query, report_sql
 from leakscope.schemas import EVENT_ID, FOREST_FEATURES, GOLD_COLUMNS
@@ -170,7 +171,9 @@ _SCORED_SQL = [*_SPLIT_SQL, *_forest_sql("train"), *_score_sql("split", "raws"),
 def j3_nodes(spark, sf) -> DataFrame:
     """The node table of 50 trees grown on all Silver rows."""
     from leakscope.operators.forest import fit_forest
-    model = fit_forest(M.fixture_silver(spark, sf), FOREST_FEATURES, trees=50)
+    # read for the row count, the samples and the scores
+    rows = as_table(M.fixture_silver(spark, sf).select(EVENT_ID, *FOREST_FEATURES), "features")
+    model = fit_forest(rows, FOREST_FEATURES, trees=50)
     return model.nodes.select("tree", "node", "feature", rhu("threshold", 6).alias("threshold"), "size", "depth",
                               rhu("path", 6).alias("path"))
 
