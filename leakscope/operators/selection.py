@@ -1,12 +1,12 @@
 """Exact order statistics without one task holding all values.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer. Here the wanted ranks are located by narrowing a value band
-with ``percentile_approx`` (bounded sketch) plus exact counts until the band
-holds at most ``band_limit`` rows or cannot be narrowed (heavy ties). The band
-is then reduced to its distinct values with their counts, and a running total
-over those gives the values at the ranks: equal rows, however many, are one
-row of that table. There is one path for all sizes.
+aggregation buffer. Here the rows are first reduced to their distinct values
+with counts: equal rows, however many, are one row of that table. The wanted
+ranks are located in it by narrowing a value band with ``percentile_approx``
+(bounded sketch) plus exact counts until the band holds at most ``band_limit``
+rows or cannot be narrowed (one value holds more). A running total over the
+band gives the values at the ranks. There is one path for all sizes.
 """
 
 from __future__ import annotations
@@ -16,47 +16,53 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from leakscope.operators.lineage import as_table, materialize
+from leakscope.operators.lineage import as_table
 
 BAND_LIMIT = 1_000_000
 ACCURACY = 10_000  # sketch size ~ (1/eps) log(eps N): a few MB; narrowing repeats instead
+CUTS = 64  # of the band, in one pass
 
 
 def _band(df: DataFrame, value: str, k_lo: int, k_hi: int, band_limit: int, accuracy: int,
           n: int) -> tuple[DataFrame, int]:
-    """Rows whose value rank lies in a band containing the 1-based ranks
-    ``k_lo..k_hi``; returns (band rows, number of rows ranked below)."""
-    v = F.col(value)
-    band, below = df, 0
-    n_band, cut = n, False
-    width = 4.0 / accuracy
+    """Rows (``value``, _c: how many rows hold it) of a value band that contains
+    the 1-based ranks ``k_lo..k_hi``; returns (band, number of rows ranked below).
+
+    The band is cut at approximate quantiles of its distinct values (a bounded
+    sketch), the rows between two cuts are counted exactly in one pass for all
+    cuts, and the stretches that hold the ranks are the next band: each pass
+    divides the distinct values by about half of ``CUTS``, whatever the ties."""
+    v, band, below, n_band = F.col(value), df, 0, n
     while n_band > band_limit:
-        q_lo = max(0.0, (k_lo - below - 1) / n_band - width)
-        q_hi = min(1.0, (k_hi - below) / n_band + width)
-        lo, hi = band.agg(F.percentile_approx(value, [q_lo, q_hi], accuracy)).first()[0]
-        c_below, c_in = band.agg(F.count_if(v < F.lit(lo)),
-                                 F.count_if(v.between(F.lit(lo), F.lit(hi)))).first()
-        if below + c_below < k_lo and k_hi <= below + c_below + c_in and c_in < n_band:
-            band, below = band.where(v.between(F.lit(lo), F.lit(hi))), below + c_below
-            if c_in * 100 <= n and not cut:
-                # small enough to keep: later passes read the band, not the input
-                band, cut = materialize(band), True
-            n_band = c_in
-        elif width >= 1.0:
-            break  # heavy ties: few distinct values are left
-        else:
-            width *= 4
+        found = band.agg(F.percentile_approx(value, [i / CUTS for i in range(CUTS + 1)], accuracy)).first()[0]
+        cuts = sorted(set(found or []))
+        if len(cuts) < 2:
+            break  # one value is left
+        upto = band.agg(*[F.sum(F.when(v <= F.lit(c), F.col("_c"))).alias(f"c{i}") for i, c in enumerate(cuts)]).first()
+        ends = [below + (x or 0) for x in upto]  # rows ranked up to each cut; the last cut is the largest value
+        first = next((i for i, e in enumerate(ends) if e >= k_lo), None)
+        last = next((i for i, e in enumerate(ends) if e >= k_hi), None)
+        if first is None or last is None:
+            break
+        start = ends[first - 1] if first else below
+        if ends[last] - start >= n_band:
+            break  # two values are left, one for each rank
+        if first:
+            band = band.where(v > F.lit(cuts[first - 1]))
+        band = band.where(v <= F.lit(cuts[last]))
+        below, n_band = start, ends[last] - start
     return band, below
 
 
 def values_at(df: DataFrame, col: str, k_lo: int, k_hi: int, n: int, band_limit: int = BAND_LIMIT,
               accuracy: int = ACCURACY) -> DataFrame:
-    """(value, first, last): the distinct values that hold the 1-based ranks
-    ``k_lo..k_hi`` of the ``n`` rows, with the ranks that each covers."""
+    """(value, first, last): the distinct values of ``df`` (``col``, _c: for how
+    many rows it stands) at the 1-based ranks ``k_lo..k_hi`` of the ``n`` rows, with the
+    ranks that each covers."""
     band, below = _band(df, col, k_lo, k_hi, band_limit, accuracy, n)
     # a running total over the band's distinct values only
     w = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    return (band.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("_c"))
+    return (band.groupBy(F.col(col).alias("value")).agg(F.sum("_c").alias("_c"))
             .withColumn("last", F.sum("_c").over(w) + F.lit(below))
             .withColumn("first", F.col("last") - F.col("_c") + 1)
             .where((F.col("last") >= k_lo) & (F.col("first") <= k_hi)).drop("_c"))
@@ -67,9 +73,10 @@ def exact_quantile(df: DataFrame, col: str, q: float, alias: str = "quantile",
     """One-row DataFrame: the q-quantile of the non-NULL values of ``col`` with
     linear interpolation between closest ranks (same definition as
     ``percentile`` / ``quantile_cont``)."""
-    # one column, written once: its count and every narrowing pass read it
-    vals = as_table(df.select(col).where(F.col(col).isNotNull() & ~F.isnan(col)), "quantile-values")
-    n = vals.count()
+    # the distinct values and their counts, written once: the total and every narrowing pass read them
+    kept = df.select(F.col(col).cast("double").alias(col)).where(F.col(col).isNotNull() & ~F.isnan(col))
+    vals = as_table(kept.groupBy(col).agg(F.count(F.lit(1)).alias("_c")), "quantile-values")
+    n = vals.agg(F.sum("_c")).first()[0] or 0
     pos = q * max(n - 1, 0)
     i = int(math.floor(pos))
     k_lo, k_hi = i + 1, max(1, min(i + 2, n))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from leakscope.operators.features import batch_features
 from leakscope.operators.forest import fit_pipeline, score_forest
 from leakscope.operators.gold import classify, gold_table, prediction_from_score
+from leakscope.operators.lineage import as_table
 from leakscope.operators.quality import quality_filter
 from leakscope.operators.windowing import DEFAULT_BUCKET_SECONDS, TARGET_ROWS, plan_buckets
 from leakscope.schemas import EVENT_ID, EVENT_TS, SEGMENT
@@ -22,14 +23,15 @@ from leakscope.sources import fixtures as fx
 
 def silver(bronze: DataFrame, bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
            with_clock: bool = False, target_rows: int = TARGET_ROWS) -> DataFrame:
-    """Bronze -> quality filter -> batch features (+ ``silver_ts``). The bucket
-    plan comes from Bronze's segment, time and id columns only: a narrow scan
-    instead of a pass over the filtered rows (it steers partitioning, not
-    results)."""
+    """Bronze -> quality filter -> batch features (+ ``silver_ts``). The
+    filtered rows are written once: the bucket plan, the counts, the halos and
+    the windows each read them, the first three a few narrow columns only, and
+    none parses and filters Bronze again."""
     plan = None
+    rows = as_table(quality_filter(bronze), "filtered")
     if bucket_seconds is None:
-        plan = plan_buckets(bronze, SEGMENT, EVENT_TS, EVENT_ID, target_rows)
-    out = batch_features(quality_filter(bronze), bucket_seconds=bucket_seconds, plan=plan, target_rows=target_rows)
+        plan = plan_buckets(rows, SEGMENT, EVENT_TS, EVENT_ID, target_rows)
+    out = batch_features(rows, bucket_seconds=bucket_seconds, plan=plan, target_rows=target_rows)
     return out.withColumn("silver_ts", F.current_timestamp()) if with_clock else out
 
 
@@ -56,8 +58,7 @@ def fixture_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_gold(silver_df: DataFrame, trees: int = 200, psi: int = 256,
                contamination: float = 0.08, seed: int = 42, cut: float = -0.07, scaled: bool = True):
     """Silver -> forest fit -> scored and classified Gold rows. Returns (gold, model)."""
-    from leakscope.operators.lineage import materialize
-    silver_df = materialize(silver_df)  # read by split, scaler, sampling and scoring
+    silver_df = as_table(silver_df, "silver")  # read by split, scaler, sampling and scoring, each some columns
     model, _ = fit_pipeline(silver_df, trees=trees, psi=psi, contamination=contamination,
                             seed=seed, scaled=scaled)
     return classify(score_forest(silver_df, model), cut=cut), model

@@ -247,9 +247,8 @@ def j9(spark, sf) -> DataFrame:
     from pyspark.sql import functions as F
 
     from leakscope.operators.forest import fit_pipeline, score_forest
-    from leakscope.operators.lineage import materialize
     from leakscope.operators.metrics import classification_report
-    silver = materialize(M.fixture_silver(spark, sf))
+    silver = as_table(M.fixture_silver(spark, sf), "silver")
     model, split = fit_pipeline(silver, scaled=False)
     test = split.where(F.col("split") == "test").drop("split")
     scored = score_forest(test, model).withColumn(
