@@ -103,11 +103,11 @@ def plan_buckets(df: DataFrame, key: str, ts: str, tie: str,
             span = F.when(low < high, high.cast("double") - low + 1).otherwise(span)
         width = F.greatest(F.lit(1.0), F.ceil(span * target_rows / F.col("_n")).cast("double"))
         full = as_table(full.select("_k", "_path", dim.alias("_dim"), lo.alias("_lo"), width.alias("_w")), "buckets")
-        level = full.where("_dim IS NOT NULL")
-        if not level.isEmpty():
-            levels.append(level)
-            x = _refine(x, level, dims)
-        elif seen < len(dims) and not full.isEmpty():
+        last, some = full.agg(F.max("_dim"), F.count(F.lit(1))).first()
+        if last is not None:
+            levels.append(full.where("_dim IS NOT NULL"))
+            x = _refine(x, levels[-1], dims[:last])
+        elif seen < len(dims) and some:
             seen += 1
         else:
             break
@@ -115,11 +115,11 @@ def plan_buckets(df: DataFrame, key: str, ts: str, tie: str,
 
 
 def _refine(x: DataFrame, level: DataFrame, dims: list[Column]) -> DataFrame:
-    """Appends each row's cell number to its path (0 where not refined)."""
+    """Appends each row's cell number to its path (0 where not refined).
+    ``dims``: those that the level cuts, mostly the time alone (the id's are costly)."""
     lv = level.select(F.col("_k").alias("_lk"), F.col("_path").alias("_lp"), "_dim", "_lo", "_w")
     value = F.lit(None).cast("bigint")
-    used = level.agg(F.max("_dim")).first()[0] or 0  # mostly the time alone: the id's columns are costly
-    for i, d in enumerate(dims[:used]):
+    for i, d in enumerate(dims):
         value = F.when(F.col("_dim") == i + 1, d).otherwise(value)
     cell = F.coalesce(F.floor((value - F.col("_lo")) / F.col("_w")).cast("bigint"), F.lit(0))
     return (x.join(lv, x["_k"].eqNullSafe(lv["_lk"]) & (x["_path"] == lv["_lp"]), "left")
@@ -136,7 +136,8 @@ def with_bucket(df: DataFrame, key: str, ts: str, tie: str, seconds: int | None
     levels = plan_buckets(df, key, ts, tie, target_rows) if plan is None else plan
     x = df.withColumn("_k", F.col(key)).withColumn("_path", F.array().cast("array<bigint>"))
     for level in levels:
-        x = _refine(x, level, dimensions(df, ts, tie))
+        used = level.agg(F.max("_dim")).first()[0] or 0
+        x = _refine(x, level, dimensions(df, ts, tie)[:used])
     return x.withColumnRenamed("_path", "_b").drop("_k")
 
 

@@ -61,3 +61,12 @@ def test_quantile_of_few_null_and_nan_rows(spark, vals):
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     got = exact_quantile(df, "v", 0.5, band_limit=1, accuracy=100).first()[0]
     assert got == (float(np.quantile(kept, 0.5)) if kept else None)
+
+
+@pytest.mark.parametrize("critical", [False, True])
+def test_generated_methods_are_small_enough_for_the_jvm(spark, critical):
+    """The JVM does not compile a method of over 8000 bytes."""
+    g = M.fixture_gold(spark, SF_SMALL)
+    g = g.where("severity = 'CRITICAL'") if critical else g
+    made = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(g._jdf.queryExecution().debug().codegenToSeq())
+    assert made and max(m._3().maxMethodCodeSize() for m in made) < 8000
