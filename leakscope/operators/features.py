@@ -8,7 +8,7 @@ bucket) partitions instead of one task per segment.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leakscope.functions.rounding import round_half_up
@@ -20,11 +20,6 @@ from leakscope.schemas import EVENT_ID, EVENT_TS, SEGMENT, SENSORS
 ORDER = [EVENT_TS, EVENT_ID]  # event_id breaks timestamp ties
 
 
-def _rounded(places: int, *cols: str) -> Column:
-    """The columns as an array, each value rounded."""
-    return F.transform(F.array(*cols), lambda x: round_half_up(x, places))
-
-
 def batch_features(df: DataFrame, n: int = 10, eps: float = 0.0001,
                    bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
                    plan: list[DataFrame] | None = None,
@@ -57,15 +52,12 @@ def batch_features(df: DataFrame, n: int = 10, eps: float = 0.0001,
                            "_z": (a - a_avg) / (a_std + F.lit(eps))})
     if not keep_incomplete:  # on the values before rounding, which keeps null, NaN and the rest apart
         out = out.dropna(subset=[*cols, *(["_touched"] if touched_by else []), "_p", "_f", "_a", "_delta", "_ratio", "_sd", "_z"])
-    # the rest as arrays: written out for all seven columns, the rounding and what reads it make one
-    # generated method of over 8000 bytes, which the JVM does not compile; an array's transform ends it
-    out = out.withColumns({"_d": _rounded(2, "_delta"), "_rz": _rounded(4, "_ratio", "_z")})
     return out.select(
         *cols, *(["_touched"] if touched_by else []),
         F.col("_p2").alias("pressure_rolling_avg"), f_avg.alias("flow_rolling_avg"),
-        a_avg.alias("acoustic_rolling_avg"), F.col("_d")[0].alias("pressure_delta"),
-        F.col("_rz")[0].alias("flow_imbalance_ratio"), a_std.alias("acoustic_rolling_std"),
-        F.col("_rz")[1].alias("acoustic_zscore"))
+        a_avg.alias("acoustic_rolling_avg"), round_half_up("_delta", 2).alias("pressure_delta"),
+        round_half_up("_ratio", 4).alias("flow_imbalance_ratio"), a_std.alias("acoustic_rolling_std"),
+        round_half_up("_z", 4).alias("acoustic_zscore"))
 
 
 def segment_stats(df: DataFrame, col: str = "acoustic_g_rms") -> DataFrame:
@@ -110,7 +102,7 @@ def microbatch_features(df: DataFrame, baseline: float = 1000.0,
 def sequences(df: DataFrame, cols: list[str] = SENSORS, n: int = 20,
               label: str | None = "label",
               bucket_seconds: int | None = DEFAULT_BUCKET_SECONDS,
-              keep_all: bool = False) -> DataFrame:
+              keep_all: bool = False, plan: list[DataFrame] | None = None) -> DataFrame:
     """The n readings before each row (current row excluded) of its own
     segment as ``seq`` (array<array<double>>, oldest first). Sequences never
     cross segment borders. By default only rows with a full history are kept
@@ -118,7 +110,7 @@ def sequences(df: DataFrame, cols: list[str] = SENSORS, n: int = 20,
     without a full history are flagged 0)."""
     keep = [EVENT_ID, SEGMENT, EVENT_TS] + ([label] if label else [])
     src = df if keep_all else df.select(*dict.fromkeys(keep + cols))
-    frame = with_halo(src, SEGMENT, ORDER, EVENT_TS, n, bucket_seconds)
+    frame = with_halo(src, SEGMENT, ORDER, EVENT_TS, n, bucket_seconds, plan=plan)
     w = chunk_window(SEGMENT, ORDER).rowsBetween(-n, -1)
     out = frame.withColumn("seq", F.collect_list(F.array(*[F.col(c).cast("double")
                                                            for c in cols])).over(w))

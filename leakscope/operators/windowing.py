@@ -13,10 +13,11 @@ How the halo rows are found without ranking the whole segment:
 1. ``counts``: rows per (segment, bucket) and their running total ``_cum``
    (offset ``_off`` = rows before the bucket). One small aggregate plus a
    window over that small table.
-2. ``tail``: the last ``halo`` rows of every bucket (``row_number() <= halo``
-   planned as a partial ``WindowGroupLimit`` before the exchange, so only
-   ``halo`` rows per bucket and input split are shuffled). A tail row's
-   position in its segment is ``_cum - rank_from_end + 1``.
+2. ``tail``: the last ``halo`` rows of every bucket. The same aggregate counts
+   the rows of a bucket's slices (equal shares of its span, some 100 rows
+   each), so the slices that hold the last ``halo`` rows are known, and only
+   their rows are sorted. A tail row's position in its segment is
+   ``_cum - rank_from_end + 1``.
 3. A row at position ``o`` is needed by the later bucket whose offset lies in
    ``[o, o + halo - 1]``: explode those ``halo`` candidate offsets and equi-join
    them to ``counts`` (offsets are unique per segment). Sparse buckets, which
@@ -51,6 +52,9 @@ TARGET_ROWS = 100_000           # rows per (key, bucket) window partition: small
 SLACK = 1.5                     # a bucket is refined beyond this many targets
 ID_CHUNKS = 6                   # times seven bytes of the id that can be told apart
 MAX_LEVELS = 16
+SLICE_ROWS = 100                # rows that a bucket's slice holds if they are spread evenly
+MAX_SLICES = 1024
+UTC = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
 def epoch_seconds(df: DataFrame, ts: str) -> Column:
@@ -65,6 +69,8 @@ def epoch_seconds(df: DataFrame, ts: str) -> Column:
 
 def epoch_micros(df: DataFrame, ts: str) -> Column:
     if isinstance(df.schema[ts].dataType, TimestampNTZType):
+        if df.sparkSession.conf.get("spark.sql.session.timeZone") in UTC:  # no jumps: each wall clock is one instant
+            return F.unix_micros(F.col(ts).cast("timestamp"))
         # a difference of two wall clocks: no zone either, and one step instead of a part at a time
         since = F.col(ts) - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
         return (since.cast("interval second").cast("decimal(18,6)") * 1_000_000).cast("bigint")
@@ -114,22 +120,30 @@ def plan_buckets(df: DataFrame, key: str, ts: str, tie: str,
     return levels
 
 
-def _refine(x: DataFrame, level: DataFrame, dims: list[Column]) -> DataFrame:
+def _refine(x: DataFrame, level: DataFrame, dims: list[Column], slices: int = 0) -> DataFrame:
     """Appends each row's cell number to its path (0 where not refined).
-    ``dims``: those that the level cuts, mostly the time alone (the id's are costly)."""
+    ``dims``: those that the level cuts, mostly the time alone (the id's are costly).
+    With ``slices``, a refined row's ``_slice`` is its place within the cell,
+    in row order too, as dimensions before the one cut do not vary there."""
     lv = level.select(F.col("_k").alias("_lk"), F.col("_path").alias("_lp"), "_dim", "_lo", "_w")
     value = F.lit(None).cast("bigint")
     for i, d in enumerate(dims):
         value = F.when(F.col("_dim") == i + 1, d).otherwise(value)
-    cell = F.coalesce(F.floor((value - F.col("_lo")) / F.col("_w")).cast("bigint"), F.lit(0))
-    return (x.join(lv, x["_k"].eqNullSafe(lv["_lk"]) & (x["_path"] == lv["_lp"]), "left")
-            .withColumn("_path", F.concat("_path", F.array(cell)))
+    at = (value - F.col("_lo")) / F.col("_w")
+    cell = F.coalesce(F.floor(at).cast("bigint"), F.lit(0))
+    x = x.join(lv, x["_k"].eqNullSafe(lv["_lk"]) & (x["_path"] == lv["_lp"]), "left")
+    if slices:
+        x = x.withColumn("_slice", F.coalesce(F.floor((at - F.floor(at)) * slices).cast("int"), F.col("_slice")))
+    return (x.withColumn("_path", F.concat("_path", F.array(cell)))
             .drop("_lk", "_lp", "_dim", "_lo", "_w"))
 
 
 def with_bucket(df: DataFrame, key: str, ts: str, tie: str, seconds: int | None = None,
-                target_rows: int = TARGET_ROWS, plan: list[DataFrame] | None = None) -> DataFrame:
-    """``df`` with ``_b``, the bucket path, monotone in (ts, tie) within a key."""
+                target_rows: int = TARGET_ROWS, plan: list[DataFrame] | None = None, slices: int = 0) -> DataFrame:
+    """``df`` with ``_b``, the bucket path, monotone in (ts, tie) within a key;
+    with ``slices`` also with ``_slice``, monotone within a bucket."""
+    if slices:
+        df = df.withColumn("_slice", F.lit(0))
     if seconds is not None:
         b = F.coalesce(F.floor(epoch_seconds(df, ts) / F.lit(seconds)).cast("bigint"), F.lit(NULL_TIME))
         return df.withColumn("_b", F.array(b))
@@ -137,15 +151,18 @@ def with_bucket(df: DataFrame, key: str, ts: str, tie: str, seconds: int | None
     x = df.withColumn("_k", F.col(key)).withColumn("_path", F.array().cast("array<bigint>"))
     for level in levels:
         used = level.agg(F.max("_dim")).first()[0] or 0
-        x = _refine(x, level, dimensions(df, ts, tie)[:used])
+        x = _refine(x, level, dimensions(df, ts, tie)[:used], slices)
     return x.withColumnRenamed("_path", "_b").drop("_k")
 
 
 def bucket_counts(df: DataFrame, key: str, bucket: str = "_b") -> DataFrame:
     """(key, bucket, _n, _off, _cum): rows per bucket and their offsets."""
+    return _with_offsets(df.groupBy(key, bucket).agg(F.count(F.lit(1)).alias("_n")), key, bucket)
+
+
+def _with_offsets(sizes: DataFrame, key: str, bucket: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
-    return (df.groupBy(key, bucket).agg(F.count(F.lit(1)).alias("_n"))
-            .withColumn("_cum", F.sum("_n").over(w))
+    return (sizes.withColumn("_cum", F.sum("_n").over(w))
             .withColumn("_off", F.col("_cum") - F.col("_n")))
 
 
@@ -161,14 +178,21 @@ def with_halo(df: DataFrame, key: str, order: list[str], ts: str, halo: int,
     ``order`` must be ``[ts, tie]`` and a total order within a key.
     """
     cols = df.columns
-    x = with_bucket(df, key, ts, order[-1], bucket_seconds, target_rows, plan)
-    main = x.withColumn("_chunk", F.col("_b")).withColumn("_halo", F.lit(False)).drop("_b")
+    slices = max(1, min(MAX_SLICES, target_rows // SLICE_ROWS))
+    x = with_bucket(df, key, ts, order[-1], bucket_seconds, target_rows, plan, slices)
+    main = x.withColumn("_chunk", F.col("_b")).withColumn("_halo", F.lit(False)).drop("_b", "_slice")
     if halo <= 0:
         return main
-    counts = bucket_counts(x.select(key, "_b"), key)
+    # written: small, and Spark knows it, so that the rows stay where they are
+    sizes = as_table(x.groupBy(key, "_b", "_slice").agg(F.count(F.lit(1)).alias("_n")), "slices")
+    later = Window.partitionBy(key, "_b").orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    last = F.coalesce(F.sum("_n").over(later), F.lit(0)) < halo
+    per_bucket = (sizes.withColumn("_last", last).groupBy(key, "_b")
+                  .agg(F.sum("_n").alias("_n"), F.min(F.when(F.col("_last"), F.col("_slice"))).alias("_from")))
+    counts = as_table(_with_offsets(per_bucket, key, "_b"), "counts")
     w_end = Window.partitionBy(key, "_b").orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    tail = (x.withColumn("_rd", F.row_number().over(w_end)).where(F.col("_rd") <= halo)
-            .join(counts.select(key, "_b", "_cum"), [key, "_b"])
+    tail = (x.join(counts.select(key, "_b", "_cum", "_from"), [key, "_b"]).where(F.col("_slice") >= F.col("_from"))
+            .withColumn("_rd", F.row_number().over(w_end)).where(F.col("_rd") <= halo)
             .withColumn("_pos", F.col("_cum") - F.col("_rd") + 1)
             .withColumn("_target", F.explode(F.sequence(F.col("_pos"),
                                                         F.col("_pos") + (halo - 1)))))

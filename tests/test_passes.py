@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from leakscope.operators import reports, selection
 from leakscope.operators.selection import exact_quantile
-from leakscope.operators.windowing import epoch_micros, with_bucket
+from leakscope.operators.windowing import epoch_micros, with_bucket, with_halo
 from leakscope.plans import medallion as M
 from tests.conftest import SF_SMALL
 
@@ -74,3 +74,61 @@ def test_generated_methods_are_small_enough_for_the_jvm(spark, critical):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert made and max(m._3().maxMethodCodeSize() for m in made) < 8000
+
+
+def test_halos_sort_only_the_rows_near_the_ends_of_buckets(spark):
+    """The rank from a bucket's end is taken after its last slices are picked."""
+    df = spark.range(400_000).select(F.col("id").cast("string").alias("event_id"), F.lit("S").alias("seg"),
+                                     F.expr("timestampadd(SECOND, id, TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("ts"))
+    frame = with_halo(df, "seg", ["ts", "event_id"], "ts", 9)
+    ranked = [line for line in _plan(frame).splitlines() if "_slice" in line and ">=" in line]
+    assert ranked  # a filter on the slices stands below the window
+    assert frame.where("_halo").count() == 9 * (frame.select("_chunk").distinct().count() - 1)
+
+
+def test_roundings_are_mostly_worked_out_in_doubles(spark):
+    """The decimal of both rules agree, on ties, beside them, below zero and on large values."""
+    from leakscope.functions.rounding import round_half_up
+    rng = np.random.default_rng(7)
+    ties = rng.integers(-10 ** 6, 10 ** 6, 4000) / 2 ** rng.integers(0, 12, 4000)
+    near = np.round(rng.uniform(-300, 300, 4000), 2) + rng.choice([0, .005, .00005, 4.9e-9, 5e-9, 5.1e-9, .004999995, .0049999949], 4000)
+    vals = [*ties, *near, *rng.normal(0, 1e-4, 2000), *rng.normal(0, 1e7, 500), 0.0, -0.0, -0.001, 0.285, 1.005, None, float("nan"), float("inf"), 1e300]
+    df = spark.createDataFrame([(None if v is None else float(v),) for v in vals], "v double")
+    for n in (0, 1, 2, 4, 6, 8):
+        plain = F.when(F.abs("v") < 1e16, F.round(F.col("v").cast("decimal(38,8)"), n).cast("double")).otherwise(F.col("v"))
+        pairs = df.select(F.hex(F.col("v").cast("string").cast("binary")), round_half_up("v", n).cast("string").alias("a"), plain.cast("string").alias("b"))
+        assert pairs.where("NOT a <=> b").collect() == []
+    shown = df.select(round_half_up("v", 2))._jdf.queryExecution().executedPlan().toString()
+    assert "transform" in shown  # the decimal's part does not enter a whole stage's method
+
+
+def test_every_row_goes_down_the_trees_once(spark, monkeypatch):
+    from leakscope.operators import forest
+    scored, whole = [], forest._score_udf
+    monkeypatch.setattr(forest, "_score_udf", lambda m: scored.append(1) or whole(m))
+    silver = M.fixture_silver(spark, SF_SMALL)
+    gold, model = M.model_gold(silver, trees=10, psi=32)
+    assert gold.count() == silver.count() and len(scored) == 1
+    monkeypatch.undo()
+    again, _ = forest.fit_pipeline(silver, trees=10, psi=32)
+    assert again.offset == model.offset
+
+
+def test_sequences_are_made_for_the_rows_that_are_used(spark, monkeypatch):
+    """Only the fit's rows are written as vectors, and the test rows are all rows after the border."""
+    from leakscope.operators import sequence
+    written, table = {}, sequence.as_table
+    def as_table(df, name):
+        written[name] = table(df, name)
+        return written[name]
+    monkeypatch.setattr(sequence, "as_table", as_table)
+    rows = [(f"e{i:04d}", f"S{i % 3}", dt.datetime(2024, 1, 1) + dt.timedelta(seconds=i), *(float((i * k) % 17) for k in (1, 2, 3, 5)), int(i % 5 == 0))
+            for i in range(900)]
+    df = spark.createDataFrame(rows, "event_id string, pipe_segment_id string, event_timestamp timestamp_ntz, " +
+                               ", ".join(f"{c} double" for c in sequence.SEQUENCE_FEATURES) + ", label int")
+    _, test = sequence.fit_sequence_model(df, max_iter=2, max_fit_rows=200)
+    order = sorted((r for r in rows if int(r[0][1:]) // 3 >= 20), key=lambda r: (r[1], r[2]))
+    k = int(0.8 * len(order))
+    assert {r.event_id for r in test.collect()} == {r[0] for r in order[k:]}
+    fitted = {r.event_id for r in written["sequences"].collect()}
+    assert 100 < len(fitted) < 300 and fitted <= {r[0] for r in order[:k]}
