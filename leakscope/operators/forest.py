@@ -241,45 +241,70 @@ def fit_forest(df: DataFrame, cols: list[str] = FOREST_FEATURES, trees: int = 20
                key: str = EVENT_ID, scaler: dict | None = None) -> ForestModel:
     """J3 + J4 on already-standardised ``cols``. The offset is the exact
     ``contamination`` quantile of the raw training scores."""
+    model = grow_forest(df, cols, trees, psi, contamination, seed, key, scaler)
+    return with_offset(model, raw_scores(df, model))
+
+
+def grow_forest(df: DataFrame, cols: list[str], trees: int, psi: int, contamination: float, seed: int,
+                key: str = EVENT_ID, scaler: dict | None = None) -> ForestModel:
+    """J3 alone: the trees, without an offset."""
     sample, psi_eff = tree_samples(df, cols, trees, psi, seed, key)
     max_depth = int(math.ceil(math.log2(max(psi_eff, 2))))
     # model table; cut lineage from the sample
     nodes = materialize(grow_by_levels(sample, cols, seed, max_depth))
-    model = ForestModel(nodes, list(cols), psi_eff, trees, seed, 0.0, contamination,
-                        scaler or {})
-    # one column, read a few times while the band narrows
-    raw = as_table(raw_scores(df, model).select("_raw"), "raw-scores")
-    off = exact_quantile(raw, "_raw", contamination).first()[0]
+    return ForestModel(nodes, list(cols), psi_eff, trees, seed, 0.0, contamination, scaler or {})
+
+
+def with_offset(model: ForestModel, scored: DataFrame) -> ForestModel:
+    """The offset from the ``_raw`` of the training rows. ``exact_quantile``
+    writes their distinct values, so they are scored once."""
+    off = exact_quantile(scored.select("_raw"), "_raw", model.contamination).first()[0]
     model.offset = float(off) if off is not None else 0.0
     return model
 
 
 # ---------------------------------------------------------------- J5 scoring
+BLOCK = 256  # rows that go down the trees together: their (tree, row) pairs stay in a core's cache
+
+
+def _complete_trees(feat, thr, left, right, path):
+    """The trees with every leaf's subtree filled up to the depth of the
+    deepest: children of k are 2 k + 1 and 2 k + 2, and every place below a
+    leaf has its path. Returns (feature, threshold) of the inner places and the
+    path of the lowest, tree by tree, and the depth."""
+    tree = np.arange(len(feat))[:, None]
+    at = np.zeros((len(feat), 1), dtype=np.int64)
+    feats, thrs = [np.zeros((len(feat), 0), dtype=np.int64)], [np.zeros((len(feat), 0))]
+    while (inner := feat[tree, at] >= 0).any():
+        feats.append(np.where(inner, feat[tree, at], 0))
+        thrs.append(thr[tree, at])
+        below = [np.where(inner, side[tree, at], at) for side in (left, right)]
+        at = np.stack(below, axis=2).reshape(len(feat), -1)
+    return np.hstack(feats), np.hstack(thrs), path[tree, at], len(feats) - 1
+
+
 def _score_udf(model: ForestModel):
-    feat, thr, left, right, path = model.arrays()
-    n_trees, width = feat.shape
-    base = (np.arange(n_trees) * width)[:, None]
-    # flat node arrays; child pointers made global (tree offset added)
+    feat, thr, path, depth = _complete_trees(*model.arrays())
+    n_trees, lowest = path.shape
+    base = (np.arange(n_trees) * (lowest - 1))[:, None]
+    base_path = (np.arange(n_trees) * lowest)[:, None] - (lowest - 1)
     feat_f, thr_f, path_f = feat.ravel(), thr.ravel(), path.ravel()
-    left_f = np.where(feat >= 0, left + base, 0).ravel()
-    right_f = np.where(feat >= 0, right + base, 0).ravel()
     denom = float(c_factor(model.psi)) or 1.0
 
     @F.pandas_udf(DoubleType())
     def raw(*cols: pd.Series) -> pd.Series:
-        X = np.column_stack([c.to_numpy(dtype=float) for c in cols])
-        n, d = X.shape
-        node = np.repeat(base[:, 0], n)            # (tree, row) pairs, tree-major
-        row = np.tile(np.arange(n), n_trees)
-        Xf = X.ravel()
-        act = np.flatnonzero(feat_f[node] >= 0)    # pairs still at an inner node
-        while act.size:
-            nd = node[act]
-            x = Xf[row[act] * d + feat_f[nd]]
-            nxt = np.where(x < thr_f[nd], left_f[nd], right_f[nd])
-            node[act] = nxt
-            act = act[feat_f[nxt] >= 0]
-        mean_path = path_f[node].reshape(n_trees, n).mean(axis=0)
+        X = np.stack([c.to_numpy(dtype=float) for c in cols])
+        mean_path = np.empty(X.shape[1])
+        for start in range(0, X.shape[1], BLOCK):
+            block = X[:, start:start + BLOCK]
+            n = block.shape[1]
+            values, row = block.ravel(), np.arange(n)
+            at = np.zeros((n_trees, n), dtype=np.int64)
+            for _ in range(depth):
+                node = at + base
+                x = values.take(feat_f.take(node) * n + row)
+                at = 2 * at + 2 - (x < thr_f.take(node))
+            mean_path[start:start + n] = path_f.take(at + base_path).mean(axis=0)
         return pd.Series(-np.power(2.0, -mean_path / denom))
     return raw
 
@@ -289,19 +314,38 @@ def raw_scores(df: DataFrame, model: ForestModel) -> DataFrame:
     return df.withColumn("_raw", _score_udf(model)(*[F.col(c) for c in model.cols]))
 
 
-def score_forest(df: DataFrame, model: ForestModel, standardised: bool = False) -> DataFrame:
-    """``anomaly_score`` = raw - offset and ``anomaly_prediction`` (-1/1).
-    Unless ``standardised``, the model's scaler is applied first as column
+def _raw_of_unscaled(df: DataFrame, model: ForestModel) -> DataFrame:
+    """``df`` with ``_raw``; the model's scaler is applied first as column
     expressions (into temporary columns, so the output keeps raw features)."""
-    x = df
-    cols = model.cols
-    if not standardised and model.scaler:
-        x = standardise(df, model.scaler, cols, suffix="__z")
-        cols = [c + "__z" for c in cols]
-    s = _score_udf(model)(*[F.col(c) for c in cols])
-    out = x.withColumn("anomaly_score", s - F.lit(model.offset))
-    out = out.withColumn("anomaly_prediction", prediction_from_score())
-    return out.drop(*[c for c in cols if c.endswith("__z")])
+    if not model.scaler:
+        return raw_scores(df, model)
+    cols = [c + "__z" for c in model.cols]
+    x = standardise(df, model.scaler, model.cols, suffix="__z")
+    return x.withColumn("_raw", _score_udf(model)(*[F.col(c) for c in cols])).drop(*cols)
+
+
+def with_decision(scored: DataFrame, model: ForestModel) -> DataFrame:
+    """J5 on rows that have ``_raw``: ``anomaly_score`` = raw - offset and
+    ``anomaly_prediction`` (-1/1)."""
+    out = scored.withColumn("anomaly_score", F.col("_raw") - F.lit(model.offset)).drop("_raw")
+    return out.withColumn("anomaly_prediction", prediction_from_score())
+
+
+def score_forest(df: DataFrame, model: ForestModel, standardised: bool = False) -> DataFrame:
+    """``anomaly_score`` and ``anomaly_prediction``. Unless
+    ``standardised``, the model's scaler is applied first."""
+    return with_decision(raw_scores(df, model) if standardised else _raw_of_unscaled(df, model), model)
+
+
+def _split_and_grow(silver: DataFrame, label_col: str, frac: float, seed: int, trees: int, psi: int,
+                    contamination: float, cols: list[str], scaled: bool):
+    from leakscope.functions.severity import binary_label_expr
+    lab = silver.withColumn("label", binary_label_expr(label_col, positive="leak"))
+    split = stratified_split(lab, "label", frac, seed)  # a predicate: nothing is copied
+    train = split.where(F.col("split") == "train")
+    stats = fit_standard_scaler(train, cols) if scaled else {}
+    train = standardise(train, stats, cols) if scaled else train
+    return grow_forest(train, cols, trees, psi, contamination, seed, scaler=stats), split, train
 
 
 def fit_pipeline(silver: DataFrame, label_col: str = "is_anomaly", frac: float = 0.2,
@@ -311,14 +355,20 @@ def fit_pipeline(silver: DataFrame, label_col: str = "is_anomaly", frac: float =
     on the standardised train rows. Returns (model, split frame). Cuts lie
     between a feature's smallest and largest value, so scaling changes no tree
     but for rounding; without ``scaled`` the readings themselves are cut."""
-    from leakscope.functions.severity import binary_label_expr
-    lab = silver.withColumn("label", binary_label_expr(label_col, positive="leak"))
-    split = stratified_split(lab, "label", frac, seed)  # a predicate: nothing is copied
-    train = split.where(F.col("split") == "train")
-    stats = fit_standard_scaler(train, cols) if scaled else {}
-    model = fit_forest(standardise(train, stats, cols) if scaled else train, cols, trees, psi, contamination,
-                       seed, scaler=stats)
-    return model, split
+    model, split, train = _split_and_grow(silver, label_col, frac, seed, trees, psi, contamination, cols, scaled)
+    return with_offset(model, raw_scores(train, model)), split
+
+
+def fit_and_score(silver: DataFrame, label_col: str = "is_anomaly", frac: float = 0.2, seed: int = 42,
+                  trees: int = 200, psi: int = 256, contamination: float = 0.08,
+                  cols: list[str] = FOREST_FEATURES, scaled: bool = True):
+    """``fit_pipeline``, and all rows scored by the model: every row goes down
+    the trees once, and the offset is read from the train rows' scores.
+    Returns (scored rows, model)."""
+    model, split, _ = _split_and_grow(silver, label_col, frac, seed, trees, psi, contamination, cols, scaled)
+    scored = as_table(_raw_of_unscaled(split, model), "raw-scores")
+    with_offset(model, scored.where(F.col("split") == "train"))
+    return with_decision(scored.drop("label", "split"), model), model
 
 
 def calibrate(scored: DataFrame, q: float = 0.5) -> DataFrame:

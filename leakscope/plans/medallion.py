@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leakscope.operators.features import batch_features
-from leakscope.operators.forest import fit_pipeline, score_forest
+from leakscope.operators.forest import fit_and_score
 from leakscope.operators.gold import classify, gold_table, prediction_from_score
 from leakscope.operators.lineage import as_table
 from leakscope.operators.quality import quality_filter
@@ -59,9 +59,9 @@ def model_gold(silver_df: DataFrame, trees: int = 200, psi: int = 256,
                contamination: float = 0.08, seed: int = 42, cut: float = -0.07, scaled: bool = True):
     """Silver -> forest fit -> scored and classified Gold rows. Returns (gold, model)."""
     silver_df = as_table(silver_df, "silver")  # read by split, scaler, sampling and scoring, each some columns
-    model, _ = fit_pipeline(silver_df, trees=trees, psi=psi, contamination=contamination,
-                            seed=seed, scaled=scaled)
-    return classify(score_forest(silver_df, model), cut=cut), model
+    scored, model = fit_and_score(silver_df, trees=trees, psi=psi, contamination=contamination,
+                                  seed=seed, scaled=scaled)
+    return classify(scored, cut=cut), model
 
 
 def run_batch(spark: SparkSession, bronze: DataFrame, out_dir: str) -> dict:
