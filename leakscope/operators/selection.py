@@ -99,12 +99,13 @@ def smallest_per_group(df: DataFrame, group: str, value: str, key: str, share: f
     cell = F.shiftright(F.col(value), 52 - bits)
     x = df.select(F.col(group).alias("_g"), F.col(value).alias("_v"), F.col(key).alias("_key"), cell.alias("_cell"))
     w = Window.partitionBy("_g").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    cells = x.groupBy("_g", "_cell").agg(F.count(F.lit(1)).alias("_c")).withColumn("_upto", F.sum("_c").over(w))
+    cells = as_table(x.groupBy("_g", "_cell").agg(F.count(F.lit(1)).alias("_c")), "group-cells").withColumn("_upto", F.sum("_c").over(w))
     want = cells.groupBy("_g").agg(F.ceil(F.lit(share) * F.sum("_c")).alias("_k"))
-    edge = (cells.join(want.withColumnRenamed("_g", "_wg"), F.col("_g").eqNullSafe(F.col("_wg")))
+    # a row a group, written: where it is small, the rows of its cells are found by a broadcast
+    edge = as_table(cells.join(want.withColumnRenamed("_g", "_wg"), F.col("_g").eqNullSafe(F.col("_wg")))
             .where((F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_c") < F.col("_k")))
             .select(F.col("_g").alias("_eg"), F.col("_cell").alias("_ecell"),
-                    (F.col("_k") - (F.col("_upto") - F.col("_c"))).alias("_need")))
+                    (F.col("_k") - (F.col("_upto") - F.col("_c"))).alias("_need")), "group-edges")
     ranked = (x.join(edge, F.col("_g").eqNullSafe(F.col("_eg")) & (F.col("_cell") == F.col("_ecell")))
               .withColumn("_r", F.row_number().over(Window.partitionBy("_g").orderBy("_v", "_key"))))
     return (ranked.where("_r <= _need").groupBy(F.col("_g").alias(group))
