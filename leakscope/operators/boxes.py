@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from leakscope.operators.forest import ForestModel, c_factor
 from leakscope.operators.lineage import as_table
@@ -82,5 +83,8 @@ def score_boxes(df: DataFrame, boxes: DataFrame, cols: list[str], psi: int, buck
         copies = as_table(rows, "rows").withColumn("_rg", F.explode(F.sequence(F.lit(0), F.lit(GROUPS - 1))))
         met = copies.join(spread, inside & (F.col("_rg") == F.col("_group")))
     mean = F.sum("_path") / F.count("_path")
-    return (met.groupBy("_row").agg(*[F.any_value(c).alias(c) for c in df.columns], mean.alias("_mean"))
+    # texts are keys beside the row's number, which tells rows apart: as values they would make Spark sort all rows
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    kept = [F.any_value(c).alias(c) for c in df.columns if c not in texts]
+    return (met.groupBy("_row", *texts).agg(*kept, mean.alias("_mean")).select("_row", *df.columns, "_mean")
             .withColumn("_raw", -F.pow(F.lit(2.0), -F.col("_mean") / F.lit(float(c_factor(psi)) or 1.0))).drop("_row", "_mean"))
