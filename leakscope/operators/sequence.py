@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import MultilayerPerceptronClassificationModel, \
     MultilayerPerceptronClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leakscope.functions.severity import (combined_severity_expr, detection_source_expr,
@@ -24,7 +24,7 @@ from leakscope.functions.severity import (combined_severity_expr, detection_sour
 from leakscope.functions.timeutil import ts_lit
 from leakscope.operators.features import fit_minmax, minmax_scale, sequences
 from leakscope.operators.lineage import as_table
-from leakscope.operators.windowing import DEFAULT_BUCKET_SECONDS, TARGET_ROWS, bucket_counts, with_bucket
+from leakscope.operators.windowing import DEFAULT_BUCKET_SECONDS, TARGET_ROWS, bucket_counts, plan_buckets, with_bucket
 from leakscope.schemas import DUAL_GOLD_COLUMNS, EVENT_ID, EVENT_TS, SEGMENT, SEQUENCE_FEATURES
 
 
@@ -47,7 +47,28 @@ def positional_split(df: DataFrame, frac: float = 0.8, bucket_seconds: int | Non
     window: bucket counts (small) locate the boundary bucket, and only that
     bucket is ranked."""
     x = with_bucket(df, SEGMENT, EVENT_TS, EVENT_ID, bucket_seconds, target_rows)
-    counts = bucket_counts(x.select(SEGMENT, "_b"), SEGMENT).select(SEGMENT, "_b", "_n")
+    return with_split(x, train_border(x, frac))
+
+
+@dataclass
+class Border:
+    """The last train row: its segment, bucket, time and id (None where all
+    rows are on one side), and the number of train rows."""
+    train_rows: int
+    segment: object = None
+    bucket: list | None = None
+    ts: object = None
+    key: object = None
+
+
+def train_border(x: DataFrame, frac: float, skip: int = 0) -> Border:
+    """Where the first floor(frac * n) rows of ``x`` (with ``_b``) end. A
+    segment's first ``skip`` rows do not count: the border is that of the
+    rows after them."""
+    skipped = F.greatest(F.lit(0), F.least(F.col("_n"), F.lit(skip) - F.col("_off")))
+    # two scalars and one row are read from it
+    counts = as_table(bucket_counts(x.select(SEGMENT, "_b"), SEGMENT)
+                      .select(SEGMENT, "_b", skipped.alias("_skipped"), (F.col("_n") - skipped).alias("_n")), "split-counts")
     # a running total over the (segments x buckets) count table only
     w = Window.orderBy(SEGMENT, "_b").rowsBetween(Window.unboundedPreceding, -1)
     cum = counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
@@ -55,33 +76,42 @@ def positional_split(df: DataFrame, frac: float = 0.8, bucket_seconds: int | Non
     k = int(frac * total)
     boundary = cum.where((F.col("_before") < k) & (F.col("_before") + F.col("_n") >= k)).first()
     if boundary is None:
-        return x.withColumn("split", F.lit("test" if k == 0 else "train")).drop("_b")
-    seg, b, before = boundary[SEGMENT], boundary["_b"], boundary["_before"]
-    b = F.array(*[F.lit(i) for i in b]).cast("array<bigint>")
-    in_b = (F.col(SEGMENT) == F.lit(seg)) & (F.col("_b") == b)
-    earlier = (F.col(SEGMENT) < F.lit(seg)) | ((F.col(SEGMENT) == F.lit(seg)) & (F.col("_b") < b))
-    edge = (x.where(in_b).select(EVENT_ID, EVENT_TS)
+        return Border(k)
+    # null segments come first in the order, but are never train
+    no_segment = counts.where(F.col(SEGMENT).isNull()).agg(F.sum("_n")).first()[0] or 0
+    at = F.array(*[F.lit(i) for i in boundary["_b"]]).cast("array<bigint>")
+    edge = (x.where((F.col(SEGMENT) == F.lit(boundary[SEGMENT])) & (F.col("_b") == at)).select(EVENT_ID, EVENT_TS)
             .withColumn("_r", F.row_number().over(Window.orderBy(EVENT_TS, EVENT_ID)))
-            .where(F.col("_r") == k - before).first())
-    e_ts, e_id = edge[EVENT_TS], edge[EVENT_ID]
-    e_lit = ts_lit(df, EVENT_TS, e_ts)
+            .where(F.col("_r") == k - boundary["_before"] + boundary["_skipped"]).first())
+    return Border(k - no_segment, boundary[SEGMENT], boundary["_b"], edge[EVENT_TS], edge[EVENT_ID])
+
+
+def with_split(x: DataFrame, border: Border) -> DataFrame:
+    """``x`` without ``_b``, with ``split``."""
+    if border.bucket is None:
+        return x.withColumn("split", F.lit("test" if border.train_rows == 0 else "train")).drop("_b")
+    seg = F.lit(border.segment)
+    b = F.array(*[F.lit(i) for i in border.bucket]).cast("array<bigint>")
+    in_b = (F.col(SEGMENT) == seg) & (F.col("_b") == b)
+    earlier = (F.col(SEGMENT) < seg) | ((F.col(SEGMENT) == seg) & (F.col("_b") < b))
+    e_lit = ts_lit(x, EVENT_TS, border.ts)
     upto_edge = (F.col(EVENT_TS) < e_lit) | ((F.col(EVENT_TS) == e_lit) &
-                                             (F.col(EVENT_ID) <= F.lit(e_id)))
+                                             (F.col(EVENT_ID) <= F.lit(border.key)))
     in_train = earlier | (in_b & upto_edge)
     return x.withColumn("split", F.when(in_train, "train").otherwise("test")).drop("_b")
 
 
 def sequence_frame(df: DataFrame, scaler: dict, cols=SEQUENCE_FEATURES, n: int = 20,
-                   label: str | None = "label", keep_all: bool = False) -> DataFrame:
+                   label: str | None = "label", keep_all: bool = False, plan: list[DataFrame] | None = None) -> DataFrame:
     """Trailing sequences of min-max scaled readings with an MLlib ``features``
     vector (zeros where the history is short) and ``_full``."""
     cols = list(cols)
     sc = [f"__s_{c}" for c in cols]
     tmp = minmax_scale(df, scaler, cols, prefix="__s_")
     if keep_all:
-        seq = sequences(tmp, sc, n, label=None, keep_all=True).drop(*sc)
+        seq = sequences(tmp, sc, n, label=None, keep_all=True, plan=plan).drop(*sc)
     else:
-        seq = sequences(tmp, sc, n, label=label)
+        seq = sequences(tmp, sc, n, label=label, plan=plan)
     full = F.size("seq") == n
     vec = F.when(full, F.flatten("seq")).otherwise(F.array_repeat(F.lit(0.0), n * len(cols)))
     return seq.withColumn("features", array_to_vector(vec)).withColumn("_full", full)
@@ -97,18 +127,25 @@ def fit_sequence_model(df: DataFrame, label: str = "label", cols=SEQUENCE_FEATUR
     # read by the scaler and, for rows and halos, by the window plan
     df = as_table(df.select(*dict.fromkeys([EVENT_ID, SEGMENT, EVENT_TS, label, *cols])), "labelled")
     scaler = fit_minmax(df, list(cols))
-    # the vectors are read by the split's passes over their narrow key columns and
-    # by every optimizer iteration, so they are cut once; the split is a predicate
-    seq = as_table(sequence_frame(df, scaler, cols, n, label).drop("seq"), "sequences")
-    seq = positional_split(seq, 0.8)
-    train = seq.where(F.col("split") == "train")
-    rows = train.count()
-    if rows > max_fit_rows:  # the fit's bound; the rows of smallest hash, of both classes alike
-        train = train.where(F.pmod(F.xxhash64(EVENT_ID), F.lit(1 << 20)) < F.lit(int(max_fit_rows / rows * (1 << 20))))
+    # the border needs keys only, so vectors are made for the rows that the fit or the test takes
+    plan = plan_buckets(df, SEGMENT, EVENT_TS, EVENT_ID)
+    border = train_border(with_bucket(df.select(SEGMENT, EVENT_TS, EVENT_ID), SEGMENT, EVENT_TS, EVENT_ID, plan=plan), 0.8, skip=n)
+
+    def rows_of(split: str, segments: Column, keep: Column) -> DataFrame:
+        """Sequences of one side; its segments' rows alone are windowed."""
+        seq = sequence_frame(df.where(segments), scaler, cols, n, label, plan=plan)
+        seq = with_split(with_bucket(seq, SEGMENT, EVENT_TS, EVENT_ID, plan=plan), border)
+        return seq.where((F.col("split") == split) & keep).drop("seq")
+    before, upto, taken = F.lit(False), F.lit(True), F.lit(True)
+    if border.bucket is not None:
+        before, upto = (F.coalesce(c, F.lit(False)) for c in (F.col(SEGMENT) < F.lit(border.segment), F.col(SEGMENT) <= F.lit(border.segment)))
+    if border.train_rows > max_fit_rows:  # the fit's bound; the rows of smallest hash, of both classes alike
+        taken = F.pmod(F.xxhash64(EVENT_ID), F.lit(1 << 20)) < F.lit(int(max_fit_rows / border.train_rows * (1 << 20)))
+    train = as_table(rows_of("train", upto, taken), "sequences")  # scanned by the fit
     mlp = MultilayerPerceptronClassifier(layers=[n * len(cols), hidden, 2], maxIter=max_iter,
                                          seed=seed, labelCol=label, featuresCol="features")
     model = SequenceModel(mlp.fit(train), scaler, list(cols), n, threshold)
-    test = predict(seq.where(F.col("split") == "test"), model)
+    test = predict(rows_of("test", ~before, F.lit(True)), model)
     return model, test
 
 

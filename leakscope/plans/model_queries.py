@@ -189,7 +189,7 @@ def j35(spark, sf) -> DataFrame:
 
 
 
-def _training_rows(spark, sf):
+def _training_rows(spark, sf, silver=None):
     """G2 with ids: Silver and slow-leak rows together, a sequence never mixing
     the two (each keeps its own segments)."""
     from pyspark.sql import functions as F
@@ -199,7 +199,7 @@ def _training_rows(spark, sf):
     keep = [EVENT_ID, SEGMENT, EVENT_TS, *SENSORS, "is_anomaly"]
     leak = fx.slow_leak(spark, sf).select(*keep).withColumn(SEGMENT, F.concat(SEGMENT, F.lit("_slow"))) \
         .withColumn(EVENT_ID, F.concat(F.lit("s"), F.col(EVENT_ID)))
-    rows = M.fixture_silver(spark, sf).select(*keep).unionByName(leak)
+    rows = (M.fixture_silver(spark, sf) if silver is None else silver).select(*keep).unionByName(leak)
     return rows.withColumn("label", binary_label_expr("is_anomaly"))
 
 
@@ -216,8 +216,9 @@ def j6(spark, sf) -> DataFrame:
     """Gold with both detectors: forest on Silver, sequence model trained on
     Silver and slow-leak rows, both flags as columns of one frame."""
     from leakscope.operators.sequence import dual_gold, fit_sequence_model
-    seq_model, _ = fit_sequence_model(_training_rows(spark, sf))
-    g, _ = M.model_gold(M.fixture_silver(spark, sf))
+    silver = as_table(M.fixture_silver(spark, sf), "silver")  # both models' rows
+    seq_model, _ = fit_sequence_model(_training_rows(spark, sf, silver))
+    g, _ = M.model_gold(silver)
     return dual_gold(g, seq_model)
 
 
