@@ -20,6 +20,7 @@ import hashlib
 import heapq
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 MEMO = 500_000  # chunks that a worker keeps; others are encoded each time
 SHORT = 32  # characters up to which a plain list beats a heap
+AT_ONCE = 256  # texts of a batch that are Python strings at a time
 
 
 def _fields(b: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -143,12 +145,16 @@ class Encoder:
         self.rank, self.no_rank = {p: r for p, (r, _) in self.ids.items()}, float("inf")
         self.byte = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == BYTE}
         self.special = {i for i, p in enumerate(pieces) if p[2] in (UNKNOWN, CONTROL, BYTE)}
+        self.decimal = [str(i) for i in range(len(pieces))]
         self.unk = next(i for i, p in enumerate(pieces) if p[2] == UNKNOWN)
         self.eos = next(i for i, p in enumerate(pieces) if p[0] == "</s>")
         if any(k in (USER, UNUSED) for _, _, k in pieces) or any(SPACE in p.lstrip(SPACE) for p, _, k in pieces if k == NORMAL):
             raise ValueError("a model with unused or user-defined pieces, or with a space after a letter in a piece")
         self.chunk = re.compile(f"{SPACE}+[^{SPACE}]*|^[^{SPACE}]+")
-        self.memo: dict[str, tuple] = {}
+        # characters that each id covers: of an unknown character's bytes the first covers it
+        self.covers = np.array([len(p) if k == NORMAL else int((int(p[3:5], 16) & 0xC0) != 0x80) if k == BYTE
+                                else int(k == UNKNOWN) for p, _, k in pieces], np.int64)
+        self.memo: dict[str, bytes] = {}
 
     def merge(self, chunk: str) -> list[str]:
         """Pieces of a chunk: best score first, leftmost on a tie."""
@@ -219,22 +225,19 @@ class Encoder:
                 end.append(at[pos])
         return [*ids, self.eos], [*begin, at[-1]], [*end, at[-1]]
 
-    def remember(self, chunk: str) -> tuple[int, str, str, bytes]:
-        """(ids, their decimals, the decoded text, the characters that each id
-        covers) of a chunk."""
-        if got := self.memo.get(chunk):
-            return got
-        i, sizes = self.chunk_ids(chunk)
-        # decode() drops the first space, which here is put before the chunk
-        got = (len(i), " ".join(map(str, i)), self.decode([self.ids[SPACE][1], *i]),
-               np.array(sizes, np.int32).tobytes())
-        if len(chunk) < 64 and len(self.memo) < MEMO:
-            self.memo[chunk] = got
+    def remember(self, chunk: str) -> bytes:
+        """The ids of a chunk as 32-bit numbers. What else a row needs follows
+        from the ids, so a kept chunk takes a few bytes."""
+        got = self.memo.get(chunk)
+        if got is None:
+            got = array("i", self.chunk_ids(chunk)[0]).tobytes()
+            if len(chunk) < 64 and len(self.memo) < MEMO:
+                self.memo[chunk] = got
         return got
 
     def decode(self, ids: list[int]) -> str:
         out, raw = [], b""
-        if not any(i in self.special for i in ids):
+        if self.special.isdisjoint(ids):
             out, ids = [self.pieces[i][0] for i in ids], []
         for i in [*ids, self.eos]:
             p, _, kind = self.pieces[i]
@@ -261,14 +264,12 @@ class Encoder:
         chunks = self.chunk.findall(norm)
         got = list(map(self.memo.get, chunks))
         if None in got:
-            got = [g or self.remember(c) for g, c in zip(got, chunks)]
-        n = 1 + sum(g[0] for g in got)
-        ids = [g[1] for g in got] + [str(self.eos)]
-        s = "".join([g[2] for g in got])
-        if self.normalise.prefix and s[:1] == " " and chunks:
-            s = s[1:]
-        sizes = np.frombuffer(b"".join([g[3] for g in got]), np.int32)
-        ends = np.cumsum(sizes, dtype=np.int64)
+            got = [self.remember(c) if g is None else g for g, c in zip(got, chunks)]
+        numbers = np.frombuffer(b"".join(got), np.intc)
+        sizes, ids = self.covers[numbers], numbers.tolist()
+        n, s = len(ids) + 1, self.decode(ids)
+        ids = [*map(self.decimal.__getitem__, ids), self.decimal[self.eos]]
+        ends = np.cumsum(sizes)
         spans = np.full((n, 2), at[-1], "<i8")  # the end id stands at the end
         spans[:-1, 0], spans[:-1, 1] = at[ends - sizes], at[ends]
         # characters stand in the order of their source, so no byte counts twice
@@ -293,6 +294,14 @@ def _lossy(raw: bytes) -> str:
     return "".join(out)
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches of ``AT_ONCE`` rows, so that a worker holds the Python strings
+    of these only."""
+    for b in batches:
+        for low in range(0, b.num_rows, AT_ONCE):
+            yield b.slice(low, AT_ONCE)
+
+
 def _encoder(shared) -> Encoder:
     """One encoder and its table for each worker process, kept over its tasks
     on the worker's own copy of the broadcast."""
@@ -309,7 +318,7 @@ def digests(docs: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches):
         enc = _encoder(shared)
-        for b in batches:
+        for b in _parts(batches):
             rows = [enc.row(t) for t in b.column(1).to_pylist()]
             cols = list(zip(*rows)) or [[], [], [], [], []]
             yield pa.RecordBatch.from_arrays(
@@ -330,7 +339,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches):
         enc = _encoder(shared)
-        for b in batches:
+        for b in _parts(batches):
             rows = [enc.encode(t) for t in b.column(1).to_pylist()]
             ints = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays(

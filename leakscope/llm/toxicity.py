@@ -196,6 +196,12 @@ class Lexicon:
                 yield tuple(x[e[r]:e[r + 1]] for (_, i, c), e in zip(both, edges) for x in (i, c))
 
 
+def _parts(texts: pa.Array):
+    """Stretches of the texts, so that a worker holds the Python strings of
+    these only."""
+    return (texts.slice(n, 16 * BATCH).to_pylist() for n in range(0, len(texts), 16 * BATCH))
+
+
 def _lexicon(shared) -> Lexicon:
     """Made once in each worker process on its own copy of the broadcast."""
     made = getattr(shared, "made", None)
@@ -211,10 +217,11 @@ def document_frequencies(docs: DataFrame, shared, size: int, n_tells: int) -> tu
         lex = _lexicon(shared)
         df = np.zeros(size + n_tells + 1, np.int64)
         for b in batches:
-            for _, n, (_, word, _), (_, told, _) in lex.held(b.column(0).to_pylist()):
-                df[:size] += np.bincount(word, minlength=size)
-                df[size:-1] += np.bincount(told, minlength=n_tells)
-                df[-1] += n
+            for texts in _parts(b.column(0)):
+                for _, n, (_, word, _), (_, told, _) in lex.held(texts):
+                    df[:size] += np.bincount(word, minlength=size)
+                    df[size:-1] += np.bincount(told, minlength=n_tells)
+                    df[-1] += n
         held = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(df[held])], ["i", "n"])
     got = docs.select("text").mapInArrow(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()
@@ -386,8 +393,7 @@ class Index:
     def scores(self, texts: list[str | None], k: int) -> list[tuple[float, list[int], list[float]]]:
         out = []
         x, y = self.curve
-        pieces = (texts[n:n + 16 * BATCH] for n in range(0, len(texts), 16 * BATCH))
-        for vote, found, cos in chain.from_iterable(self.votes(p, k) for p in pieces):
+        for vote, found, cos in self.votes(texts, k):
             s = float(y[min(len(y) - 1, int(np.searchsorted(x, vote)))]) if len(found) else self.unknown
             out.append((s, self.ids[found].tolist(), [round(c, 6) for c in cos.tolist()]))
         return out
@@ -473,7 +479,7 @@ def scorer(shared, k: int = NEIGHBOURS):
     """A column function text -> struct(score, neighbours, cosines)."""
     @F.arrow_udf(RESULT)
     def score(texts: pa.Array) -> pa.Array:
-        got = _index(shared).scores(texts.to_pylist(), k)
+        got = [g for part in _parts(texts) for g in _index(shared).scores(part, k)]
         return pa.StructArray.from_arrays(
             [pa.array([g[0] for g in got], pa.float64()), pa.array([g[1] for g in got], pa.list_(pa.int64())),
              pa.array([g[2] for g in got], pa.list_(pa.float64()))], ["score", "neighbours", "cosines"])

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import pytest
 import sentencepiece
@@ -83,3 +84,23 @@ def test_alignment_without_a_map_is_that_of_the_general_way(both):
     norm = both[0].normalise
     for t in _texts(300, 40):
         assert norm(t) == norm.mapped(t), t
+
+
+def test_a_remembered_chunk_takes_few_bytes(both):
+    with open(MODEL, "rb") as f:
+        enc = pieces.Encoder(f.read())
+    r = random.Random(6)
+    texts = [" ".join("".join(r.choice("abcdeéno") for _ in range(r.randrange(3, 12))) for _ in range(500)) for _ in range(20)]
+    rows = [enc.row(t) for t in texts[:1]]
+    tracemalloc.start()
+    try:
+        n, before = len(enc.memo), tracemalloc.get_traced_memory()[0]
+        rows += [enc.row(t) for t in texts[1:]]
+        held = tracemalloc.get_traced_memory()[0] - before
+    finally:
+        tracemalloc.stop()
+    assert len(enc.memo) - n > 5000
+    assert held < 300 * (len(enc.memo) - n)
+    for t, row in zip(texts, rows):
+        ids = both[1].encode(t, add_eos=True)
+        assert row[:3] == (len(ids), sha(" ".join(map(str, ids))), sha(both[1].decode(ids)))
