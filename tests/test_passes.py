@@ -132,3 +132,12 @@ def test_sequences_are_made_for_the_rows_that_are_used(spark, monkeypatch):
     assert {r.event_id for r in test.collect()} == {r[0] for r in order[k:]}
     fitted = {r.event_id for r in written["sequences"].collect()}
     assert 100 < len(fitted) < 300 and fitted <= {r[0] for r in order[:k]}
+
+
+def test_gold_score_is_worked_out_in_doubles_and_equals_the_sql(spark):
+    rows = [(str(i), p, a, f) for i in range(-29, 30) for p in (849.9, 850.0) for a in (1.0, 1.1) for f in (250.0, 250.1)]
+    df = spark.createDataFrame(rows, "event_id string, pressure_psi double, acoustic_g_rms double, flow_rate_lpm double")
+    both = df.select(fx.standin_score().alias("a"), F.expr(fx.STANDIN_SCORE_SQL).alias("b"))
+    assert both.count() == len(rows) and both.where("NOT (a <=> b) OR a IS NULL").count() == 0
+    plan = df.select("event_id", fx.standin_score().alias("a")).where("a < -0.07")._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal" not in plan
