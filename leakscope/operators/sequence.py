@@ -28,9 +28,6 @@ from leakscope.operators.windowing import DEFAULT_BUCKET_SECONDS, TARGET_ROWS, b
 from leakscope.schemas import DUAL_GOLD_COLUMNS, EVENT_ID, EVENT_TS, SEGMENT, SEQUENCE_FEATURES
 
 
-MAX_FIT_ROWS = 2_000_000  # bounded sample of labelled rows that the optimizer iterates over
-
-
 @dataclass
 class SequenceModel:
     mlp: MultilayerPerceptronClassificationModel
@@ -120,9 +117,10 @@ def sequence_frame(df: DataFrame, scaler: dict, cols=SEQUENCE_FEATURES, n: int =
 def fit_sequence_model(df: DataFrame, label: str = "label", cols=SEQUENCE_FEATURES, n: int = 20,
                        hidden: int = 16, max_iter: int = 100, seed: int = 42,
                        threshold: float = 0.5,
-                       max_fit_rows: int = MAX_FIT_ROWS) -> tuple[SequenceModel, DataFrame]:
+                       max_fit_rows: int | None = None) -> tuple[SequenceModel, DataFrame]:
     """Fit the scaler, build sequences, split positionally 80/20, train the MLP
-    on about ``max_fit_rows`` labelled rows at most.
+    on all train rows. Only a caller that sets ``max_fit_rows`` gets a fit on
+    about so many of them; no query does.
     Returns (model, test rows with predictions)."""
     # read by the scaler and, for rows and halos, by the window plan
     df = as_table(df.select(*dict.fromkeys([EVENT_ID, SEGMENT, EVENT_TS, label, *cols])), "labelled")
@@ -139,7 +137,7 @@ def fit_sequence_model(df: DataFrame, label: str = "label", cols=SEQUENCE_FEATUR
     before, upto, taken = F.lit(False), F.lit(True), F.lit(True)
     if border.bucket is not None:
         before, upto = (F.coalesce(c, F.lit(False)) for c in (F.col(SEGMENT) < F.lit(border.segment), F.col(SEGMENT) <= F.lit(border.segment)))
-    if border.train_rows > max_fit_rows:  # the fit's bound; the rows of smallest hash, of both classes alike
+    if max_fit_rows is not None and border.train_rows > max_fit_rows:  # the caller's bound; the rows of smallest hash, of both classes alike
         taken = F.pmod(F.xxhash64(EVENT_ID), F.lit(1 << 20)) < F.lit(int(max_fit_rows / border.train_rows * (1 << 20)))
     train = as_table(rows_of("train", upto, taken), "sequences")  # scanned by the fit
     mlp = MultilayerPerceptronClassifier(layers=[n * len(cols), hidden, 2], maxIter=max_iter,

@@ -1,5 +1,6 @@
 """How often the medallion queries read and compute their rows."""
 
+import dataclasses
 import datetime as dt
 
 import numpy as np
@@ -142,3 +143,40 @@ def test_gold_score_is_worked_out_in_doubles_and_equals_the_sql(spark):
     assert both.count() == len(rows) and both.where("NOT (a <=> b) OR a IS NULL").count() == 0
     plan = df.select("event_id", fx.standin_score().alias("a")).where("a < -0.07")._jdf.queryExecution().optimizedPlan().toString()
     assert "decimal" not in plan
+
+
+def _frame_of_the_fit(spark, monkeypatch, query, events):
+    """(frame that the sequence model is fitted on, train rows), where the border counts far more train rows than there are."""
+    from leakscope.operators import sequence
+    from leakscope.plans import catalog, model_queries  # noqa: F401
+
+    class Seen(Exception):
+        pass
+    seen, whole = {}, sequence.train_border
+    def train_border(*a, **k):
+        border = whole(*a, **k)
+        seen["rows"] = border.train_rows
+        return dataclasses.replace(border, train_rows=10 ** 9)
+    def fit(self, df, *a):
+        seen["frame"] = df
+        raise Seen
+    monkeypatch.setattr(sequence, "train_border", train_border)
+    monkeypatch.setattr(sequence.MultilayerPerceptronClassifier, "fit", fit)
+    with pytest.raises(Seen):
+        catalog.queries()[query](spark, events)
+    return seen["frame"], seen["rows"]
+
+
+@pytest.fixture()
+def own_events(spark, tmpdir_run):
+    """600 events of five segments, as a table folder."""
+    (spark.range(600).select(
+        F.col("id").alias("event_id"), F.expr("timestampadd(SECOND, id * 7, TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("ts"),
+        F.col("id").alias("user_id"), F.lit("view").alias("event_type"), (F.col("id") * 37 % 190 + F.lit(0.25)).alias("value"),
+        F.format_string('{"k": %d}', F.col("id") * 13 % 100).alias("props")).write.parquet(f"{tmpdir_run}/events.parquet"))
+    return tmpdir_run
+
+
+def test_dual_gold_fits_its_sequence_model_on_all_train_rows(spark, monkeypatch, own_events):
+    frame, rows = _frame_of_the_fit(spark, monkeypatch, "J6_dual_gold", own_events)
+    assert rows > 700 and frame.select("event_id").distinct().count() == frame.count() == rows
