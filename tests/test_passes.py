@@ -180,3 +180,9 @@ def own_events(spark, tmpdir_run):
 def test_dual_gold_fits_its_sequence_model_on_all_train_rows(spark, monkeypatch, own_events):
     frame, rows = _frame_of_the_fit(spark, monkeypatch, "J6_dual_gold", own_events)
     assert rows > 700 and frame.select("event_id").distinct().count() == frame.count() == rows
+
+
+def test_sequence_classifier_is_fitted_on_all_train_rows(spark, monkeypatch, own_events):
+    frame, rows = _frame_of_the_fit(spark, monkeypatch, "J8_sequence_model", own_events)
+    assert rows > 700 and frame.select("event_id").distinct().count() == frame.count() == rows
+    assert set(r.split for r in frame.select("split").distinct().collect()) == {"train"}
