@@ -187,17 +187,18 @@ def with_halo(df: DataFrame, key: str, order: list[str], ts: str, halo: int,
     sizes = as_table(x.groupBy(key, "_b", "_slice").agg(F.count(F.lit(1)).alias("_n")), "slices")
     later = Window.partitionBy(key, "_b").orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
     last = F.coalesce(F.sum("_n").over(later), F.lit(0)) < halo
-    per_bucket = (sizes.withColumn("_last", last).groupBy(key, "_b")
-                  .agg(F.sum("_n").alias("_n"), F.min(F.when(F.col("_last"), F.col("_slice"))).alias("_from")))
-    counts = as_table(_with_offsets(per_bucket, key, "_b"), "counts")
+    per_bucket = as_table(sizes.withColumn("_last", last).groupBy(key, "_b")
+                          .agg(F.sum("_n").alias("_n"), F.min(F.when(F.col("_last"), F.col("_slice"))).alias("_from")), "counts")
+    counts = _with_offsets(per_bucket, key, "_b")
     w_end = Window.partitionBy(key, "_b").orderBy(*[F.col(c).desc_nulls_last() for c in order])
     tail = (x.join(counts.select(key, "_b", "_cum", "_from"), [key, "_b"]).where(F.col("_slice") >= F.col("_from"))
             .withColumn("_rd", F.row_number().over(w_end)).where(F.col("_rd") <= halo)
             .withColumn("_pos", F.col("_cum") - F.col("_rd") + 1)
             .withColumn("_target", F.explode(F.sequence(F.col("_pos"),
                                                         F.col("_pos") + (halo - 1)))))
-    targets = counts.select(F.col(key).alias("_k"), F.col("_off").alias("_target"),
-                            F.col("_b").alias("_chunk"))
+    # every bucket has a ``_from``: asking for it here too gives both readers of the counts one exchange
+    targets = counts.where(F.col("_from").isNotNull()).select(F.col(key).alias("_k"), F.col("_off").alias("_target"),
+                                                              F.col("_b").alias("_chunk"))
     halo_rows = (tail.join(targets, (tail[key] == targets["_k"]) &
                            (tail["_target"] == targets["_target"]))
                  .select(*[tail[c] for c in cols], targets["_chunk"],
